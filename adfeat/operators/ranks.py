@@ -98,14 +98,16 @@ def add_time_ranks(
     order: tuple[str, ...] = ("last", "first"),
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
     method: str = "blocks",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Append ``{prefix}_{last,first}_rank`` and ``{prefix}_if_{last,first}``.
 
     ``order`` fixes the column order (the reference writes some keys
-    last-first and others first-last).
+    last-first and others first-last).  ``source`` is the frame the ranks are
+    computed over when ``df`` is a widened copy of it (same rows).
     """
     names = _names(prefix)
-    r = rank_table(df, keys, ts, block_seconds=block_seconds, method=method)
+    r = rank_table(source if source is not None else df, keys, ts, block_seconds=block_seconds, method=method)
     joined = df.join(r, on=[*keys, ts], how="left")
     out: list[Column] = []
     for direction in order:

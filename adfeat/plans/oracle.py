@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from adfeat.plans import oracle_frame as OF
 from adfeat.plans import oracle_history as OH
 
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
@@ -30,4 +31,20 @@ def oracle_sql() -> dict[str, str]:
         out[name] = OH.group_sql(group, base)
     out["history_features"] = OH.history_features_sql()
     out["modular_features"] = OH.modular_features_sql()
+    out["frame_counts"] = OF.frame_counts_sql()
+    out["predicted_category_rank"] = OF.predicted_rank_sql()
+    out["category_popularity"] = OF.category_popularity_sql()
+    out["property_counts"] = OF.property_counts_sql()
+    out["property_cross_counts"] = OF.property_cross_sql()
+    out["property_time_rank"] = OF.property_time_rank_sql()
+    out["predict_rank_counts"] = OF.predict_rank_counts_sql()
+    for name, keys, prefix in [
+        ("shop_time_rank", ["shop_id"], "shop"),
+        ("user_time_rank", ["user_id"], "user"),
+        ("item_time_rank", ["item_id"], "item"),
+        ("user_item_time_rank", ["user_id", "item_id"], "user_item"),
+        ("user_shop_time_rank", ["user_id", "shop_id"], "user_shop"),
+    ]:
+        out[name] = OF.entity_time_rank_sql(keys, prefix)
+    out["frame_features"] = OF.frame_features_sql()
     return out

@@ -11,8 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adfeat.functions import parse_time
+from adfeat.operators.ranks import add_time_ranks
+from adfeat.plans import frame as FR
 from adfeat.plans import history as H
-from adfeat.sources.views import history_and_target
+from adfeat.sources.views import history_and_target, imp_events, imp_lineitem
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,8 +60,89 @@ def modular_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.modular_features(hist, tgt)
 
 
+# ---------------------------------------------------------------- within-frame
+
+PRED = "predict_category_rank"
+
+FRAME_STEP_QUERIES = {
+    "frame_counts": (
+        "counts",
+        ["instance_id", "user_id", "item_id", "shop_id", "context_timestamp"]
+        + [name for _, name in FR.FRAME_COUNTS],
+    ),
+    "predicted_category_rank": (
+        "parsed",
+        ["instance_id", "item_category_list", "predict_category_property", PRED],
+    ),
+    "category_popularity": ("category_popularity", ["instance_id", "item_category_list", "item_category_sum"]),
+    "property_counts": (
+        "property_counts",
+        ["instance_id", "item_property_list", "property_len"] + [name for _, name in FR.PROPERTY_COUNTS],
+    ),
+    "property_cross_counts": (
+        "property_crosses",
+        ["instance_id", "user_id", "item_id", "shop_id", "item_property_list"]
+        + [name for _, name in FR.PROPERTY_CROSSES],
+    ),
+    "property_time_rank": (
+        "property_ranks",
+        ["instance_id", "item_property_list", "context_timestamp"]
+        + [
+            f"item_pro{i}_{c}"
+            for i, order in FR.PROPERTY_RANK_ORDER.items()
+            for d in order
+            for c in (f"{d}_rank", f"if_{d}")
+        ],
+    ),
+    "predict_rank_counts": (
+        "predict_rank_counts",
+        ["instance_id", "user_id", "item_id", "shop_id", PRED]
+        + [name for _, cols in FR.PREDICT_RANK_COUNTS for name in cols],
+    ),
+}
+
+
+def _frame_query(step: str, cols: list[str]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return H.keep(FR.frame_subset(imp_events(spark, sf_dir), step), cols)
+
+    run.__name__ = f"frame_{step}"
+    return run
+
+
+ENTITY_RANK_QUERIES = {
+    "shop_time_rank": (["shop_id"], "shop"),
+    "user_time_rank": (["user_id"], "user"),
+    "item_time_rank": (["item_id"], "item"),
+    "user_item_time_rank": (["user_id", "item_id"], "user_item"),
+    "user_shop_time_rank": (["user_id", "shop_id"], "user_shop"),
+}
+
+
+def _entity_rank_query(keys: list[str], prefix: str) -> Query:
+    """Ranks on ``imp_lineitem``, where every time is midnight and ties abound."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = imp_lineitem(spark, sf_dir).withColumn(FR.TS, parse_time("context_timestamp"))
+        out = add_time_ranks(base, keys, FR.TS, prefix, order=("last", "first"))
+        cols = [f"{prefix}_{d}" for d in ("last_rank", "if_last", "first_rank", "if_first")]
+        return H.keep(out, ["instance_id", "user_id", "item_id", "shop_id", "context_timestamp"] + cols)
+
+    run.__name__ = f"rank_{prefix}"
+    return run
+
+
+def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FR.frame_features(imp_events(spark, sf_dir))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _group_query(g) for name, g in HISTORY_GROUP_QUERIES.items()}
     q["history_features"] = history_features
     q["modular_features"] = modular_features
+    for name, (step, cols) in FRAME_STEP_QUERIES.items():
+        q[name] = _frame_query(step, cols)
+    for name, (keys, prefix) in ENTITY_RANK_QUERIES.items():
+        q[name] = _entity_rank_query(keys, prefix)
+    q["frame_features"] = frame_features
     return q

@@ -44,6 +44,7 @@ def get_spark(
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ADFEAT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
