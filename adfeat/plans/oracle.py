@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from adfeat.plans import oracle_frame as OF
 from adfeat.plans import oracle_history as OH
+from adfeat.plans import oracle_smoothing as OS
 
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
 
@@ -47,4 +48,8 @@ def oracle_sql() -> dict[str, str]:
     ]:
         out[name] = OF.entity_time_rank_sql(keys, prefix)
     out["frame_features"] = OF.frame_features_sql()
+    out["beta_prior"] = OS.beta_prior_sql()
+    out["shop_smoothed_rate"] = OS.key_smoothed_sql("shop_id", "shop")
+    out["item_smoothed_rate"] = OS.key_smoothed_sql("item_id", "item")
+    out["user_smoothed_rate"] = OS.user_smoothed_sql()
     return out

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adfeat.functions import parse_time
 from adfeat.operators.ranks import add_time_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
+from adfeat.plans import smoothing as SM
 from adfeat.sources.views import history_and_target, imp_events, imp_lineitem
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +138,35 @@ def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FR.frame_features(imp_events(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- smoothing
+
+
+def beta_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 on the shop table of the ``imp_lineitem`` history: prior (1, 1), 1000 steps, ε 0.001."""
+    hist, _ = history_and_target(spark, sf_dir, "imp_lineitem")
+    prior = SM.prior_of_shops(hist)
+    row = spark.createDataFrame([(prior.alpha, prior.beta)], "alpha double, beta double")
+    return row.select(F.round("alpha", 6).alias("alpha"), F.round("beta", 6).alias("beta"))
+
+
+def _smoothed_query(kind: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
+        fn = {"shop": SM.shop_smoothing, "item": SM.item_smoothing, "user": SM.user_smoothing}[kind]
+        out, _ = fn(hist, tgt)
+        key = f"{kind}_id"
+        return out.select(
+            "instance_id",
+            key,
+            f"{kind}_trade_sum",
+            f"{kind}_trade_count",
+            F.round(f"{kind}_trade_smooth", 6).alias(f"{kind}_trade_smooth"),
+        )
+
+    run.__name__ = f"{kind}_smoothed_rate"
+    return run
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _group_query(g) for name, g in HISTORY_GROUP_QUERIES.items()}
     q["history_features"] = history_features
@@ -145,4 +176,7 @@ def registry() -> dict[str, Query]:
     for name, (keys, prefix) in ENTITY_RANK_QUERIES.items():
         q[name] = _entity_rank_query(keys, prefix)
     q["frame_features"] = frame_features
+    q["beta_prior"] = beta_prior
+    for kind in ("shop", "item", "user"):
+        q[f"{kind}_smoothed_rate"] = _smoothed_query(kind)
     return q
