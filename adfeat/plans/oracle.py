@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from adfeat.plans import oracle_frame as OF
 from adfeat.plans import oracle_history as OH
+from adfeat.plans import oracle_profiles as OP
 from adfeat.plans import oracle_smoothing as OS
 
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
@@ -52,4 +53,20 @@ def oracle_sql() -> dict[str, str]:
     out["shop_smoothed_rate"] = OS.key_smoothed_sql("shop_id", "shop")
     out["item_smoothed_rate"] = OS.key_smoothed_sql("item_id", "item")
     out["user_smoothed_rate"] = OS.user_smoothed_sql()
+    out["shop_profile"] = OP.shop_profile_sql()
+    out["item_profile"] = OP.item_profile_sql()
+    out["user_profile"] = OP.user_profile_sql()
+    out["user_item_profile"] = OP.user_item_profile_sql()
+    out["item_audience_age"] = OP.item_audience_age_sql()
+    for key, prefix in (("shop_id", "shop"), ("item_id", "item"), ("user_id", "user")):
+        out[f"{prefix}_ratio"] = OP.trade_ratio_sql(key, prefix)
+        out[f"{prefix}_untrade"] = OP.untrade_sql(key, prefix)
+    out["threshold_flags"] = OP.threshold_flags_sql()
+    out["brand_ratio"] = OP.attribute_ratio_sql("item_brand_id")
+    out["city_ratio"] = OP.attribute_ratio_sql("item_city_id")
+    out["item_occupation_ratio"] = OP.occupation_ratio_sql()
+    out["item_gender_mix"] = OP.gender_mix_sql()
+    out["shop_user_trade"] = OP.shop_user_trade_sql()
+    out["hour_ratio"] = OP.hour_ratio_sql()
+    out["category_indicators"] = OP.category_indicators_sql()
     return out

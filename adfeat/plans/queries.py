@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.functions import parse_time
+from adfeat.operators import profiles as P
 from adfeat.operators.ranks import add_time_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
@@ -167,6 +168,90 @@ def _smoothed_query(kind: str) -> Query:
     return run
 
 
+# ---------------------------------------------------------------- tier 2 (disabled in the reference)
+
+# The five market segments of the customer table (occupation
+# pivot columns) and the category ids whose indicators the query builds.
+OCCUPATIONS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+INDICATOR_IDS = ["c10", "c11", "c12", "c13", "c14"]
+
+
+def _lineitem_query(fn: Callable[[DataFrame, DataFrame], DataFrame], cols: list[str], rnd: tuple = ()) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
+        out = fn(hist, tgt)
+        return out.select(*[F.round(c, 6).alias(c) if c in rnd else F.col(c) for c in cols])
+
+    run.__name__ = getattr(fn, "__name__", "tier2")
+    return run
+
+
+def _tier2() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    shop_means = [f"{a}_mean" for a in P.SHOP_ATTRS]
+    item_means = [f"{a}_mean" for a in P.ITEM_ATTRS]
+    q["shop_profile"] = _lineitem_query(P.shop_profile, ["instance_id", "shop_id", *shop_means], tuple(shop_means))
+    q["item_profile"] = _lineitem_query(P.item_profile, ["instance_id", "item_id", *item_means])
+    q["user_profile"] = _lineitem_query(
+        P.user_profile, ["instance_id", "user_id", *[f"{a}_mean" for a in P.USER_ATTRS]]
+    )
+    q["user_item_profile"] = _lineitem_query(P.user_item_profile, ["instance_id", "user_id", "item_id", *item_means])
+    q["item_audience_age"] = _lineitem_query(P.item_audience_age, ["instance_id", "item_id", "item_user_age_mean"])
+    for key, prefix in (("shop_id", "shop"), ("item_id", "item"), ("user_id", "user")):
+        q[f"{prefix}_ratio"] = _lineitem_query(
+            lambda h, t, k=key, p=prefix: P.trade_ratio(h, t, k, p),
+            ["instance_id", key, f"{prefix}_trade_sum", f"{prefix}_trade_count", f"{prefix}_trade_ratio"],
+        )
+        q[f"{prefix}_untrade"] = _lineitem_query(
+            lambda h, t, k=key, p=prefix: P.untrade(h, t, k, p),
+            ["instance_id", key, f"{prefix}_untrade_count", f"{prefix}_untrade_ratio"],
+        )
+    q["threshold_flags"] = _lineitem_query(
+        P.threshold_flags,
+        ["instance_id", "shop_id", "item_id", "user_id", "shop_plus_2", "ad_plus_5", "user_plus_5"],
+    )
+    for key in ("item_brand_id", "item_city_id"):
+        stem = key[: -len("_id")]
+        q[f"{key.split('_')[1]}_ratio"] = _lineitem_query(
+            lambda h, t, k=key: P.attribute_ratio(h, t, k),
+            ["instance_id", key, f"{stem}_sum", f"{stem}_count", f"{stem}_ratio"],
+        )
+    q["item_occupation_ratio"] = _lineitem_query(
+        lambda h, t: P.occupation_ratio(h, t, OCCUPATIONS),
+        ["instance_id", "item_id", *[f"item_occ_{o.lower()}_ratio" for o in OCCUPATIONS]],
+    )
+    q["item_gender_mix"] = _lineitem_query(
+        P.gender_mix,
+        ["instance_id", "item_id", *[f"gender_{g}" for g in range(3)], *[f"ad_gender{g}_ratio" for g in range(3)]],
+    )
+    q["shop_user_trade"] = _lineitem_query(
+        P.shop_user_trade,
+        ["instance_id", "shop_id", "shop_user_trade_count", "shop_user_trade_ratio",
+         "shop_user_untrade_count", "shop_user_untrade_ratio"],
+    )
+    q["hour_ratio"] = hour_ratio
+    q["category_indicators"] = category_indicators
+    return q
+
+
+def hour_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D18 on ``imp_events``: conversions per hour over the user × hour impressions."""
+    hist, tgt = history_and_target(spark, sf_dir, "imp_events")
+    h = H.prepare_history(hist)
+    t = H.add_group(H.prepare_target(tgt, need_key=False), h, H.Group(("user_id", H.HOUR), n="time_user_sum"))
+    out = P.hour_ratio(h, t)
+    return out.select("instance_id", "user_id", H.HOUR, "time_user_sum", "hour_trade_count", "time_user_ratio")
+
+
+def category_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D19 on the whole ``imp_events`` frame."""
+    from adfeat.functions import category_key
+
+    ev = imp_events(spark, sf_dir).select("instance_id", "item_category_list")
+    out = P.category_indicators(ev, category_key("item_category_list"), INDICATOR_IDS)
+    return out
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _group_query(g) for name, g in HISTORY_GROUP_QUERIES.items()}
     q["history_features"] = history_features
@@ -179,4 +264,5 @@ def registry() -> dict[str, Query]:
     q["beta_prior"] = beta_prior
     for kind in ("shop", "item", "user"):
         q[f"{kind}_smoothed_rate"] = _smoothed_query(kind)
+    q.update(_tier2())
     return q
