@@ -52,14 +52,16 @@ def read_impressions(
 ) -> DataFrame:
     """Read an impression log with the fixed schema.
 
-    CSV is read with the declared schema (header on by default), parquet with
-    its own footer schema and then cast, so a missing attribute column is an
-    error at analysis time rather than a silent null.
+    Columns are matched by *name* (CSV header or parquet footer) and cast to
+    the declared types – no schema inference pass over the data.  Columns of
+    the schema that the file lacks are left out, so a feature needing one
+    fails at analysis time rather than reading silent nulls.
     """
     if fmt == "csv":
-        opts = {"header": "true", **options}
-        return spark.read.options(**opts).schema(schema).csv(path)
-    df = spark.read.options(**options).format(fmt).load(path)
+        opts = {"header": "true", "inferSchema": "false", **options}
+        df = spark.read.options(**opts).csv(path)
+    else:
+        df = spark.read.options(**options).format(fmt).load(path)
     present = set(df.columns)
     return df.select(
         *[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields if f.name in present]
