@@ -46,43 +46,73 @@ def _names(prefix: str) -> dict[str, str]:
     }
 
 
+NO_BLOCK = -(2**62)  # block id of rows without a time (sorts before every real block)
+
+
 def rank_table(
     df: DataFrame,
     keys: list[str],
     ts: str,
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
     method: str = "blocks",
+    counts: dict[str, str] | None = None,
 ) -> DataFrame:
-    """``(keys…, ts, _first, _last)`` for every distinct non-null (key, time)."""
-    valid = df.where(keys_present(keys) & F.col(ts).isNotNull())
-    kt = valid.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_peers"))
+    """``(keys…, ts, _first, _last, count…)`` for every distinct non-null key and time.
+
+    ``counts`` (name → column) adds per-key non-null counts of a column, taken
+    from the same aggregate; rows whose time is null then appear once with a
+    null ``ts`` so they are counted but not ranked.
+    """
+    counts = counts or {}
+    cond = keys_present(keys) if counts else keys_present(keys) & F.col(ts).isNotNull()
+    aggs = [F.count(F.lit(1)).alias("_peers")] + [F.count(F.col(c)).alias(f"_c_{n}") for n, c in counts.items()]
+    kt = df.where(cond).groupBy(*keys, ts).agg(*aggs)
+    timed = F.col(ts).isNotNull()
+    peers = F.when(timed, F.col("_peers")).otherwise(F.lit(0))
     half = (F.col("_peers") + F.lit(1)) / F.lit(2.0)
 
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("_peers").over(w), F.lit(0))
-        n = F.sum("_peers").over(Window.partitionBy(*keys))
-        first = before + half
-        return kt.select(*keys, ts, first.alias("_first"), (n + F.lit(1) - first).alias("_last"))
+        whole = Window.partitionBy(*keys)
+        first = F.coalesce(F.sum(peers).over(w), F.lit(0)) + half
+        n = F.sum(peers).over(whole)
+        r = kt.select(
+            *keys,
+            ts,
+            F.when(timed, first).alias("_first"),
+            F.when(timed, n + F.lit(1) - first).alias("_last"),
+            *[F.sum(f"_c_{c}").over(whole).alias(c) for c in counts],
+        )
+        return r
     if method != "blocks":
         raise ValueError(f"unknown rank method {method!r}")
 
     blk = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(float(block_seconds)))
-    kt = kt.withColumn("_blk", blk)
+    kt = kt.withColumn("_blk", F.coalesce(blk, F.lit(NO_BLOCK)))
     w_in = Window.partitionBy(*keys, "_blk").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    kt = kt.withColumn("_before_in", F.coalesce(F.sum("_peers").over(w_in), F.lit(0)))
+    kt = kt.withColumn("_before_in", F.coalesce(F.sum(peers).over(w_in), F.lit(0)))
 
-    blocks = kt.groupBy(*keys, "_blk").agg(F.sum("_peers").alias("_blk_rows"))
+    blocks = kt.groupBy(*keys, "_blk").agg(
+        F.sum(peers).alias("_blk_rows"), *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in counts]
+    )
     w_blk = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
     blocks = blocks.select(
         *keys,
         "_blk",
         F.coalesce(F.sum("_blk_rows").over(w_blk), F.lit(0)).alias("_before_blk"),
-        F.sum("_blk_rows").over(Window.partitionBy(*keys)).alias("_n"),
+        F.sum("_blk_rows").over(whole).alias("_n"),
+        *[F.sum(f"_c_{c}").over(whole).alias(c) for c in counts],
     )
     r = kt.join(blocks, on=[*keys, "_blk"], how="inner")
     first = F.col("_before_blk") + F.col("_before_in") + half
-    return r.select(*keys, ts, first.alias("_first"), (F.col("_n") + F.lit(1) - first).alias("_last"))
+    return r.select(
+        *keys,
+        ts,
+        F.when(timed, first).alias("_first"),
+        F.when(timed, F.col("_n") + F.lit(1) - first).alias("_last"),
+        *[F.col(c) for c in counts],
+    )
 
 
 def flag_one(rank: Column) -> Column:
@@ -99,17 +129,34 @@ def add_time_ranks(
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
     method: str = "blocks",
     source: DataFrame | None = None,
+    counts: dict[str, str] | None = None,
 ) -> DataFrame:
     """Append ``{prefix}_{last,first}_rank`` and ``{prefix}_if_{last,first}``.
 
     ``order`` fixes the column order (the reference writes some keys
     last-first and others first-last).  ``source`` is the frame the ranks are
     computed over when ``df`` is a widened copy of it (same rows).
+    ``counts`` (name → column) also attaches per-key non-null counts of a
+    column from the same aggregate and join, placed before the ranks
+    (0 for a null key).
     """
     names = _names(prefix)
-    r = rank_table(source if source is not None else df, keys, ts, block_seconds=block_seconds, method=method)
-    joined = df.join(r, on=[*keys, ts], how="left")
-    out: list[Column] = []
+    counts = counts or {}
+    r = rank_table(
+        source if source is not None else df, keys, ts, block_seconds=block_seconds, method=method, counts=counts
+    )
+    # rename the table's columns so the join condition is unambiguous
+    rr = r.select(
+        *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
+        F.col(ts).alias("_rts"),
+        "_first",
+        "_last",
+        *[F.col(c).alias(f"_rc_{c}") for c in counts],
+    )
+    cond = [F.col(k) == F.col(f"_rk{i}") for i, k in enumerate(keys)]
+    cond.append(F.col(ts).eqNullSafe(F.col("_rts")) if counts else F.col(ts) == F.col("_rts"))
+    joined = df.join(rr, cond, how="left")
+    out: list[Column] = [F.coalesce(F.col(f"_rc_{c}"), F.lit(0)).alias(c) for c in counts]
     for direction in order:
         rank = F.col("_first" if direction == "first" else "_last")
         out += [rank.alias(names[direction]), flag_one(rank).alias(names[f"if_{direction}"])]

@@ -30,6 +30,7 @@ from adfeat.functions import (
 )
 from adfeat.operators.counts import attach, key_aggregate
 from adfeat.operators.ranks import DEFAULT_BLOCK_SECONDS, add_time_ranks
+from adfeat.sources.staging import stage
 
 TS = "_ts"
 N_PROPS = 7
@@ -93,7 +94,6 @@ PREDICT_RANK_COUNTS = [
 
 DROPPED = [
     "item_category",
-    "predict_category",
     "predict_category_property",
     "item_property_list",
     *[f"item_pro{i}" for i in range(1, N_PROPS + 1)],
@@ -128,12 +128,22 @@ def add_frame_counts(frame: DataFrame, base: DataFrame, specs=FRAME_COUNTS) -> D
 
 
 def add_entity_ranks(
-    frame: DataFrame, base: DataFrame, specs=ENTITY_RANKS, block_seconds: int = DEFAULT_BLOCK_SECONDS
+    frame: DataFrame,
+    base: DataFrame,
+    specs=ENTITY_RANKS,
+    block_seconds: int = DEFAULT_BLOCK_SECONDS,
+    counts: dict[str, dict[str, str]] | None = None,
 ) -> DataFrame:
-    """Average time ranks in shop, user, item, user×item, user×shop."""
+    """Average time ranks in shop, user, item, user×item, user×shop.
+
+    ``counts`` (prefix → {name: column}) fuses per-key counts into the rank
+    table of the same key: one aggregate and one join instead of two.
+    """
+    counts = counts or {}
     for keys, prefix, order in specs:
         frame = add_time_ranks(
-            frame, keys, TS, prefix, order=order, block_seconds=block_seconds, source=base
+            frame, keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
+            counts=counts.get(prefix),
         )
     return frame
 
@@ -158,18 +168,24 @@ def add_category_popularity(frame: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def add_property_ranks(
-    frame: DataFrame, base: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS
+    frame: DataFrame,
+    base: DataFrame,
+    block_seconds: int = DEFAULT_BLOCK_SECONDS,
+    counts: dict[str, dict[str, str]] | None = None,
 ) -> DataFrame:
-    """Average time ranks within each of properties 1-7."""
+    """Average time ranks within each of properties 1-7 (``counts`` as above)."""
+    counts = counts or {}
     for i in range(1, N_PROPS + 1):
+        prefix = f"item_pro{i}"
         frame = add_time_ranks(
             frame,
-            [f"item_pro{i}"],
+            [prefix],
             TS,
-            f"item_pro{i}",
+            prefix,
             order=PROPERTY_RANK_ORDER[i],
             block_seconds=block_seconds,
             source=base,
+            counts=counts.get(prefix),
         )
     return frame
 
@@ -185,21 +201,62 @@ def add_predict_rank_counts(frame: DataFrame, base: DataFrame) -> DataFrame:
     return frame
 
 
-def frame_features(label: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """All within-frame features (70 columns + ``user_item_pre_count``)."""
+# Counts that share their key with a rank table (fused into it by ``frame_features``).
+ENTITY_FUSED = {
+    "user": {"user_sum_label": "instance_id"},
+    "item": {"item_sum_label": "instance_id"},
+    "shop": {"shop_sum_label": "instance_id"},
+    "user_item": {"user_item_sum_label": "instance_id"},
+    "user_shop": {"user_shop_sum_label": "instance_id"},
+}
+PROPERTY_FUSED = {
+    "item_pro1": {"item_pro1_sum_x": "instance_id"},
+    "item_pro2": {"item_pro2_sum": "instance_id"},
+    "item_pro3": {"item_pro3_sum": "instance_id"},
+    "item_pro4": {"item_pro4_sum": "instance_id"},
+}
+
+
+def frame_features(
+    label: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS, staged: bool = True
+) -> DataFrame:
+    """All within-frame features (70 columns + ``user_item_pre_count``).
+
+    Counts keyed like a rank table (B1-B5 with B6-B15, B19-B22 with B28-B31)
+    come out of that table's aggregate and join.  With ``staged`` the parsed
+    frame is written once to the checkpoint folder and every branch reads its
+    columns from there (see ``sources.staging``).  Column order follows the
+    reference.
+    """
     base = prepare_frame(label)
-    f = add_frame_counts(base, base, FRAME_COUNTS)
-    f = add_entity_ranks(f, base, block_seconds=block_seconds)
+    if staged:
+        base = stage(base.drop("predict_category"), "frame")
+    f = add_entity_ranks(base, base, block_seconds=block_seconds, counts=ENTITY_FUSED)
     f = add_category_popularity(f, base)
-    f = add_frame_counts(f, base, PROPERTY_COUNTS + PROPERTY_CROSSES)
-    f = add_property_ranks(f, base, block_seconds=block_seconds)
+    f = add_frame_counts(f, base, PROPERTY_CROSSES)
+    f = add_property_ranks(f, base, block_seconds=block_seconds, counts=PROPERTY_FUSED)
     f = add_predict_rank_counts(f, base)
-    return f.drop(*DROPPED, TS)
+    order = (
+        [c for c in label.columns if c not in DROPPED]
+        + [PREDICT_RANK, "property_len"]
+        + [name for _, name in FRAME_COUNTS]
+        + [c for c in f.columns if c.endswith(("_rank", "_if_last", "_if_first")) and c.startswith(("shop_", "user_", "item_"))
+           and not c.startswith("item_pro") and c != PREDICT_RANK]
+        + ["item_category_sum"]
+        + [name for _, name in PROPERTY_COUNTS + PROPERTY_CROSSES]
+        + [c for c in f.columns if c.startswith("item_pro") and c.endswith(("_rank", "_if_last", "_if_first"))]
+        + [name for _, cols in PREDICT_RANK_COUNTS for name in cols]
+    )
+    return f.select(*order)  # parsed temporaries (DROPPED, _ts) fall away here
 
 
-def frame_subset(label: DataFrame, step: str, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+def frame_subset(
+    label: DataFrame, step: str, block_seconds: int = DEFAULT_BLOCK_SECONDS, staged: bool = False
+) -> DataFrame:
     """One step of the section on the parsed frame (keeps the parsed columns)."""
     base = prepare_frame(label)
+    if staged:
+        base = stage(base, f"frame-{step}")
     if step == "counts":
         return add_frame_counts(base, base, FRAME_COUNTS)
     if step == "entity_ranks":
