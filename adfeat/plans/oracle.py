@@ -6,6 +6,7 @@ from adfeat.plans import oracle_frame as OF
 from adfeat.plans import oracle_history as OH
 from adfeat.plans import oracle_profiles as OP
 from adfeat.plans import oracle_smoothing as OS
+from adfeat.plans.sql_views import frame_view
 
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
 
@@ -69,4 +70,10 @@ def oracle_sql() -> dict[str, str]:
     out["shop_user_trade"] = OP.shop_user_trade_sql()
     out["hour_ratio"] = OP.hour_ratio_sql()
     out["category_indicators"] = OP.category_indicators_sql()
+    out["streaming_user_shop_counts"] = (
+        frame_view("imp_events")
+        + "\nSELECT user_id, shop_id, count(is_trade) AS user_shop_sum, "
+        "count(*) FILTER (WHERE is_trade = 1) AS user_shop_trade FROM imp_events "
+        "WHERE user_id IS NOT NULL AND shop_id IS NOT NULL GROUP BY user_id, shop_id"
+    )
     return out

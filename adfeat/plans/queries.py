@@ -252,6 +252,26 @@ def category_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# ---------------------------------------------------------------- streaming
+
+
+def streaming_user_shop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User × shop counts maintained by a Structured Streaming aggregate over ``events``."""
+    import uuid
+
+    from adfeat.session import ensure_checkpoint_dir
+    from adfeat.streaming import impression_stream, latest_counts, streaming_key_counts, write_changelog
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stream-{uuid.uuid4().hex}"
+    keys, measures = ["user_id", "shop_id"], ["user_shop_sum", "user_shop_trade"]
+    counts = streaming_key_counts(impression_stream(spark, sf_dir), keys, *measures)
+    q = write_changelog(counts, f"{root}/log", f"{root}/state")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return latest_counts(spark, f"{root}/log", keys, measures)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _group_query(g) for name, g in HISTORY_GROUP_QUERIES.items()}
     q["history_features"] = history_features
@@ -265,4 +285,5 @@ def registry() -> dict[str, Query]:
     for kind in ("shop", "item", "user"):
         q[f"{kind}_smoothed_rate"] = _smoothed_query(kind)
     q.update(_tier2())
+    q["streaming_user_shop_counts"] = streaming_user_shop_counts
     return q

@@ -33,7 +33,11 @@ def _bounded(df: DataFrame, ts: str, since: str | None, until: str | None) -> Da
 def imp_events(
     spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
-    ev = _bounded(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", since, until)
+    return imp_events_from(_bounded(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", since, until))
+
+
+def imp_events_from(ev: DataFrame) -> DataFrame:
+    """Shape an ``events`` DataFrame (batch or streaming) into the impression log."""
     k = F.replace(F.replace(F.col("props"), F.lit('{"k": '), F.lit("")), F.lit("}"), F.lit("")).cast(
         "bigint"
     )

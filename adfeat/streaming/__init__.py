@@ -1,0 +1,8 @@
+from adfeat.streaming.counts import (
+    impression_stream,
+    latest_counts,
+    streaming_key_counts,
+    write_changelog,
+)
+
+__all__ = ["impression_stream", "latest_counts", "streaming_key_counts", "write_changelog"]
