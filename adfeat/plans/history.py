@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.functions import category_key, hour_of
-from adfeat.operators.counts import add_counts
+from adfeat.operators.counts import LABEL, add_counts, attach, key_aggregate
+from adfeat.sources.staging import estimated_bytes, stage
 
 CAT_KEY = "_cat_key"
 HOUR = "hour"
@@ -85,13 +86,60 @@ def prepare_target(target: DataFrame, need_key: bool = True) -> DataFrame:
     return target
 
 
-def add_group(target: DataFrame, hist: DataFrame, group: Group) -> DataFrame:
+CELL_KEYS = ["user_id", "item_id", "shop_id", CAT_KEY, HOUR]
+
+
+class Cells:
+    """The history aggregated once to its finest key (user, item, shop, category, hour).
+
+    Every key group of the section is a roll-up of these cells: impressions and
+    conversions add up, and the mean label is Σ label / Σ impressions.  The
+    history is scanned and parsed once (one partial-aggregated shuffle) and the
+    cells are staged as parquet in the checkpoint folder, so the eleven
+    roll-ups read a compact integer table instead of re-parsing the raw log.
+    Null keys stay in the cells as their own value and are dropped per roll-up.
+    """
+
+    def __init__(self, hist: DataFrame, staged: bool = True) -> None:
+        cells = prepare_history(hist).groupBy(*CELL_KEYS).agg(
+            F.count(F.col(LABEL)).alias("_n"),
+            F.count_if(F.col(LABEL) == 1).alias("_c"),
+            F.sum(F.col(LABEL)).alias("_s"),
+        )
+        self.df = stage(cells, "history-cells") if staged else cells
+
+    def table(self, group: Group) -> DataFrame:
+        aggs = {}
+        if group.n:
+            aggs[group.n] = F.sum("_n")
+        if group.mean:
+            aggs[group.mean] = F.try_divide(F.sum("_s"), F.sum("_n"))
+        if group.conv:
+            aggs[group.conv] = F.sum("_c")
+        return key_aggregate(self.df, list(group.keys), aggs)
+
+
+def add_group(target: DataFrame, hist: DataFrame | Cells, group: Group) -> DataFrame:
+    if isinstance(hist, Cells):
+        return attach(target, hist.table(group), list(group.keys), 0)
     return add_counts(target, hist, list(group.keys), n=group.n, conv=group.conv, mean=group.mean)
 
 
-def history_features(hist: DataFrame, target: DataFrame) -> DataFrame:
-    """The 22 history count features attached to every target row."""
-    h = prepare_history(hist)
+# Above this estimated size of the parsed history the cells pay for their staging write.
+CELLS_MIN_BYTES = 256 << 20
+
+
+def history_source(hist: DataFrame, strategy: str = "auto") -> DataFrame | Cells:
+    """``cells``: roll up from staged cells; ``direct``: aggregate the pruned log per group;
+    ``auto``: cells when Catalyst estimates the parsed history above ``CELLS_MIN_BYTES``."""
+    if strategy == "auto":
+        strategy = "cells" if estimated_bytes(prepare_history(hist)) >= CELLS_MIN_BYTES else "direct"
+    return Cells(hist) if strategy == "cells" else prepare_history(hist)
+
+
+def history_features(hist: DataFrame, target: DataFrame, strategy: str = "auto") -> DataFrame:
+    """The 22 history count features attached to every target row (see ``history_source``)."""
+    h = history_source(hist, strategy)
     t = prepare_target(target).drop("item_category_list")
     for group in SECTION.values():
         t = add_group(t, h, group)
@@ -109,48 +157,54 @@ def section_group(hist: DataFrame, target: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------------- modular form
 
 
-def shop_feat(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(base, prepare_history(hist), SECTION["shop"])
+def _h(hist: DataFrame | Cells) -> DataFrame | Cells:
+    if isinstance(hist, Cells) or CAT_KEY in hist.columns:
+        return hist
+    return prepare_history(hist)
+
+
+def shop_feat(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(base, _h(hist), SECTION["shop"])
 
 
-def ad_feat(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(base, prepare_history(hist), _g(["item_id"], "item_trade_sum"))
+def ad_feat(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(base, _h(hist), _g(["item_id"], "item_trade_sum"))
 
 
-def user_feat(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(base, prepare_history(hist), SECTION["user"])
+def user_feat(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(base, _h(hist), SECTION["user"])
 
 
-def user_ad(hist: DataFrame, base: DataFrame) -> DataFrame:
-    h = prepare_history(hist)
+def user_ad(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    h = _h(hist)
     t = add_group(base, h, SECTION["user_item"])
     t = t.withColumn(CAT_KEY, category_key("item_category_list")).drop("item_category_list")
     return add_group(t, h, SECTION["user_category"]).drop(CAT_KEY)
 
 
-def user_shop(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(base, prepare_history(hist), SECTION["user_shop"])
+def user_shop(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(base, _h(hist), SECTION["user_shop"])
 
 
-def user_context(hist: DataFrame, base: DataFrame) -> DataFrame:
+def user_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
     t = prepare_target(base, need_key=False)
-    return add_group(t, prepare_history(hist), _g(["user_id", HOUR], "time_user_sum"))
+    return add_group(t, _h(hist), _g(["user_id", HOUR], "time_user_sum"))
 
 
-def ad_context(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(prepare_target(base, need_key=False), prepare_history(hist), SECTION["item_hour"])
+def ad_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(prepare_target(base, need_key=False), _h(hist), SECTION["item_hour"])
 
 
-def shop_context(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(prepare_target(base, need_key=False), prepare_history(hist), SECTION["shop_hour"])
+def shop_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(prepare_target(base, need_key=False), _h(hist), SECTION["shop_hour"])
 
 
-def user_shop_context(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(prepare_target(base, need_key=False), prepare_history(hist), USER_SHOP_HOUR_COUNTS)
+def user_shop_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(prepare_target(base, need_key=False), _h(hist), USER_SHOP_HOUR_COUNTS)
 
 
-def user_ad_context(hist: DataFrame, base: DataFrame) -> DataFrame:
-    return add_group(prepare_target(base, need_key=False), prepare_history(hist), SECTION["user_item_hour"])
+def user_ad_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
+    return add_group(prepare_target(base, need_key=False), _h(hist), SECTION["user_item_hour"])
 
 
 MODULAR_CHAIN = [
@@ -167,11 +221,12 @@ MODULAR_CHAIN = [
 ]
 
 
-def modular_features(hist: DataFrame, target: DataFrame) -> DataFrame:
-    """All ten modular methods in order (20 columns)."""
+def modular_features(hist: DataFrame, target: DataFrame, strategy: str = "auto") -> DataFrame:
+    """All ten modular methods in order (20 columns), sharing one history source."""
+    h = history_source(hist, strategy)
     base = target
     for step in MODULAR_CHAIN:
-        base = step(hist, base)
+        base = step(h, base)
     return base
 
 

@@ -25,3 +25,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{root}/adfeat-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes scaled by the pruned columns); no job."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
+        return 1 << 62

@@ -55,3 +55,12 @@ def test_category_indicators(spark):
     df = spark.createDataFrame([("x",), ("c1",), (None,)], "cat string")
     got = [tuple(r) for r in category_indicators(df, "cat", ["c1", "c2"]).collect()]
     assert got == [("x", 1, 0, 0), ("c1", 0, 1, 0), (None, 1, 0, 0)]
+
+
+def test_cells_rollup_equals_direct(spark):
+    hist, tgt = history_and_target(spark, SF_SMALL, "imp_events")
+    a = history_features(hist, tgt, strategy="cells")
+    b = history_features(hist, tgt, strategy="direct")
+    assert a.columns == b.columns
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
