@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from adfeat.operators.counts import keys_present
 
-DEFAULT_BLOCK_SECONDS = 3600
+DEFAULT_BLOCK_SECONDS = 86400
 
 
 def _names(prefix: str) -> dict[str, str]:
