@@ -137,13 +137,50 @@ def history_source(hist: DataFrame, strategy: str = "auto") -> DataFrame | Cells
     return Cells(hist) if strategy == "cells" else prepare_history(hist)
 
 
-def history_features(hist: DataFrame, target: DataFrame, strategy: str = "auto") -> DataFrame:
-    """The 22 history count features attached to every target row (see ``history_source``)."""
+# Above this estimated target size the features go onto the distinct key combinations.
+NARROW_MIN_BYTES = 256 << 20
+
+
+def attach_by_key_combos(target: DataFrame, keys: list[str], add) -> DataFrame:
+    """Apply ``add`` (a chain of attaches) to the distinct key combinations, then join once.
+
+    Each attach of the chain shuffles its input by its own keys; on the wide
+    target that is one full shuffle of every column per feature group.  On the
+    distinct combinations of ``keys`` it shuffles a narrow table, and the wide
+    rows move once, in the final join (null-safe: a null key is a combination
+    like any other, and the chain itself gives it 0 counts).
+    """
+    combos = target.select(*keys).distinct()
+    feats = add(combos)
+    added = [c for c in feats.columns if c not in keys]
+    renamed = feats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *added)
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return target.join(renamed, cond, "left").select(*target.columns, *added)
+
+
+def history_features(
+    hist: DataFrame, target: DataFrame, strategy: str = "auto", attach_to: str = "auto"
+) -> DataFrame:
+    """The 22 history count features attached to every target row.
+
+    ``strategy`` picks the history side (see ``history_source``); ``attach_to``
+    picks the target side: ``rows`` chains the attaches on the target rows,
+    ``keys`` on its distinct key combinations (``attach_by_key_combos``),
+    ``auto`` uses ``keys`` when Catalyst estimates the target above
+    ``NARROW_MIN_BYTES``.
+    """
     h = history_source(hist, strategy)
     t = prepare_target(target).drop("item_category_list")
-    for group in SECTION.values():
-        t = add_group(t, h, group)
-    return t.drop(CAT_KEY)
+    if attach_to == "auto":
+        attach_to = "keys" if estimated_bytes(t) >= NARROW_MIN_BYTES else "rows"
+
+    def chain(df: DataFrame) -> DataFrame:
+        for group in SECTION.values():
+            df = add_group(df, h, group)
+        return df
+
+    out = attach_by_key_combos(t, CELL_KEYS, chain) if attach_to == "keys" else chain(t)
+    return out.drop(CAT_KEY)
 
 
 def section_group(hist: DataFrame, target: DataFrame, name: str) -> DataFrame:

@@ -64,3 +64,12 @@ def test_cells_rollup_equals_direct(spark):
     assert a.columns == b.columns
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_key_combo_attach_equals_row_attach(spark):
+    hist, tgt = history_and_target(spark, SF_SMALL, "imp_events")
+    a = history_features(hist, tgt, attach_to="keys", strategy="cells")
+    b = history_features(hist, tgt, attach_to="rows", strategy="direct")
+    assert a.columns == b.columns
+    assert a.count() == b.count() == tgt.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
