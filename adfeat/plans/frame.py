@@ -30,7 +30,7 @@ from adfeat.functions import (
 )
 from adfeat.operators.counts import attach, key_aggregate
 from adfeat.operators.ranks import DEFAULT_BLOCK_SECONDS, add_time_ranks
-from adfeat.sources.staging import stage
+from adfeat.sources.staging import estimated_bytes, stage
 
 TS = "_ts"
 N_PROPS = 7
@@ -190,9 +190,9 @@ def add_property_ranks(
     return frame
 
 
-def add_predict_rank_counts(frame: DataFrame, base: DataFrame) -> DataFrame:
+def add_predict_rank_counts(frame: DataFrame, base: DataFrame, specs=PREDICT_RANK_COUNTS) -> DataFrame:
     """Rows per entity × predicted-category rank."""
-    for keys, cols in PREDICT_RANK_COUNTS:
+    for keys, cols in specs:
         aggs = {
             name: F.avg(F.col("instance_id")) if kind == "mean" else F.count(F.col("instance_id"))
             for name, kind in cols.items()
@@ -217,37 +217,107 @@ PROPERTY_FUSED = {
 }
 
 
+ROW = "_row"
+# Above this estimated size of the staged frame the groups are assembled by row id.
+ASSEMBLE_MIN_BYTES = 256 << 20
+
+
+def _output_order(label: DataFrame, columns: list[str]) -> list[str]:
+    ranks = [
+        c
+        for keys, prefix, order in ENTITY_RANKS
+        for d in order
+        for c in (f"{prefix}_{d}_rank", f"{prefix}_if_{d}")
+    ]
+    prop_ranks = [
+        f"item_pro{i}_{c}" for i, order in PROPERTY_RANK_ORDER.items() for d in order for c in (f"{d}_rank", f"if_{d}")
+    ]
+    order = (
+        [c for c in label.columns if c not in DROPPED]
+        + [PREDICT_RANK, "property_len"]
+        + [name for _, name in FRAME_COUNTS]
+        + ranks
+        + ["item_category_sum"]
+        + [name for _, name in PROPERTY_COUNTS + PROPERTY_CROSSES]
+        + prop_ranks
+        + [name for _, cols in PREDICT_RANK_COUNTS for name in cols]
+    )
+    missing = set(order) - set(columns)
+    if missing:
+        raise AssertionError(f"frame features missing {sorted(missing)}")
+    return order
+
+
+def _group_parts(base: DataFrame, block_seconds: int) -> list[DataFrame]:
+    """Each feature group on a narrow ``(row id, its keys)`` projection → ``(row id, features)``."""
+    parts: list[DataFrame] = []
+
+    def narrow(*cols: str) -> DataFrame:
+        return base.select(ROW, *cols)
+
+    for keys, prefix, order in ENTITY_RANKS:
+        ranked = add_time_ranks(
+            narrow(*keys, TS), keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
+            counts=ENTITY_FUSED.get(prefix),
+        )
+        parts.append(ranked.drop(*keys, TS))
+    parts.append(add_category_popularity(narrow("item_category"), base).drop("item_category"))
+    for keys, name in PROPERTY_CROSSES:
+        parts.append(add_frame_counts(narrow(*keys), base, [(keys, name)]).drop(*keys))
+    for i in range(1, N_PROPS + 1):
+        prefix = f"item_pro{i}"
+        ranked = add_time_ranks(
+            narrow(prefix, TS), [prefix], TS, prefix, order=PROPERTY_RANK_ORDER[i], block_seconds=block_seconds,
+            source=base, counts=PROPERTY_FUSED.get(prefix),
+        )
+        parts.append(ranked.drop(prefix, TS))
+    for keys, cols in PREDICT_RANK_COUNTS:
+        parts.append(add_predict_rank_counts(narrow(*keys), base, [(keys, cols)]).drop(*keys))
+    return parts
+
+
 def frame_features(
-    label: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS, staged: bool = True
+    label: DataFrame,
+    block_seconds: int = DEFAULT_BLOCK_SECONDS,
+    staged: bool = True,
+    assemble: str = "auto",
 ) -> DataFrame:
     """All within-frame features (70 columns + ``user_item_pre_count``).
 
     Counts keyed like a rank table (B1-B5 with B6-B15, B19-B22 with B28-B31)
     come out of that table's aggregate and join.  With ``staged`` the parsed
     frame is written once to the checkpoint folder and every branch reads its
-    columns from there (see ``sources.staging``).  Column order follows the
+    columns from there (see ``sources.staging``).
+
+    ``assemble`` picks how the 23 feature groups meet the frame: ``chain``
+    attaches them one after another to the frame (each attach shuffles the
+    widening frame by that group's keys); ``row_ids`` computes every group on
+    a narrow ``(row id, keys)`` projection and joins the parts on the row id –
+    all parts are hash-partitioned on the same key, so those joins are
+    co-partitioned and the wide rows move once (needs ``staged``, which makes
+    the row ids stable); ``auto`` uses ``row_ids`` when Catalyst estimates the
+    staged frame above ``ASSEMBLE_MIN_BYTES``.  Column order follows the
     reference.
     """
     base = prepare_frame(label)
     if staged:
-        base = stage(base.drop("predict_category"), "frame")
-    f = add_entity_ranks(base, base, block_seconds=block_seconds, counts=ENTITY_FUSED)
-    f = add_category_popularity(f, base)
-    f = add_frame_counts(f, base, PROPERTY_CROSSES)
-    f = add_property_ranks(f, base, block_seconds=block_seconds, counts=PROPERTY_FUSED)
-    f = add_predict_rank_counts(f, base)
-    order = (
-        [c for c in label.columns if c not in DROPPED]
-        + [PREDICT_RANK, "property_len"]
-        + [name for _, name in FRAME_COUNTS]
-        + [c for c in f.columns if c.endswith(("_rank", "_if_last", "_if_first")) and c.startswith(("shop_", "user_", "item_"))
-           and not c.startswith("item_pro") and c != PREDICT_RANK]
-        + ["item_category_sum"]
-        + [name for _, name in PROPERTY_COUNTS + PROPERTY_CROSSES]
-        + [c for c in f.columns if c.startswith("item_pro") and c.endswith(("_rank", "_if_last", "_if_first"))]
-        + [name for _, cols in PREDICT_RANK_COUNTS for name in cols]
-    )
-    return f.select(*order)  # parsed temporaries (DROPPED, _ts) fall away here
+        base = stage(base.drop("predict_category").withColumn(ROW, F.monotonically_increasing_id()), "frame")
+    if assemble == "auto":
+        assemble = "row_ids" if staged and estimated_bytes(base) >= ASSEMBLE_MIN_BYTES else "chain"
+    if assemble == "row_ids":
+        if not staged:
+            raise ValueError("assemble='row_ids' needs staged=True (stable row ids)")
+        f = base
+        for part in _group_parts(base, block_seconds):
+            f = f.join(part, on=ROW, how="left")
+    else:
+        f = add_entity_ranks(base, base, block_seconds=block_seconds, counts=ENTITY_FUSED)
+        f = add_category_popularity(f, base)
+        f = add_frame_counts(f, base, PROPERTY_CROSSES)
+        f = add_property_ranks(f, base, block_seconds=block_seconds, counts=PROPERTY_FUSED)
+        f = add_predict_rank_counts(f, base)
+    # parsed temporaries (DROPPED, _ts, _row) fall away here
+    return f.select(*_output_order(label, f.columns))
 
 
 def frame_subset(

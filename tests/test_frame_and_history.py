@@ -73,3 +73,14 @@ def test_key_combo_attach_equals_row_attach(spark):
     assert a.columns == b.columns
     assert a.count() == b.count() == tgt.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_row_id_assembly_equals_chain(spark):
+    label = imp_events(spark, SF_SMALL)
+    a = frame_features(label, assemble="row_ids")
+    b = frame_features(label, assemble="chain")
+    c = frame_features(label, staged=False)
+    assert a.columns == b.columns == c.columns
+    assert a.count() == b.count() == label.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert c.exceptAll(b).count() == 0
