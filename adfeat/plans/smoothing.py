@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 
 from adfeat.operators.counts import attach, key_counts
 from adfeat.operators.smoothing import BetaPrior, fit_beta_prior, smoothed_rate
+from adfeat.sources.staging import estimated_bytes, stage
+
+# Above this estimated history size the per-key counts are staged, so the fit and
+# the attached table read one aggregate instead of scanning the history twice.
+STAGE_COUNTS_MIN_BYTES = 256 << 20
+
+
+def _counts(hist: DataFrame, key: str, n: str, c: str) -> DataFrame:
+    counts = key_counts(hist, [key], n=n, conv=c)
+    return stage(counts, f"{key}-counts") if estimated_bytes(hist) >= STAGE_COUNTS_MIN_BYTES else counts
 
 
 def key_smoothing(
@@ -30,7 +40,7 @@ def key_smoothing(
     beta0: float = 1.0,
 ) -> tuple[DataFrame, BetaPrior]:
     n, c, s = f"{prefix}_trade_sum", f"{prefix}_trade_count", f"{prefix}_trade_smooth"
-    counts = key_counts(hist, [key], n=n, conv=c)
+    counts = _counts(hist, key, n, c)
     prior = fit_beta_prior(counts, n, c, alpha0, beta0, iter_num, epsilon)
     table = counts.select(key, n, c, smoothed_rate(n, c, prior).alias(s))
     return attach(base, table, [key], fills={n: 0, c: 0, s: prior.mean}), prior
@@ -47,10 +57,13 @@ def item_smoothing(hist: DataFrame, base: DataFrame, **kw) -> tuple[DataFrame, B
 def user_smoothing(
     hist: DataFrame, base: DataFrame, iter_num: int = 100, epsilon: float = 0.001
 ) -> tuple[DataFrame, BetaPrior]:
-    counts = key_counts(hist, ["user_id"], n="user_trade_sum", conv="user_trade_count")
+    counts = _counts(hist, "user_id", "user_trade_sum", "user_trade_count")
     out = attach(base, counts, ["user_id"], 0)
-    # weight each distinct (n, c) by the number of target rows carrying it
-    pairs = out.groupBy("user_trade_sum", "user_trade_count").agg(F.count(F.lit(1)).alias("_rows"))
+    # Each target row weighs its user's (n, c).  Rows of unseen or null users carry
+    # (0, 0), which adds nothing to any digamma sum, so the weights are the target's
+    # row counts per *seen* user – an aggregate of the target, not a second join of it.
+    rows = base.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
+    pairs = rows.join(counts, "user_id").select("user_trade_sum", "user_trade_count", "_rows")
     prior = fit_beta_prior(pairs, "user_trade_sum", "user_trade_count", 1.0, 1.0, iter_num, epsilon, weight="_rows")
     return out.withColumn("user_trade_smooth", smoothed_rate("user_trade_sum", "user_trade_count", prior)), prior
 
