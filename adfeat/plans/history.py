@@ -215,8 +215,11 @@ def user_feat(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
 def user_ad(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
     h = _h(hist)
     t = add_group(base, h, SECTION["user_item"])
-    t = t.withColumn(CAT_KEY, category_key("item_category_list")).drop("item_category_list")
-    return add_group(t, h, SECTION["user_category"]).drop(CAT_KEY)
+    keyed = CAT_KEY in t.columns  # key combinations already carry the category key
+    if not keyed:
+        t = t.withColumn(CAT_KEY, category_key("item_category_list")).drop("item_category_list")
+    t = add_group(t, h, SECTION["user_category"])
+    return t if keyed else t.drop(CAT_KEY)
 
 
 def user_shop(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
@@ -258,13 +261,27 @@ MODULAR_CHAIN = [
 ]
 
 
-def modular_features(hist: DataFrame, target: DataFrame, strategy: str = "auto") -> DataFrame:
-    """All ten modular methods in order (20 columns), sharing one history source."""
+def modular_features(
+    hist: DataFrame, target: DataFrame, strategy: str = "auto", attach_to: str = "auto"
+) -> DataFrame:
+    """All ten modular methods in order (20 columns), sharing one history source.
+
+    ``attach_to`` as in ``history_features``.
+    """
     h = history_source(hist, strategy)
-    base = target
-    for step in MODULAR_CHAIN:
-        base = step(h, base)
-    return base
+    if attach_to == "auto":
+        attach_to = "keys" if estimated_bytes(target) >= NARROW_MIN_BYTES else "rows"
+
+    def chain(df: DataFrame) -> DataFrame:
+        for step in MODULAR_CHAIN:
+            df = step(h, df)
+        return df
+
+    if attach_to != "keys":
+        return chain(target)
+    t = prepare_target(target)
+    out = attach_by_key_combos(t, CELL_KEYS, chain)
+    return out.drop("item_category_list", CAT_KEY)
 
 
 def keep(df: DataFrame, cols: list[str]) -> DataFrame:

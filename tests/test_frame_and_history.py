@@ -84,3 +84,13 @@ def test_row_id_assembly_equals_chain(spark):
     assert a.count() == b.count() == label.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert c.exceptAll(b).count() == 0
+
+
+def test_modular_key_combo_attach_equals_rows(spark):
+    hist, tgt = history_and_target(spark, SF_SMALL, "imp_events")
+    a = modular_features(hist, tgt, attach_to="keys", strategy="cells")
+    b = modular_features(hist, tgt, attach_to="rows", strategy="direct")
+    assert sorted(a.columns) == sorted(b.columns)
+    a = a.select(*b.columns)
+    assert a.count() == b.count() == tgt.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
