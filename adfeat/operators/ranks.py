@@ -24,7 +24,11 @@ key holding a third of the log that task holds a third of the data.  Instead:
 4. add the two offsets and join the ranks back on ``(key, ts)``, which spreads
    a hot key over partitions by time.
 
-``method="window"`` is the direct window form, kept for cross-checking.
+``method="window"`` is the direct window form over the distinct (key, time)
+table.  ``method="auto"`` (default) uses it only when Catalyst estimates the
+whole source below ``BLOCKS_MIN_BYTES`` – then no key can hold more than a
+task comfortably sorts, and the two extra block stages would be pure
+overhead – and the block plan otherwise.
 """
 
 from __future__ import annotations
@@ -33,8 +37,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adfeat.operators.counts import keys_present
+from adfeat.sources.staging import estimated_bytes
 
 DEFAULT_BLOCK_SECONDS = 86400
+BLOCKS_MIN_BYTES = 256 << 20
 
 
 def _names(prefix: str) -> dict[str, str]:
@@ -54,7 +60,7 @@ def rank_table(
     keys: list[str],
     ts: str,
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    method: str = "blocks",
+    method: str = "auto",
     counts: dict[str, str] | None = None,
 ) -> DataFrame:
     """``(keys…, ts, _first, _last, count…)`` for every distinct non-null key and time.
@@ -64,6 +70,8 @@ def rank_table(
     null ``ts`` so they are counted but not ranked.
     """
     counts = counts or {}
+    if method == "auto":
+        method = "window" if estimated_bytes(df) < BLOCKS_MIN_BYTES else "blocks"
     cond = keys_present(keys) if counts else keys_present(keys) & F.col(ts).isNotNull()
     aggs = [F.count(F.lit(1)).alias("_peers")] + [F.count(F.col(c)).alias(f"_c_{n}") for n, c in counts.items()]
     kt = df.where(cond).groupBy(*keys, ts).agg(*aggs)
@@ -127,7 +135,7 @@ def add_time_ranks(
     prefix: str,
     order: tuple[str, ...] = ("last", "first"),
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    method: str = "blocks",
+    method: str = "auto",
     source: DataFrame | None = None,
     counts: dict[str, str] | None = None,
 ) -> DataFrame:

@@ -32,7 +32,7 @@ def test_matches_pandas_average_rank(spark, block_seconds):
     keys = ["hot"] * 300 + [f"k{i}" for i in range(40)] * 5  # one key holds most rows
     rows = [(i, k, f"2024-01-01 00:{rnd.randrange(0, 3):02d}:{rnd.randrange(0, 60):02d}")
             for i, k in enumerate(keys)]
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds).toPandas()
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds, method="blocks").toPandas()
     pdf = pd.DataFrame(rows, columns=["rid", "k", "t"])
     pdf["first"] = pdf.groupby("k")["t"].rank(method="average", ascending=True)
     pdf["last"] = pdf.groupby("k")["t"].rank(method="average", ascending=False)
@@ -44,8 +44,19 @@ def test_matches_pandas_average_rank(spark, block_seconds):
     assert m.groupby("k_x")["k_if_last"].sum().max() <= 1
 
 
-def test_null_time_gets_no_rank(spark):
-    rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", None)]
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k")
-    got = {r.rid: (r.k_first_rank, r.k_last_rank) for r in out.collect()}
-    assert got == {1: (1.0, 1.0), 2: (None, None)}
+@pytest.mark.parametrize("method", ["blocks", "window"])
+def test_null_time_gets_no_rank(spark, method):
+    rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", None), (3, "a", "2024-01-01 00:00:01")]
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", method=method, counts={"n": "rid"})
+    got = {r.rid: (r.k_first_rank, r.k_last_rank, r.n) for r in out.collect()}
+    assert got == {1: (1.5, 1.5, 3), 2: (None, None, 3), 3: (1.5, 1.5, 3)}
+
+
+def test_window_and_blocks_agree_with_counts(spark):
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice(["a", "b", None]), None if i % 17 == 0 else
+             f"2024-01-0{rnd.randrange(1, 4)} 0{rnd.randrange(0, 3)}:00:0{rnd.randrange(0, 4)}") for i in range(400)]
+    df = _frame(spark, rows)
+    a = add_time_ranks(df, ["k"], "ts", "k", method="blocks", block_seconds=3600, counts={"n": "rid"})
+    b = add_time_ranks(df, ["k"], "ts", "k", method="window", counts={"n": "rid"})
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
