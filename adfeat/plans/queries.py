@@ -18,6 +18,7 @@ from adfeat.operators.ranks import add_time_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
 from adfeat.plans import smoothing as SM
+from adfeat.session import tune_session
 from adfeat.sources.views import history_and_target, imp_events, imp_lineitem
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,7 +274,23 @@ def streaming_user_shop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_counts(spark, f"{root}/log", keys, measures)
 
 
+def _tuned(fn: Query) -> Query:
+    """Apply the session settings the plans assume (UTC, AQE, skew join, ANSI) first."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune_session(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def registry() -> dict[str, Query]:
+    return {name: _tuned(fn) for name, fn in _registry().items()}
+
+
+def _registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _group_query(g) for name, g in HISTORY_GROUP_QUERIES.items()}
     q["history_features"] = history_features
     q["modular_features"] = modular_features
