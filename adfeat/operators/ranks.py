@@ -24,11 +24,15 @@ key holding a third of the log that task holds a third of the data.  Instead:
 4. add the two offsets and join the ranks back on ``(key, ts)``, which spreads
    a hot key over partitions by time.
 
-``method="window"`` is the direct window form over the distinct (key, time)
-table.  ``method="auto"`` (default) uses it only when Catalyst estimates the
+``method="window"`` is the direct window over the distinct (key, time)
+table; ``method="rows"`` is the textbook window over the rows themselves
+(``rank()`` plus half the extra peers, one exchange, no join back).
+``method="auto"`` (default) uses ``window`` only when Catalyst estimates the
 whole source below ``BLOCKS_MIN_BYTES`` – then no key can hold more than a
-task comfortably sorts, and the two extra block stages would be pure
-overhead – and the block plan otherwise.
+task comfortably sorts and the block stages would be pure overhead – and the
+block plan otherwise.  (``rows`` measured slower even on small frames: it
+shuffles and sorts the whole widening frame per key, where the (key, time)
+table is small enough for AQE to broadcast into the frame.)
 """
 
 from __future__ import annotations
@@ -128,6 +132,29 @@ def flag_one(rank: Column) -> Column:
     return F.when(rank == F.lit(1.0), F.lit(1)).otherwise(F.lit(0))
 
 
+def _ranks_on_rows(
+    df: DataFrame, keys: list[str], ts: str, prefix: str, order: tuple[str, ...], counts: dict[str, str]
+) -> DataFrame:
+    """Direct windows over the rows (small inputs only, see ``method``)."""
+    names = _names(prefix)
+    key_ok = keys_present(keys)
+    valid = key_ok & F.col(ts).isNotNull()
+    timed = Window.partitionBy(*keys, F.col(ts).isNull())
+    first = F.rank().over(timed.orderBy(ts)) + (
+        F.count(F.lit(1)).over(Window.partitionBy(*keys, ts)) - F.lit(1)
+    ) / F.lit(2.0)
+    n = F.count(F.lit(1)).over(timed)
+    rank = {"first": F.when(valid, first), "last": F.when(valid, n + F.lit(1) - first)}
+    out: list[Column] = [
+        F.when(key_ok, F.count(F.col(of)).over(Window.partitionBy(*keys))).otherwise(F.lit(0)).alias(c)
+        for c, of in counts.items()
+    ]
+    for direction in order:
+        r = rank[direction]
+        out += [r.alias(names[direction]), flag_one(r).alias(names[f"if_{direction}"])]
+    return df.select(*[F.col(c) for c in df.columns], *out)
+
+
 def add_time_ranks(
     df: DataFrame,
     keys: list[str],
@@ -150,9 +177,12 @@ def add_time_ranks(
     """
     names = _names(prefix)
     counts = counts or {}
-    r = rank_table(
-        source if source is not None else df, keys, ts, block_seconds=block_seconds, method=method, counts=counts
-    )
+    src = source if source is not None else df
+    if method == "auto":
+        method = "window" if estimated_bytes(src) < BLOCKS_MIN_BYTES else "blocks"
+    if method == "rows":  # ``df`` has the rows of ``source`` (a widened or narrowed copy)
+        return _ranks_on_rows(df, keys, ts, prefix, order, counts)
+    r = rank_table(src, keys, ts, block_seconds=block_seconds, method=method, counts=counts)
     # rename the table's columns so the join condition is unambiguous
     rr = r.select(
         *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],

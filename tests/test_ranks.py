@@ -12,7 +12,7 @@ def _frame(spark, rows):
     return df.withColumn("ts", F.to_timestamp("t"))
 
 
-@pytest.mark.parametrize("method", ["blocks", "window"])
+@pytest.mark.parametrize("method", ["blocks", "window", "rows"])
 def test_ties_share_the_mean_rank(spark, method):
     rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", "2024-01-01 00:00:03"),
             (3, "a", "2024-01-01 00:00:03"), (4, "a", "2024-01-01 00:00:02"),
@@ -26,13 +26,14 @@ def test_ties_share_the_mean_rank(spark, method):
     assert got[5] == (None, None, 0, 0)  # null key: no rank, no flag
 
 
-@pytest.mark.parametrize("block_seconds", [1, 7, 3600])
+@pytest.mark.parametrize("block_seconds", [1, 7, 3600, None])
 def test_matches_pandas_average_rank(spark, block_seconds):
-    rnd = random.Random(block_seconds)
+    rnd = random.Random(block_seconds or 11)
     keys = ["hot"] * 300 + [f"k{i}" for i in range(40)] * 5  # one key holds most rows
     rows = [(i, k, f"2024-01-01 00:{rnd.randrange(0, 3):02d}:{rnd.randrange(0, 60):02d}")
             for i, k in enumerate(keys)]
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds, method="blocks").toPandas()
+    method = "rows" if block_seconds is None else "blocks"
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds or 3600, method=method).toPandas()
     pdf = pd.DataFrame(rows, columns=["rid", "k", "t"])
     pdf["first"] = pdf.groupby("k")["t"].rank(method="average", ascending=True)
     pdf["last"] = pdf.groupby("k")["t"].rank(method="average", ascending=False)
@@ -44,7 +45,7 @@ def test_matches_pandas_average_rank(spark, block_seconds):
     assert m.groupby("k_x")["k_if_last"].sum().max() <= 1
 
 
-@pytest.mark.parametrize("method", ["blocks", "window"])
+@pytest.mark.parametrize("method", ["blocks", "window", "rows"])
 def test_null_time_gets_no_rank(spark, method):
     rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", None), (3, "a", "2024-01-01 00:00:01")]
     out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", method=method, counts={"n": "rid"})
@@ -59,4 +60,6 @@ def test_window_and_blocks_agree_with_counts(spark):
     df = _frame(spark, rows)
     a = add_time_ranks(df, ["k"], "ts", "k", method="blocks", block_seconds=3600, counts={"n": "rid"})
     b = add_time_ranks(df, ["k"], "ts", "k", method="window", counts={"n": "rid"})
+    c = add_time_ranks(df, ["k"], "ts", "k", method="rows", counts={"n": "rid"})
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
