@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from adfeat.functions import (
     category_key,
     index_or_minus1,
-    list_length,
+    min_max_scaled,
     parse_time,
     predicted_categories,
-    property_at,
     split_list,
 )
 from adfeat.operators.counts import attach, key_aggregate
@@ -162,7 +161,7 @@ def add_category_popularity(frame: DataFrame, base: DataFrame) -> DataFrame:
     if lo is None:
         scaled = F.lit(None).cast("double")
     else:
-        scaled = F.try_divide((F.col("n") - F.lit(lo)).cast("double"), F.lit(float(hi - lo)))
+        scaled = min_max_scaled(F.col("n").cast("double"), float(lo), float(hi))
     table = per_cat.select("item_category", scaled.alias("item_category_sum"))
     return attach(frame, table, ["item_category"], fill=None)
 
@@ -356,7 +355,4 @@ __all__ = [
     "add_property_ranks",
     "add_predict_rank_counts",
     "category_range",
-    "split_list",
-    "list_length",
-    "property_at",
 ]

@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adfeat.operators.counts import key_counts
 from adfeat.sources.views import imp_events_from
-from adfeat.sources.schema import IMPRESSION_SCHEMA
 
 BATCH = "_batch_id"
 
@@ -73,7 +72,6 @@ def impression_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> D
 
 
 __all__ = [
-    "IMPRESSION_SCHEMA",
     "impression_stream",
     "latest_counts",
     "streaming_key_counts",
