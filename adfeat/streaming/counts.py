@@ -24,6 +24,7 @@ from adfeat.operators.counts import key_counts
 from adfeat.sources.views import imp_events_from
 
 BATCH = "_batch_id"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def streaming_key_counts(stream: DataFrame, keys: list[str], n: str, conv: str) -> DataFrame:
@@ -32,9 +33,18 @@ def streaming_key_counts(stream: DataFrame, keys: list[str], n: str, conv: str)
 
 
 def write_changelog(
-    counts: DataFrame, path: str, checkpoint: str, available_now: bool = True
+    counts: DataFrame, path: str, checkpoint: str, available_now: bool = True, rocksdb: bool = True
 ) -> StreamingQuery:
-    """Append each micro-batch's changed totals to a parquet changelog."""
+    """Append each micro-batch's changed totals to a parquet changelog.
+
+    The state is one row per key for the life of the query (all-time counts
+    have no watermark to expire them), so by default it lives in the RocksDB
+    state store – off-heap, spilled to local disk, snapshotted with the
+    checkpoint – rather than in executor heap.  The provider is fixed when a
+    checkpoint is created, so this applies to new queries only.
+    """
+    if rocksdb:
+        counts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
