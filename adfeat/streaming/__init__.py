@@ -1,8 +1,9 @@
 from adfeat.streaming.counts import (
+    compact_changelog,
     impression_stream,
     latest_counts,
     streaming_key_counts,
     write_changelog,
 )
 
-__all__ = ["impression_stream", "latest_counts", "streaming_key_counts", "write_changelog"]
+__all__ = ["compact_changelog", "impression_stream", "latest_counts", "streaming_key_counts", "write_changelog"]

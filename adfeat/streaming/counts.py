@@ -12,6 +12,8 @@ Those rows are appended, with their batch id, to a parquet changelog by
 failure does not double-count).  ``latest_counts`` reads the changelog as a
 batch DataFrame and keeps the newest total per key – a partial aggregate,
 so a hot key costs one row per map task – ready for ``attach``.
+``compact_changelog`` folds it into a snapshot partition; reads then take the
+newest snapshot plus only the batches after it (both partition-pruned).
 """
 
 from __future__ import annotations
@@ -61,12 +63,55 @@ def write_changelog(
     return writer.start()
 
 
-def latest_counts(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
-    """Newest total per key from the changelog (totals only grow, batch ids order them)."""
+SNAP = "_snapshot_of"
+
+
+def _snapshots(path: str) -> str:
+    return path.rstrip("/") + "__snapshots"
+
+
+def _newest(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        *[F.max_by(F.col(m), F.col(BATCH)).alias(m) for m in measures], F.max(BATCH).alias(BATCH)
+    )
+
+
+def _snapshot_and_tail(spark: SparkSession, path: str) -> DataFrame:
+    """Latest snapshot (if any) plus the changelog batches written after it."""
     log = spark.read.parquet(path)
-    return log.groupBy(*keys).agg(
-        *[F.max_by(F.col(m), F.col(BATCH)).alias(m) for m in measures]
+    try:
+        snaps = spark.read.parquet(_snapshots(path))
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return log
+    last = snaps.agg(F.max(SNAP)).first()[0]
+    snap = snaps.where(F.col(SNAP) == F.lit(last)).drop(SNAP)  # partition-pruned read
+    tail = log.where(F.col(BATCH) > F.lit(last))  # partition-pruned read
+    return snap.unionByName(tail)
+
+
+def latest_counts(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
+    """Newest total per key (totals only grow, batch ids order them)."""
+    return _newest(_snapshot_and_tail(spark, path), keys, measures).drop(BATCH)
+
+
+def compact_changelog(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> int:
+    """Fold the changelog into a snapshot of the newest totals; returns its batch id.
+
+    The snapshot is written as a new partition beside the changelog, so nothing
+    is rewritten in place; later reads scan it plus the batches after it.
+    """
+    newest = _newest(_snapshot_and_tail(spark, path), keys, measures)
+    last = newest.agg(F.max(BATCH)).first()[0]
+    if last is None:
+        return -1
+    (
+        newest.withColumn(SNAP, F.lit(last).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SNAP)
+        .parquet(_snapshots(path))
     )
+    return int(last)
 
 
 def impression_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
@@ -82,6 +127,7 @@ def impression_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> D
 
 
 __all__ = [
+    "compact_changelog",
     "impression_stream",
     "latest_counts",
     "streaming_key_counts",

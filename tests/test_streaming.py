@@ -23,3 +23,22 @@ def test_streaming_counts_equal_batch_counts(spark):
     want = key_counts(imp_events(spark, SF_SMALL), keys, n="user_shop_sum", conv="user_shop_trade")
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_compaction_keeps_the_newest_totals(spark):
+    from pyspark.sql import functions as F
+
+    from adfeat.streaming import compact_changelog
+
+    root = tempfile.mkdtemp(prefix="adfeat-compact-")
+    log = os.path.join(root, "log")
+    rows = [("a", 1, 0), ("b", 2, 0), ("a", 3, 1), ("c", 1, 2), ("b", 5, 2)]
+    df = spark.createDataFrame(rows, "k string, n long, _batch_id long")
+    df.where("_batch_id <= 1").write.partitionBy("_batch_id").parquet(log)
+    assert compact_changelog(spark, log, ["k"], ["n"]) == 1
+    df.where("_batch_id = 2").write.mode("append").partitionBy("_batch_id").parquet(log)
+    got = {r.k: r.n for r in latest_counts(spark, log, ["k"], ["n"]).collect()}
+    assert got == {"a": 3, "b": 5, "c": 1}
+    assert compact_changelog(spark, log, ["k"], ["n"]) == 2
+    got = {r.k: r.n for r in latest_counts(spark, log, ["k"], ["n"]).collect()}
+    assert got == {"a": 3, "b": 5, "c": 1}
