@@ -27,10 +27,11 @@ key holding a third of the log that task holds a third of the data.  Instead:
 ``method="window"`` is the direct window over the distinct (key, time)
 table; ``method="rows"`` is the textbook window over the rows themselves
 (``rank()`` plus half the extra peers, one exchange, no join back).
-``method="auto"`` (default) uses ``window`` only when Catalyst estimates the
-whole source below ``BLOCKS_MIN_BYTES`` – then no key can hold more than a
-task comfortably sorts and the block stages would be pure overhead – and the
-block plan otherwise.  (``rows`` measured slower even on small frames: it
+``method="auto"`` (default) uses ``small`` – the ``window`` form with the rows
+shuffled by key first, so aggregate and window share one exchange – only when
+Catalyst estimates the whole source below ``BLOCKS_MIN_BYTES`` (then no key
+can hold more than a task comfortably sorts, and map-side combining and the
+block stages would be pure overhead), and the block plan otherwise.  (``rows`` measured slower even on small frames: it
 shuffles and sorts the whole widening frame per key, where the (key, time)
 table is small enough for AQE to broadcast into the frame.)
 """
@@ -75,10 +76,17 @@ def rank_table(
     """
     counts = counts or {}
     if method == "auto":
-        method = "window" if estimated_bytes(df) < BLOCKS_MIN_BYTES else "blocks"
+        method = "small" if estimated_bytes(df) < BLOCKS_MIN_BYTES else "blocks"
     cond = keys_present(keys) if counts else keys_present(keys) & F.col(ts).isNotNull()
     aggs = [F.count(F.lit(1)).alias("_peers")] + [F.count(F.col(c)).alias(f"_c_{n}") for n, c in counts.items()]
-    kt = df.where(cond).groupBy(*keys, ts).agg(*aggs)
+    rows = df.where(cond)
+    if method == "small":
+        # only chosen by ``auto`` under BLOCKS_MIN_BYTES: shuffling the rows by key lets
+        # the (key, time) aggregate and the window share one exchange; at this size
+        # no key can overflow a task, so the map-side combine is not needed
+        rows = rows.repartition(*keys)
+        method = "window"
+    kt = rows.groupBy(*keys, ts).agg(*aggs)
     timed = F.col(ts).isNotNull()
     peers = F.when(timed, F.col("_peers")).otherwise(F.lit(0))
     half = (F.col("_peers") + F.lit(1)) / F.lit(2.0)
@@ -179,7 +187,7 @@ def add_time_ranks(
     counts = counts or {}
     src = source if source is not None else df
     if method == "auto":
-        method = "window" if estimated_bytes(src) < BLOCKS_MIN_BYTES else "blocks"
+        method = "small" if estimated_bytes(src) < BLOCKS_MIN_BYTES else "blocks"
     if method == "rows":  # ``df`` has the rows of ``source`` (a widened or narrowed copy)
         return _ranks_on_rows(df, keys, ts, prefix, order, counts)
     r = rank_table(src, keys, ts, block_seconds=block_seconds, method=method, counts=counts)

@@ -12,7 +12,7 @@ def _frame(spark, rows):
     return df.withColumn("ts", F.to_timestamp("t"))
 
 
-@pytest.mark.parametrize("method", ["blocks", "window", "rows"])
+@pytest.mark.parametrize("method", ["blocks", "window", "rows", "small", "auto"])
 def test_ties_share_the_mean_rank(spark, method):
     rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", "2024-01-01 00:00:03"),
             (3, "a", "2024-01-01 00:00:03"), (4, "a", "2024-01-01 00:00:02"),
