@@ -7,25 +7,27 @@ names and with the same output column names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeat.functions import parse_time
+from adfeat.functions import category_key, parse_time
 from adfeat.operators import profiles as P
 from adfeat.operators.ranks import add_time_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
 from adfeat.plans import smoothing as SM
-from adfeat.session import tune_session
+from adfeat.session import ensure_checkpoint_dir, tune_session
 from adfeat.sources.views import history_and_target, imp_events, imp_lineitem
+from adfeat.streaming import impression_stream, latest_counts, streaming_key_counts, write_changelog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
 
-# query name → (section group, needs hour in the output)
+# query name → group of the primary section (hour-keyed groups also output ``hour``)
 HISTORY_GROUP_QUERIES = {
     "shop_counts": "shop",
     "item_counts": "item",
@@ -248,8 +250,6 @@ def hour_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D19 on the whole ``imp_events`` frame."""
-    from adfeat.functions import category_key
-
     ev = imp_events(spark, sf_dir).select("instance_id", "item_category_list")
     out = P.category_indicators(ev, category_key("item_category_list"), INDICATOR_IDS)
     return out
@@ -260,11 +260,6 @@ def category_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streaming_user_shop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User × shop counts maintained by a Structured Streaming aggregate over ``events``."""
-    import uuid
-
-    from adfeat.session import ensure_checkpoint_dir
-    from adfeat.streaming import impression_stream, latest_counts, streaming_key_counts, write_changelog
-
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stream-{uuid.uuid4().hex}"
     keys, measures = ["user_id", "shop_id"], ["user_shop_sum", "user_shop_trade"]
     counts = streaming_key_counts(impression_stream(spark, sf_dir), keys, *measures)
