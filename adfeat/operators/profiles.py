@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adfeat.sources.staging import estimated_bytes, stage
 from adfeat.operators.counts import (
     LABEL,
     attach,
@@ -34,6 +35,10 @@ SHOP_ATTRS = [
 ITEM_ATTRS = ["item_price_level", "item_sales_level", "item_collected_level", "item_pv_level"]
 USER_ATTRS = ["user_age_level", "user_star_level"]
 
+# Above this estimated history size an aggregate that feeds a driver-side scalar
+# and a join is staged, so the history is scanned once.
+STAGE_MIN_BYTES = 256 << 20
+
 # The star-level offset and the five category ids of the
 # reference's indicator block (its data's ids; callers pass their own).
 STAR_LEVEL_OFFSET = 4998
@@ -159,18 +164,22 @@ def occupation_ratio(
 
 
 def gender_mix(hist: DataFrame, base: DataFrame, genders: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
-    """Labelled rows per item and gender, and each over the grand total of all items."""
+    """Labelled rows per item and gender, and each over the grand total of all items.
+
+    The grand total is the sum of the per-item table (one small job over the
+    aggregate, staged when the history is large), not a second scan of the log.
+    """
     label = F.col(LABEL)
     counts = {
         f"gender_{g}": F.nullif(F.count(F.when(F.col("user_gender_id") == F.lit(g), label)), F.lit(0))
         for g in genders
     }
     table = key_aggregate(hist, ["item_id"], counts)
-    total_row = (
-        hist.where(F.col("item_id").isNotNull() & F.col("user_gender_id").isin(list(genders)))
-        .agg(F.count(label).alias("t"))
-        .first()
-    )
+    if estimated_bytes(hist) >= STAGE_MIN_BYTES:
+        table = stage(table, "gender-mix")
+    total_row = table.agg(
+        sum(F.coalesce(F.sum(f"gender_{g}"), F.lit(0)) for g in genders).alias("t")
+    ).first()
     total = float(total_row["t"]) if total_row and total_row["t"] else None
     ratios = [
         (F.col(f"gender_{g}") / F.lit(total) if total else F.lit(None).cast("double")).alias(f"ad_gender{g}_ratio")
