@@ -13,17 +13,18 @@ Plan.  A sum over pairs depends on a pair only through its value, so the
 pairs are first reduced by Spark to three value histograms ``(kind, v, freq)``
 for c, n − c and n (one shuffle, partial aggregation).  The number of
 distinct values is at most √(2·Σv), so the histogram of a 100 TB log is at
-most a few million rows however many keys there are.  It is checkpointed to
-the reliable checkpoint directory (lineage cut: a lost executor re-reads it
-instead of re-scanning the log).
+most a few million rows however many keys there are.  It is cached while its
+size is counted.
 
 The fixed point then needs up to ``iter_num`` (1000 in the reference)
 sequential steps over that summary.  When the histogram is within
 ``local_limit`` rows – checked with a count before anything is collected –
 the steps run on the driver over the histogram arrays (as MLlib estimators
 solve on collected summaries); a step costs microseconds instead of a Spark
-job.  Beyond the limit each step is one Spark aggregate over the cached
-histogram with the native digamma expression, returning three doubles.
+job.  Beyond the limit the histogram is checkpointed to the reliable
+checkpoint directory (lineage cut for a long iterative run: a lost executor
+re-reads it instead of re-scanning the log) and each step is one Spark
+aggregate over it with the native digamma expression, returning three doubles.
 """
 
 from __future__ import annotations
@@ -126,15 +127,18 @@ def fit_beta_prior(
 ) -> BetaPrior:
     """M1: fit Beta(α, β) to ``(n, c)`` pairs (one per row of ``pairs``, or ``weight`` rows)."""
     spark = pairs.sparkSession
-    ensure_checkpoint_dir(spark)
-    hist = value_histogram(pairs, n, c, weight)
-    hist = hist.checkpoint(eager=True)
+    hist = value_histogram(pairs, n, c, weight).cache()
     size = hist.count()
     if size <= local_limit:
         step = _LocalSums(hist.toPandas())
+        hist.unpersist()
         cached = None
     else:
-        cached = hist.cache()
+        # a long iterative run: cut the lineage so a lost executor re-reads the
+        # histogram from the reliable checkpoint instead of re-scanning the log
+        ensure_checkpoint_dir(spark)
+        cached = hist.checkpoint(eager=True).cache()
+        hist.unpersist()
         step = lambda a, b: _step_sums(cached, a, b)
     try:
         alpha, beta = float(alpha0), float(beta0)
