@@ -27,13 +27,15 @@ key holding a third of the log that task holds a third of the data.  Instead:
 ``method="window"`` is the direct window over the distinct (key, time)
 table; ``method="rows"`` is the textbook window over the rows themselves
 (``rank()`` plus half the extra peers, one exchange, no join back).
-``method="auto"`` (default) uses ``small`` – the ``window`` form with the rows
-shuffled by key first, so aggregate and window share one exchange – only when
-Catalyst estimates the whole source below ``BLOCKS_MIN_BYTES`` (then no key
-can hold more than a task comfortably sorts, and map-side combining and the
-block stages would be pure overhead), and the block plan otherwise.  (``rows`` measured slower even on small frames: it
-shuffles and sorts the whole widening frame per key, where the (key, time)
-table is small enough for AQE to broadcast into the frame.)
+``method="auto"`` (default) takes the block plan when Catalyst estimates the
+source at ``BLOCKS_MIN_BYTES`` or more.  Below that no key can hold more than
+a task comfortably sorts, so it takes ``rows`` when a frame is ranked in
+place (one window pass, no join back) and ``small`` when the ranks are
+attached to a widened copy of the source – the ``window`` form with the rows
+shuffled by key first, so aggregate and window share one exchange and the
+wide rows are never sorted.  (Measured: on a widened frame ``rows`` is
+slower – it shuffles and sorts the whole frame per key, where the (key, time)
+table is small enough for AQE to broadcast into it; in place it is faster.)
 """
 
 from __future__ import annotations
@@ -187,7 +189,12 @@ def add_time_ranks(
     counts = counts or {}
     src = source if source is not None else df
     if method == "auto":
-        method = "small" if estimated_bytes(src) < BLOCKS_MIN_BYTES else "blocks"
+        if estimated_bytes(src) >= BLOCKS_MIN_BYTES:
+            method = "blocks"
+        else:
+            # ranking a frame in place: one window pass, no join back; attaching to a
+            # widened copy: rank the narrow (key, time) table so the wide rows stay put
+            method = "rows" if source is None else "small"
     if method == "rows":  # ``df`` has the rows of ``source`` (a widened or narrowed copy)
         return _ranks_on_rows(df, keys, ts, prefix, order, counts)
     r = rank_table(src, keys, ts, block_seconds=block_seconds, method=method, counts=counts)
