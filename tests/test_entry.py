@@ -45,11 +45,7 @@ def _rows(pdf):
     return cols, sorted((tuple(_norm(x) for x in r) for r in pdf[cols].itertuples(index=False)), key=repr)
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["history_features", "frame_features", "shop_time_rank", "beta_prior", "user_smoothed_rate",
-     "item_gender_mix", "hour_ratio", "category_indicators"],
-)
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_matches_oracle_small(spark, duck, name):
     s = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
     o = _rows(duck.execute(E.oracle_sql()[name]).fetchdf())
