@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,15 @@ SPACE = " \t-\r"
 
 
 def use_session(spark: SparkSession) -> SparkSession:
-    """Session settings the operators are written for; they bound the memory of an Arrow batch."""
+    """Session settings the operators are written for; they bound the memory of an Arrow batch.
+
+    Python workers also get this package's folder on their path, for sessions that were not
+    started from it (a cluster ships the package with ``--py-files`` as usual).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    workers = spark.sparkContext.environment
+    if root not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [root, workers.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

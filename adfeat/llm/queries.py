@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import read_table
+from adfeat.llm.language import identify
 from adfeat.llm.line_dedup import dedup_lines
+from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
 from adfeat.llm.token_counts import token_counts
 
@@ -29,8 +31,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2)
 
 
+def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), width=5, threshold=75)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
-    own = (op2_line_dedup, op3_token_counts, op4_best_fit_packing)
+    own = (op2_line_dedup, op3_token_counts, op4_best_fit_packing, op6_minhash_forest, op10_language_id)
     return {f.__name__: f for f in own}
 
 
