@@ -11,13 +11,20 @@ from pyspark.sql import functions as F
 from adfeat.llm.common import read_table
 from adfeat.llm.language import identify
 from adfeat.llm.line_dedup import dedup_lines
+from adfeat.llm.mixing import DOMAINS, mix
 from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
+from adfeat.llm.quality import quality_rules, trusted_rows
 from adfeat.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = trusted_rows(read_table(spark, sf_dir, "labels"))
+    return quality_rules(read_table(spark, sf_dir, "documents"), trusted)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -35,12 +42,18 @@ def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=5, threshold=75)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    posteriors = [F.col("posterior")[i].alias(f"p_{d.name}") for i, d in enumerate(DOMAINS)]
+    return out.select("doc_id", "n_words", *posteriors, "rate", "copies")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Query]:
-    own = (op2_line_dedup, op3_token_counts, op4_best_fit_packing, op6_minhash_forest, op10_language_id)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op6_minhash_forest, op9_mixing, op10_language_id)
     return {f.__name__: f for f in own}
 
 
