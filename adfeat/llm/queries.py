@@ -14,6 +14,7 @@ from adfeat.llm.line_dedup import dedup_lines
 from adfeat.llm.mixing import DOMAINS, mix
 from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
+from adfeat.llm.pii import personal_data
 from adfeat.llm.quality import quality_rules, trusted_rows
 from adfeat.llm.token_counts import token_counts
 
@@ -38,6 +39,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2)
 
 
+def op5_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=5, threshold=75)
 
@@ -53,7 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op6_minhash_forest, op9_mixing, op10_language_id)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op9_mixing, op10_language_id)
     return {f.__name__: f for f in own}
 
 
