@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import read_table
+from adfeat.llm.embedding_dedup import near_vectors
 from adfeat.llm.language import identify
 from adfeat.llm.line_dedup import dedup_lines
 from adfeat.llm.mixing import DOMAINS, mix
@@ -47,6 +48,10 @@ def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=5, threshold=75)
 
 
+def op8_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     posteriors = [F.col("posterior")[i].alias(f"p_{d.name}") for i, d in enumerate(DOMAINS)]
@@ -58,7 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op9_mixing, op10_language_id)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op8_spherical_caps, op9_mixing, op10_language_id)
     return {f.__name__: f for f in own}
 
 
