@@ -1,13 +1,14 @@
 """Embedding near-dedup by spherical-cap filters (operator 8).
 
-A filter is a direction on the sphere, and a vector belongs to it if their cosine exceeds a
-bound.  The directions form a product code: after a random rotation the coordinates are cut
-into blocks, each block has a small random code, and every combination of codewords is a
-direction.  A vector lists all directions that exceed the bound by decoding the blocks'
-sorted scores, without looking at the others.  Vectors that share a filter are compared in
-double precision.  A linked pair is counted only in the first filter that both share, so a
-filter gives counts and spanning links, never all its pairs; filters with many vectors are
-compared block against block.
+A filter is a direction on the sphere with a cap around it.  The directions form structured
+random product codes: after a random rotation the coordinates are cut in two blocks, each
+block has a small random code, and every combination of codewords is a direction.  A vector
+lists all directions of a code whose cosine with it exceeds its bound, which is set so that
+the list has a fixed length; the list is decoded from the blocks' sorted scores without
+looking at the other directions.  Vectors that share a filter are compared in double
+precision.  A linked pair is counted only in the first filter that both share, so a filter
+gives counts and spanning links, never all its pairs; filters with many vectors are compared
+block against block.
 """
 
 from __future__ import annotations
@@ -21,64 +22,65 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import connected_components, use_session
+from adfeat.llm.common import connected_components, shuffle_partitions, use_session
 from adfeat.sources.staging import stage
 
-#: Blocks of the product code and codewords of a block: 64 ** 4 = 16.8 million directions.
-BLOCKS, CODEWORDS = 4, 64
+#: Independent codes, codewords of a block (2048 ** 2 = 4.2 million directions a code; to be raised
+#: with the number of vectors, whose share of a direction it bounds), and filters of a vector in a code.
+#: Measured at 64 dimensions: 1 of 2,000 pairs of cosine 0.9 shares no filter, of 4,000 pairs of 0.93 none.
+CODES, CODEWORDS, LISTED = 4, 2048, 16
 
-#: Bound on the cosine with a filter, in deviations of a random direction (1 / sqrt(dimension)).
-#: At 64 dimensions a vector has about 45 filters, and a pair of cosine 0.9 shares about 9.
-DEVIATIONS, LARGEST_BOUND = 4.5, 0.62
-
-#: Vectors of a filter that are compared as one block.
-BLOCK_ROWS = 512
+#: Vectors of a filter that are compared as one block, and rows that a task's group is sized for.
+BLOCK_ROWS, LOT_ROWS = 512, 4096
 
 
 @functools.cache
-def product_code(dimension: int) -> tuple[np.ndarray, list[np.ndarray], float]:
-    """(rotation, codewords of every block, bound) of a dimension; the same on every machine."""
+def product_codes(dimension: int, codewords: int = CODEWORDS) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """(rotation, codewords of every block) of each code; the same on every machine."""
     rng = np.random.Generator(np.random.PCG64([8, dimension]))
-    rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
-    code = []
-    for part in np.array_split(np.arange(dimension), min(BLOCKS, dimension)):
-        words = rng.normal(size=(CODEWORDS, len(part)))
-        code.append(words / np.linalg.norm(words, axis=1, keepdims=True) * np.sqrt(len(part) / dimension))
-    return rotation, code, min(DEVIATIONS / np.sqrt(dimension), LARGEST_BOUND)
-
-
-def filters_of(units: np.ndarray) -> list[np.ndarray]:
-    """The sorted filters of each unit vector: all that exceed the bound, and its best one in any case."""
-    dimension = units.shape[1]
-    rotation, code, bound = product_code(dimension)
-    rotated = units @ rotation
-    scores, at = [], 0
-    for words in code:
-        scores.append(rotated[:, at : at + words.shape[1]] @ words.T)
-        at += words.shape[1]
-    half = (len(code) + 1) // 2
     out = []
-    for i in range(len(units)):
-        left, left_id = _sums([s[i] for s in scores[:half]])
-        right, right_id = _sums([s[i] for s in scores[half:]])
-        order = np.argsort(-right)
-        right, right_id = right[order], right_id[order]
-        near = np.flatnonzero(left + right[0] >= min(bound, left.max() + right[0]))
-        many = np.maximum(np.searchsorted(-right, left[near] - bound, "right"), left[near] == left.max())
-        rows = np.repeat(near, many)
-        cols = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        found = left_id[rows] * CODEWORDS ** (len(code) - half) + right_id[cols]
-        out.append(np.sort(found) + dimension * CODEWORDS**BLOCKS)
+    for _ in range(CODES):
+        rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
+        code = []
+        for part in np.array_split(np.arange(dimension), min(2, dimension)):
+            words = rng.normal(size=(codewords, len(part)))
+            code.append(words / np.linalg.norm(words, axis=1, keepdims=True) * np.sqrt(len(part) / dimension))
+        out.append((rotation, code))
     return out
 
 
-def _sums(scores: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and numbers of all combinations of codewords of some blocks."""
-    total, number = np.zeros(1), np.zeros(1, np.int64)
-    for s in scores:
-        total = (total[:, None] + s).ravel()
-        number = (number[:, None] * CODEWORDS + np.arange(CODEWORDS)).ravel()
-    return total, number
+def _best(scores: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the n largest scores of each row, largest first."""
+    n = min(n, scores.shape[1])
+    top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(top, np.argsort(-np.take_along_axis(scores, top, 1), axis=1, kind="stable"), 1)
+
+
+def filters_of(units: np.ndarray) -> np.ndarray:
+    """The sorted filters (rows, CODES * LISTED or fewer) of unit vectors.
+
+    The i-th best word of one block and the j-th best of the other can be among the LISTED
+    best directions only if i * j <= LISTED, so few combinations are scored.
+    """
+    dimension = units.shape[1]
+    out = []
+    for c, (rotation, code) in enumerate(product_codes(dimension)):
+        rotated, total, number, at = units @ rotation, None, None, 0
+        for words in code:
+            scores = rotated[:, at : at + words.shape[1]] @ words.T
+            at += words.shape[1]
+            own = _best(scores, LISTED)
+            scores = np.take_along_axis(scores, own, 1)
+            if total is None:
+                total, number = scores, own
+                continue
+            i, j = (x.ravel() for x in np.mgrid[0 : total.shape[1], 0 : own.shape[1]])
+            few = (i + 1) * (j + 1) <= LISTED
+            total, number = total[:, i[few]] + scores[:, j[few]], number[:, i[few]] * len(words) + own[:, j[few]]
+            top = _best(total, LISTED)
+            total, number = np.take_along_axis(total, top, 1), np.take_along_axis(number, top, 1)
+        out.append(number + (dimension * CODES + c) * CODEWORDS**2)
+    return np.sort(np.concatenate(out, axis=1), axis=1)
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +99,10 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     by_size.setdefault(len(x), []).append(i)
                     left[i], right[i] = np.frombuffer(xxhash.xxh3_128_digest(vectors[i]), np.int64)
         for rows in by_size.values():
-            units = _units(np.array([np.frombuffer(vectors[i]) for i in rows]))
-            for i, f in zip(rows, filters_of(units), strict=True):
-                filters[i] = f.tobytes()
+            for k in range(0, len(rows), BLOCK_ROWS):
+                own = rows[k : k + BLOCK_ROWS]
+                for i, f in zip(own, filters_of(_units(np.array([np.frombuffer(vectors[i]) for i in own]))), strict=True):
+                    filters[i] = f.tobytes()
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(left), pa.array(right), pa.array(vectors, pa.binary()), pa.array(filters, pa.binary())], names=["vec_id", "left", "right", "vector", "filters"])
 
 
@@ -115,10 +118,6 @@ def _memberships(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), sizes))], names=["filter", "id"])
 
 
-def _matrix(t: pa.Table, name: str) -> np.ndarray:
-    return np.array([np.frombuffer(x.as_buffer()) for x in t.column(name)])
-
-
 def _share_earlier(lists: list[np.ndarray], a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
     """Whether rows a[i] and b[i] share a filter before ``here``."""
     cut = [x[: np.searchsorted(x, here)] for x in lists]
@@ -131,36 +130,62 @@ def _share_earlier(lists: list[np.ndarray], a: np.ndarray, b: np.ndarray, here:
     return (member @ member.T)[a, b] > 0
 
 
-def compare(t: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, their new links, one end and other end of spanning links) of the rows of a filter's block pair."""
-    ids, weight = t.column("id").to_numpy(), t.column("rows").to_numpy()
-    block = t.column("block").to_numpy()
-    units = _units(_matrix(t, "vector"))
-    one, two = t.column("one")[0].as_py(), t.column("two")[0].as_py()
+def compare(ids: np.ndarray, weight: np.ndarray, block: np.ndarray, units: np.ndarray, lists: list[np.ndarray], here: int, across: bool, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(new links of each row, spanning pairs of rows) of a filter's block, or of two blocks if ``across``."""
+    links = np.zeros(len(ids), np.int64)
     near = units @ units.T >= cosine
     i, j = np.nonzero(np.triu(near, 1) & (ids[:, None] != ids))
-    if one != two:
+    if across:
         cross = block[i] != block[j]
         i, j = i[cross], j[cross]
-    links = np.zeros(len(ids), np.int64)
     if not len(i):
-        return ids, links, ids[:0], ids[:0]
-    lists = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("filters")]
-    new = ~_share_earlier(lists, i, j, t.column("filter")[0].as_py())
+        return links, np.zeros((0, 2), np.int64)
+    new = ~_share_earlier(lists, i, j, here)
     np.add.at(links, i[new], weight[j[new]])
     np.add.at(links, j[new], weight[i[new]])
-    root = np.arange(len(ids))
-    spanning = []
+    root, spanning = list(range(len(ids))), []
     for x, y in zip(i.tolist(), j.tolist(), strict=True):
         while root[x] != x:
-            x = root[x]
+            root[x] = x = root[root[x]]
         while root[y] != y:
-            y = root[y]
+            root[y] = y = root[root[y]]
         if x != y:
             root[max(x, y)] = min(x, y)
             spanning.append((x, y))
-    ends = ids[np.array(spanning, np.int64).reshape(-1, 2)]
-    return ids, links, ends[:, 0], ends[:, 1]
+    return links, np.array(spanning)
+
+
+def compare_lot(t: pa.Table, cosine: float) -> pa.Table:
+    """(id, n, a, b): links found per row, and spanning links a - b, of all filters in a group of rows."""
+    t = t.combine_chunks()
+    ids, weight, block, here, one, two = (t.column(c).to_numpy() for c in ("id", "rows", "block", "filter", "one", "two"))
+    lists = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("filters")]
+    sizes = np.array([len(x.as_buffer()) for x in t.column("vector")])
+    counts = np.zeros(len(ids), np.int64)
+    ends = [np.zeros((0, 2), np.int64)]
+    order = np.lexsort((ids, two, one, here))
+    key = np.column_stack([here, one, two])[order]
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(order) else order
+    units = np.zeros((len(ids), sizes.max(initial=0) // 8))
+    for n in np.unique(sizes):  # vectors of one length share filters only among themselves
+        own = np.flatnonzero(sizes == n)
+        units[own, : n // 8] = _units(np.array([np.frombuffer(t.column("vector")[int(i)].as_buffer()) for i in own]))
+    for lo, hi in zip(first, np.append(first[1:], len(order)), strict=True):
+        if hi - lo > 1:
+            r = order[lo:hi]
+            n, pairs = compare(ids[r], weight[r], block[r], units[r], [lists[i] for i in r], here[r[0]], one[r[0]] != two[r[0]], cosine)
+            counts[r] += n
+            ends.append(ids[r][pairs])
+    pairs, some = np.concatenate(ends), counts > 0
+    none, pad = [None] * int(some.sum()), [None] * len(pairs)
+    return pa.table(
+        {
+            "id": pa.array([*ids[some].tolist(), *pad], pa.int64()),
+            "n": pa.array([*counts[some].tolist(), *pad], pa.int64()),
+            "a": pa.array([*none, *pairs[:, 0].tolist()], pa.int64()),
+            "b": pa.array([*none, *pairs[:, 1].tolist()], pa.int64()),
+        }
+    )
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -173,7 +198,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     reachable.  Rows that repeat an id are one vertex; a row with a null id is counted by the
     others, gets no component and is kept.  An empty table gives no rows.
     """
-    use_session(vectors.sparkSession)
+    spark = use_session(vectors.sparkSession)
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
     rows = stage(source.mapInArrow(_vectors, "vec_id long, left long, right long, vector binary, filters binary"), "caps-vectors")
     valid = rows.where("vector is not null")
@@ -189,23 +214,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = shared.select("filter", "id", "block", other)
     paired = paired.select("filter", "id", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    paired = paired.join(classes.drop("left", "right"), "id")
-
-    def links(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        ids, n, a, b = compare(t, cosine)
-        some = n > 0
-        pad, none = [None] * len(a), [None] * int(some.sum())
-        return pa.table(
-            {
-                "id": pa.array([*ids[some].tolist(), *pad], pa.int64()),
-                "n": pa.array([*n[some].tolist(), *pad], pa.int64()),
-                "a": pa.array([*none, *a.tolist()], pa.int64()),
-                "b": pa.array([*none, *b.tolist()], pa.int64()),
-            }
-        )
-
-    found = stage(paired.groupBy("filter", "one", "two").applyInArrow(links, "id long, n long, a long, b long"), "caps-links")
+    paired = stage(paired, "caps-paired")
+    n_lots = paired.count() // LOT_ROWS + shuffle_partitions(spark)
+    paired = paired.withColumn("lot", F.pmod(F.xxhash64("filter", "one", "two"), F.lit(n_lots))).join(classes.drop("left", "right"), "id")
+    found = paired.groupBy("lot").applyInArrow(lambda t: compare_lot(t, cosine), "id long, n long, a long, b long")
+    found = stage(found, "caps-links")
     counts = found.where("id is not null").groupBy("id").agg(F.sum("n").alias("others"))
     components = connected_components(found.where("a is not null").select("a", "b"), "caps-cc")
     known = classes.select("left", "right", "rows", "id").join(counts, "id", "left").join(components, "id", "left")
