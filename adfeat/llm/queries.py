@@ -17,6 +17,7 @@ from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
 from adfeat.llm.pii import personal_data
 from adfeat.llm.quality import quality_rules, trusted_rows
+from adfeat.llm.repeats import remove_repeats
 from adfeat.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,11 @@ def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=5, threshold=75)
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents"), size=100)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
 
@@ -63,7 +69,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op8_spherical_caps, op9_mixing, op10_language_id)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id)
     return {f.__name__: f for f in own}
 
 
