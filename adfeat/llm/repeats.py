@@ -61,12 +61,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
             out, have = (h, width) if out is None else (out[: len(h) - have] * power + h[have:], have + width)
         rest >>= 1
         if rest:
-            h, power, width = h[:-width] * power + h[width:], power * power, 2 * width
+            h, power, width = h[:-width] * power + h[width:], _U(int(power) ** 2 % 2**64), 2 * width
     gram = mix(out)
-    if n < 1 << 24:
-        low = 24
-    else:
-        low = int(n).bit_length()
+    low = max(24, n.bit_length())
     best = (gram >> _U(low) << _U(low)) | np.arange(len(gram), dtype=_U)  # least hash, then leftmost
     window, have, width, out = size - K + 1, 0, 1, None
     while window:  # sliding minimum by doubling
