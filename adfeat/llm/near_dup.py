@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import chunks, connected_components, shuffle_partitions, use_session, utf8
+from adfeat.llm.common import IdFilter, chunks, connected_components, shuffle_partitions, use_session, utf8
 from adfeat.llm.words import shingle_hashes, word_hashes
 from adfeat.sources.staging import stage
 
 #: Orders of the forest, signature values of an order, values that two classes must share to meet.
 #: At similarity 0.75, a pair shares no region with probability (1 - 0.75 ** 3) ** 20 = 2e-5.
 TREES, DEPTH, LEAST_DEPTH = 20, 6, 3
-N_VALUES = TREES * DEPTH
+N_VALUES, TREE_BITS = TREES * DEPTH, 31
 
 #: Rows of an order that are compared with each other, and of a region whose similar pairs are all kept.
 BLOCK, SMALL_REGION = 512, 16
@@ -78,7 +78,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tree, region, id): the region is the first LEAST_DEPTH values of the tree's order."""
+    """(region, id): a hash of the first LEAST_DEPTH values of a tree's order, with the tree in its last bits."""
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         signs = _matrix(b.column(1))
@@ -88,9 +88,8 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(LEAST_DEPTH):
             h = (h ^ heads[:, k]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), pa.array(h.view(np.int64)), pa.array(np.repeat(ids, TREES))], names=["tree", "region", "id"]
-        )
+        h = (h & ~np.uint64(TREE_BITS)) | np.tile(np.arange(TREES, dtype=np.uint64), n)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.repeat(ids, TREES))], names=["region", "id"])
 
 
 def _matrix(signs: pa.Array) -> np.ndarray:
@@ -100,11 +99,11 @@ def _matrix(signs: pa.Array) -> np.ndarray:
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the orders: (tree, key, id, small): key sorts as the tree's values do, small has a byte of every value."""
     for b in batches:
-        tree = b.column(0).to_numpy(zero_copy_only=False)
+        tree = b.column(0).to_numpy(zero_copy_only=False) & TREE_BITS
         signs = _matrix(b.column(2)).reshape(-1, TREES, DEPTH)
         keys = signs[np.arange(len(tree)), tree].astype(">u4")
         small = signs.reshape(-1, N_VALUES).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([k.tobytes() for k in keys], pa.binary()), b.column(1), pa.array([s.tobytes() for s in small], pa.binary())], names=["tree", "key", "id", "small"])
+        yield pa.RecordBatch.from_arrays([pa.array(tree.astype(np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), b.column(1), pa.array([s.tobytes() for s in small], pa.binary())], names=["tree", "key", "id", "small"])
 
 
 def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,8 +156,10 @@ def _pairs(t: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "equal"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: IdFilter) -> Iterator[pa.RecordBatch]:
+    """(id, set) of the rows that ``wanted`` may have; a few others come along and meet no pair."""
     for b in batches:
+        b = b.filter(pa.array(wanted.may_have(b.column(0).to_numpy(zero_copy_only=False))))
         data, offsets = utf8(b.column(1))
         for i, j in chunks(offsets, _TEXT):
             h, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
@@ -202,17 +203,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     sets_of = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = stage(sets_of.groupBy("left", "right").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), F.min("sign").alias("sign")), "near-classes")
 
-    regions = classes.select("id", "sign").mapInArrow(_regions, "tree int, region long, id long")
-    shared = regions.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1").select("tree", "region")
-    active = regions.join(shared, ["tree", "region"]).select("tree", "id")
-    rows = stage(active.join(classes.select("id", "sign"), "id").select("tree", "id", "sign").mapInArrow(_orders, "tree int, key binary, id long, small binary"), "near-orders")
+    regions = classes.select("id", "sign").mapInArrow(_regions, "region long, id long")
+    shared = regions.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
+    active = regions.join(shared, "region")
+    rows = stage(active.join(classes.select("id", "sign"), "id").select("region", "id", "sign").mapInArrow(_orders, "tree int, key binary, id long, small binary"), "near-orders")
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
     pairs = ordered.mapInArrow(_candidates, "a long, b long, equal long")
     pairs = stage(pairs.groupBy("a", "b").agg(F.max("equal").alias("equal")), "near-pairs")
 
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = source.withColumnRenamed("doc_id", "id").join(ends, "id", "left_semi")
-    sets = stage(texts.select("id", "text").mapInArrow(lambda it: _sets(it, width), "id long, set binary"), "near-sets")
+    wanted = IdFilter(ends)  # spares a shuffle of all texts for the few that are in a pair
+    texts = source.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
+    sets = stage(texts.mapInArrow(lambda it: _sets(it, width, wanted), "id long, set binary"), "near-sets")
     either = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))
     best = either.groupBy(F.col("a").alias("x")).agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("y"))
     best = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -222,8 +224,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     named = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"component_{c}"))
     rest = pairs.join(best.withColumn("done", F.lit(True)), ["a", "b"], "left_anti")
     rest = rest.join(named("a"), "a", "left").join(named("b"), "b", "left").where(component("a") != component("b"))
-    links = links.unionByName(stage(confirmed(rest, sets, threshold), "near-rest"))
-    found = connected_components(links, "near-cc2")
+    rest = stage(confirmed(rest, sets, threshold), "near-rest")
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = connected_components(stars.unionByName(rest), "near-cc2")
 
     member = classes.where("rows > 1").select("left", "right", F.col("id").alias("class"))
     out = sketch.drop("sign").join(member, ["left", "right"], "left")
