@@ -18,8 +18,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adfeat.llm.common import chunks, use_session, utf8
+from adfeat.llm.common import bounded_sample, chunks, use_session, utf8
 
 #: Bytes of a window, units of a direction's state, and windows that run side by side.
 WINDOW, HIDDEN, LANES = 64, 8, 4096
@@ -181,24 +182,36 @@ def train(windows: list[bytes], labels: list[str], seed: int = 7) -> LanguageMod
 def sample_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
     """Windows, evenly spread over the text, of at most ``rows`` labelled rows outside the held-out quarter.
 
-    The rows with the smallest hash of their id are taken: the same ones for the same table.
+    The rows with the smallest hash are taken: the same ones for the same table.
     """
     size = F.length("t")
     part = F.transform(
         F.sequence(F.lit(0), F.lit(ROW_WINDOWS - 1)),
         lambda i: F.substring(F.col("t"), (i * F.greatest(size - WINDOW, F.lit(0)) / max(1, ROW_WINDOWS - 1) + 1).cast("int"), F.lit(WINDOW)),
     )
-    picked = (
-        docs.select(F.col(id_col).cast("string").alias("d"), F.col(text_col).alias("t"), F.col(label_col).alias("y"))
-        .where(r"t rlike '\\p{L}' and y is not null and pmod(crc32(d), 4) <> 2")
-        .orderBy(F.xxhash64("d"), "d", "y")
-        .limit(rows)
-        .select("y", F.array_distinct(part).alias("w"))
-        .collect()
-    )
+    labelled = docs.select(F.col(id_col).cast("string").alias("d"), F.col(text_col).alias("t"), F.col(label_col).alias("y"))
+    labelled = labelled.where("t is not null and y is not null and pmod(crc32(d), 4) <> 2")
+    labelled = labelled.where(r"t rlike '\\p{L}'").select("y", F.array_distinct(part).alias("w"), F.xxhash64("d", "t", "y").alias("k"))
+    picked = bounded_sample(labelled, rows, "k").select("y", "w").collect()
     return [w.encode()[:WINDOW] for r in picked for w in r.w if w], [r.y for r in picked for w in r.w if w]
 
 
+def _predicted(model: LanguageModel, texts: pa.Array) -> tuple[list[str], list[float]]:
+    """(label, score) of each text."""
+    data, offsets = utf8(texts)
+    best, score = [], []
+    for i, j in chunks(offsets, WINDOW * LANES):
+        own = data[offsets[i] : offsets[j]]
+        p = model.pooled(own, offsets[i : j + 1] - offsets[i]) if model.labels else np.zeros((j - i, 1))
+        top = p.argmax(axis=1)
+        for k in range(i, j):
+            text = own[offsets[k] - offsets[i] : offsets[k + 1] - offsets[i]].tobytes()
+            known = bool(model.labels) and (_ASCII_LETTER(text[:64].decode("latin-1")) or _LETTER(text.decode()))
+            best.append(model.labels[top[k - i]] if known else UNKNOWN)
+            score.append(min(1.0, float(p[k - i, top[k - i]])) if known else 0.0)
+    return best, score
+
+
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row; one pass, no shuffle.
 
@@ -206,31 +219,35 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     A text that is null or has no letter is ``und`` with score 0, and so is every text if the
     model has no label.  Repeated rows each give a row; ties go to the label that sorts first.
     """
+    doc_id = F.col(id_col).cast("long")
+    held_out = F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
+    source = docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    return annotate(source, model, "text").drop("text")
+
+
+def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` plus lang_pred and score, which replace columns of these names; one pass, no shuffle."""
+    extra = ["lang_pred", "score"]
+    names = [n for n in docs.columns if n not in extra]
+    plain = docs.select(*(docs[n] for n in names)).toDF(*(f"c{i}" for i in range(len(names))))
+    text = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = utf8(b.column(2))
-            best, score = [], []
-            for i, j in chunks(offsets, WINDOW * LANES):
-                own = data[offsets[i] : offsets[j]]
-                p = model.pooled(own, offsets[i : j + 1] - offsets[i]) if model.labels else np.zeros((j - i, 1))
-                top = p.argmax(axis=1)
-                for k in range(i, j):
-                    text = own[offsets[k] - offsets[i] : offsets[k + 1] - offsets[i]].tobytes()
-                    known = bool(model.labels) and (_ASCII_LETTER(text[:64].decode("latin-1")) or _LETTER(text.decode()))
-                    best.append(model.labels[top[k - i]] if known else UNKNOWN)
-                    score.append(min(1.0, float(p[k - i, top[k - i]])) if known else 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+            best, score = _predicted(model, b.column(text))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, *extra])
 
-    doc_id = F.col(id_col).cast("long")
-    held_out = F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
-    source = docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([*plain.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*names, *extra)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """Train on the labelled rows of ``docs`` and predict every row's language."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> LanguageModel:
+    """A model of the labelled rows of ``docs``; without any it has no label."""
     use_session(docs.sparkSession)
     windows, labels = sample_windows(docs, id_col, text_col, label_col)
-    model = train(windows, labels) if windows else LanguageModel([], {})
-    return predict(docs, model, id_col, text_col)
+    return train(windows, labels) if windows else LanguageModel([], {})
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """Train on the labelled rows of ``docs`` and predict every row's language."""
+    return predict(docs, fit(docs, id_col, text_col, label_col), id_col, text_col)

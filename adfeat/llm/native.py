@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import let
+from adfeat.llm.common import bounded_sample, let
 
 #: The separators of words, and their regular expression class.
 SEPARATORS, BETWEEN = " \t\n\x0b\x0c\r", "[ \\t-\\r]+"
@@ -36,4 +36,4 @@ def numbers(values: list[float]) -> Column:
 
 def labelled(labels: DataFrame, id_col: str, rows: int = LABELLED_ROWS) -> DataFrame:
     """The rows with an id and the smallest hash of it, at most ``rows``; one row per id."""
-    return labels.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    return bounded_sample(labels.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]), rows, id_col)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import use_session
+from adfeat.llm.common import bounded_sample, use_session
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -265,7 +265,7 @@ def sample_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     t = F.col("t")
     rows = docs.select(F.col(id_col).cast("string").alias("d"), F.col(text_col).alias("t"))
     rows = rows.where((F.length(t) <= SAMPLE_CHARS) & t.rlike("[0-9@]"))
-    return [r.t for r in rows.orderBy(F.xxhash64("d"), "d", "t").limit(texts).select("t").collect()]
+    return [r.t for r in bounded_sample(rows, texts, "d", "t").select("t").collect()]
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
