@@ -70,6 +70,11 @@ def _softmax(scores: list[Column]) -> Column:
     )
 
 
+def seed(doc_id: Column, text: Column) -> Column:
+    """A row's own number: a hash of id and text."""
+    return F.xxhash64(doc_id.cast("string"), F.coalesce(text, F.lit("")))
+
+
 def _looked_up(h: Column, table: Column) -> Column:
     return F.transform(h, lambda w: F.get(table, F.pmod(w, F.lit(BUCKETS)).cast("int")))
 
@@ -89,8 +94,7 @@ def memberships(docs: DataFrame, log_likelihood: list[list[float]], log_prior: l
         return F.struct(F.size(h).cast("bigint").alias("n"), _softmax(parts).alias("p"))
 
     text = F.col(text_col)
-    seed = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(text, F.lit("")))
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), seed.alias("seed"), let(word_hashes(text), scores).alias("m"))
+    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), seed(F.col(id_col), text).alias("seed"), let(word_hashes(text), scores).alias("m"))
     return out.select("doc_id", "seed", F.col("m.n").alias("n_words"), F.col("m.p").alias("posterior"))
 
 
@@ -132,7 +136,7 @@ def solve(members: DataFrame, targets: np.ndarray) -> np.ndarray:
 
 
 def mix(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain] = DOMAINS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, posterior, rate, copies) of every row.
+    """(doc_id, n_words, posterior, rate, copies, seed) of every row.
 
     The targets are the domains' weights times the words of all rows; ``copies`` rounds the
     rate by a hash of the row, so its expectation is the rate.  Rows without words keep rate 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id)
-    return {f.__name__: f for f in own}
+    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 #: Lines of every text with their keys; chr(9) to chr(13) and the space are stripped, A-Z lower-cased.
@@ -94,4 +95,5 @@ FROM marked GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": _OP2}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op2_line_dedup": _OP2} | pipeline
