@@ -1,35 +1,57 @@
 """Stage an intermediate DataFrame as a parquet table in the checkpoint folder.
 
-A feature section reads its parsed input once per aggregate or rank table
-(35 branches for the within-frame section).  Writing the parsed, narrow frame
-once and reading it back gives every branch a columnar scan with pruning
-and pushdown instead of re-reading and re-parsing the raw strings, and cuts
-the lineage: a lost executor recomputes from the staged files, not from the
-raw log.  The folder is the cluster's shared ``spark.checkpoint.dir``
-(``ensure_checkpoint_dir``), never a machine-local path on a cluster.
+A feature section reads its parsed input once per aggregate or rank table.
+Writing the parsed, narrow frame once and reading it back gives every branch a
+columnar scan with pruning and pushdown instead of re-reading and re-parsing
+the raw strings, and cuts the lineage: a lost executor recomputes from the
+staged files, not from the raw log.  The folder is the cluster's shared
+``spark.checkpoint.dir`` (``ensure_checkpoint_dir``), never a machine-local
+path on a cluster.
+
+A returned DataFrame reads its staged tables until it has been written, so the
+caller owns them: inside ``staging_scope(spark)`` every staged table is removed
+when the scope ends; without a scope they stay in the checkpoint folder, as
+Spark's own reliable checkpoints do.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from adfeat.session import ensure_checkpoint_dir
 
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once (eagerly) and return a DataFrame reading it back."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/adfeat-stage/{name}-{uuid.uuid4().hex}"
+    owned = _scope.get()
+    if owned is not None:
+        owned.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled by the pruned columns); no job."""
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the tables staged inside: they are removed when the scope ends, also on an error.
+
+    Yields the list of their paths.  Write or collect results inside the scope.
+    """
+    owned: list[str] = []
+    token = _scope.set(owned)
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
-        return 1 << 62
+        yield owned
+    finally:
+        _scope.reset(token)
+        for path in owned:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
