@@ -26,6 +26,7 @@ from adfeat.operators.counts import key_counts
 from adfeat.sources.views import imp_events_from
 
 BATCH = "_batch_id"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -45,8 +46,7 @@ def write_changelog(
     checkpoint – rather than in executor heap.  The provider is fixed when a
     checkpoint is created, so this applies to new queries only.
     """
-    if rocksdb:
-        counts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark = counts.sparkSession
 
     def append(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
@@ -60,7 +60,14 @@ def write_changelog(
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(append)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    # a query takes its settings when it starts; the caller's session gets its own back
+    before = spark.conf.get(PROVIDER)
+    try:
+        if rocksdb:
+            spark.conf.set(PROVIDER, ROCKSDB)
+        return writer.start()
+    finally:
+        spark.conf.set(PROVIDER, before)
 
 
 SNAP = "_snapshot_of"
@@ -76,13 +83,18 @@ def _newest(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     )
 
 
+def _files(spark: SparkSession, pattern: str) -> list:
+    """What a path pattern matches, as Hadoop file statuses."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return list(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or [])
+
+
 def _snapshot_and_tail(spark: SparkSession, path: str) -> DataFrame:
     """Latest snapshot (if any) plus the changelog batches written after it."""
     log = spark.read.parquet(path)
-    try:
-        snaps = spark.read.parquet(_snapshots(path))
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    if not _files(spark, f"{_snapshots(path)}/{SNAP}=*"):
         return log
+    snaps = spark.read.parquet(_snapshots(path))
     last = snaps.agg(F.max(SNAP)).first()[0]
     snap = snaps.where(F.col(SNAP) == F.lit(last)).drop(SNAP)  # partition-pruned read
     tail = log.where(F.col(BATCH) > F.lit(last))  # partition-pruned read
@@ -90,7 +102,13 @@ def _snapshot_and_tail(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_counts(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
-    """Newest total per key (totals only grow, batch ids order them)."""
+    """Newest total per key (totals only grow, batch ids order them).
+
+    Without a changelog (no batch has changed a total yet) there are no rows; the keys and
+    measures are bigint then, as those of the impression log are.
+    """
+    if not _files(spark, f"{path}/{BATCH}=*"):
+        return spark.createDataFrame([], ", ".join(f"{c} bigint" for c in [*keys, *measures]))
     return _newest(_snapshot_and_tail(spark, path), keys, measures).drop(BATCH)
 
 
@@ -114,16 +132,19 @@ def compact_changelog(spark: SparkSession, path: str, keys: list[str], measures:
     return int(last)
 
 
-def impression_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The ``events`` table read as a file stream and shaped like ``imp_events``."""
-    raw = (
-        spark.readStream.format("parquet")
-        .schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files)
-        .load(sf_dir)
-    )
-    return imp_events_from(raw)
+def impression_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The ``events`` table (a file or a folder of part files) as a stream shaped like ``imp_events``.
+
+    ``max_files`` bounds the files of a micro-batch.
+    """
+    path = f"{sf_dir}/events.parquet"
+    raw = spark.readStream.format("parquet").schema(spark.read.parquet(path).schema)
+    if max_files:
+        raw = raw.option("maxFilesPerTrigger", max_files)
+    if all(f.isDirectory() for f in _files(spark, path)):
+        return imp_events_from(raw.load(path))
+    # a file source streams folders: take the one file from the folder it is in
+    return imp_events_from(raw.option("pathGlobFilter", "events.parquet").load(sf_dir))
 
 
 __all__ = [
