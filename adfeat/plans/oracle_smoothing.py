@@ -93,3 +93,11 @@ SELECT r.instance_id, r.user_id, r.n AS user_trade_sum, r.c AS user_trade_count,
        round((r.c + alpha) / (r.n + alpha + beta), 6) AS user_trade_smooth
 FROM u_rows r, s_prior"""
     )
+
+
+def shop_digamma_sql() -> str:
+    """For whole n, ψ(n + 1) − ψ(1) is the n-th harmonic number."""
+    return with_views("imp_lineitem") + (
+        "\nSELECT shop_id, n, round(coalesce(list_sum(list_transform(range(1, n + 1), lambda k: 1.0 / k)), 0), 9) AS digamma_diff "
+        "FROM (SELECT shop_id, count(is_trade) AS n FROM hist WHERE shop_id IS NOT NULL GROUP BY shop_id)"
+    )

@@ -17,16 +17,12 @@ from pyspark.sql import functions as F
 
 from adfeat.operators.counts import attach, key_counts
 from adfeat.operators.smoothing import BetaPrior, fit_beta_prior, smoothed_rate
-from adfeat.sources.staging import estimated_bytes, stage
-
-# Above this estimated history size the per-key counts are staged, so the fit and
-# the attached table read one aggregate instead of scanning the history twice.
-STAGE_COUNTS_MIN_BYTES = 256 << 20
+from adfeat.sources.staging import stage
 
 
 def _counts(hist: DataFrame, key: str, n: str, c: str) -> DataFrame:
-    counts = key_counts(hist, [key], n=n, conv=c)
-    return stage(counts, f"{key}-counts") if estimated_bytes(hist) >= STAGE_COUNTS_MIN_BYTES else counts
+    """Per-key counts, staged: the fit and the attached table read one aggregate."""
+    return stage(key_counts(hist, [key], n=n, conv=c), f"{key}-counts")
 
 
 def key_smoothing(
