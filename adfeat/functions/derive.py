@@ -63,6 +63,6 @@ def indicator(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def min_max_scaled(x: str | Column, lo: float, hi: float) -> Column:
+def min_max_scaled(x: str | Column, lo: Column, hi: Column) -> Column:
     """``(x − lo) / (hi − lo)``; null when the range is empty."""
-    return F.try_divide(_col(x) - F.lit(lo), F.lit(hi - lo))
+    return F.try_divide((_col(x) - lo).cast("double"), hi - lo)

@@ -64,18 +64,29 @@ def key_counts(
     return key_aggregate(log, keys, aggs)
 
 
+def fill_frame(df: DataFrame) -> DataFrame:
+    """P11 in full: null becomes 0 in every number or flag and ``"0"`` in every text column."""
+    return df.na.fill(0).na.fill(False).na.fill("0")
+
+
 def attach(
     target: DataFrame,
     feats: DataFrame,
     keys: list[str],
     fill: object = 0,
     fills: dict[str, object] | None = None,
+    fill_inputs: bool = False,
 ) -> DataFrame:
     """P3 + P11: left equi-join of a unique-per-key table, misses filled.
 
     ``fill`` applies to every attached column (``None`` keeps nulls);
-    ``fills`` overrides it per column.  Only attached columns are filled,
-    inputs and keys keep their nulls (a null key never matches).
+    ``fills`` overrides it per column.  By default only attached columns are
+    filled, inputs and keys keep their nulls (a null key never matches);
+    ``fill_inputs`` fills the whole frame after the join, as the reference
+    does, so that a null key is the key 0 from then on.
+
+    Rows with a null key all meet in one partition of a sort-merge join; it is
+    the left side of a left join, so AQE's skew rule splits it like any hot key.
     """
     added = [c for c in feats.columns if c not in keys]
     fills = fills or {}
@@ -85,7 +96,30 @@ def attach(
         value = fills.get(c, fill)
         return F.col(c) if value is None else F.coalesce(F.col(c), F.lit(value)).alias(c)
 
-    return joined.select(*[F.col(c) for c in target.columns], *[filled(c) for c in added])
+    out = joined.select(*[F.col(c) for c in target.columns], *[filled(c) for c in added])
+    return fill_frame(out) if fill_inputs else out
+
+
+def group_part(rows: DataFrame, feats: DataFrame, row: str, keys: list[str]) -> DataFrame:
+    """``(row, features)`` of the rows that have all keys and a match: the narrow half of an attach.
+
+    Rows with a null key take no part in the keyed join; ``assemble`` fills them.
+    """
+    added = [c for c in feats.columns if c not in keys]
+    return rows.where(keys_present(keys)).select(row, *keys).join(feats, on=keys).select(row, *added)
+
+
+def assemble(rows: DataFrame, parts: list[DataFrame], row: str, fill: object = 0, keep_null: tuple[str, ...] = ()) -> DataFrame:
+    """Join parts back on the row id; misses get ``fill`` except in the ``keep_null`` columns.
+
+    Every part is hash-partitioned on the row id, so ``rows`` is shuffled once.
+    """
+    out, added = rows, []
+    for part in parts:
+        out = out.join(part, on=row, how="left")
+        added += [c for c in part.columns if c != row]
+    filled = [F.col(c) if c in keep_null else F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in added]
+    return out.select(*[F.col(c) for c in rows.columns], *filled)
 
 
 def add_counts(
@@ -100,8 +134,3 @@ def add_counts(
 ) -> DataFrame:
     """Aggregate ``log`` per key and attach the result to ``target``."""
     return attach(target, key_counts(log, keys, n=n, conv=conv, mean=mean, label=label), keys, fill)
-
-
-def add_row_counts(target: DataFrame, log: DataFrame, keys: list[str], name: str, of: str) -> DataFrame:
-    """Within-frame count: non-null ``of`` values per key, attached (0 when unseen)."""
-    return attach(target, key_aggregate(log, keys, {name: F.count(F.col(of))}), keys, 0)

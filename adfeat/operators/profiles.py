@@ -5,8 +5,8 @@ semantics are read from it and pinned down here (README lists the fill
 choices).  Each is one aggregate of the history per key – conditional
 aggregates instead of a pivot shuffle where the value list is known – and a
 left join onto the target.  Global denominators (category range, grand
-totals) are fitted as scalars by one aggregate job, as MLlib scalers do,
-instead of joining a one-row table to every row.
+totals) are scalar subqueries over the already-aggregated table, planned with
+the query: no job runs while it is built, no one-row table is joined to every row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.sources.staging import estimated_bytes, stage
 from adfeat.operators.counts import (
     LABEL,
     attach,
@@ -23,6 +22,7 @@ from adfeat.operators.counts import (
     key_aggregate,
     non_conversions,
 )
+from adfeat.sources.staging import stage
 
 SHOP_ATTRS = [
     "shop_review_num_level",
@@ -35,10 +35,6 @@ SHOP_ATTRS = [
 ITEM_ATTRS = ["item_price_level", "item_sales_level", "item_collected_level", "item_pv_level"]
 USER_ATTRS = ["user_age_level", "user_star_level"]
 
-# Above this estimated history size an aggregate that feeds a driver-side scalar
-# and a join is staged, so the history is scanned once.
-STAGE_MIN_BYTES = 256 << 20
-
 # The star-level offset and the five category ids of the
 # reference's indicator block (its data's ids; callers pass their own).
 STAR_LEVEL_OFFSET = 4998
@@ -118,12 +114,16 @@ def untrade(hist: DataFrame, base: DataFrame, key: str, prefix: str) -> DataFram
 def threshold_flags(hist: DataFrame, base: DataFrame) -> DataFrame:
     """Shop impressions ≥ 2, item conversions ≥ 5, user impressions ≥ 5 (0 when unseen)."""
 
-    def flag(measure: Column, k: int) -> Column:
-        return F.when(measure >= F.lit(k), F.lit(1)).otherwise(F.lit(0))
+    keys = ["shop_id", "item_id", "user_id"]
+    cells = hist.groupBy(*keys).agg(impressions().alias("_n"), conversions().alias("_c"))
+    cells = stage(cells, "threshold-cells")  # the history is read once, the three keys roll up from it
+
+    def flag(measure: str, k: int) -> Column:
+        return F.when(F.sum(measure) >= F.lit(k), F.lit(1)).otherwise(F.lit(0))
 
-    out = attach(base, key_aggregate(hist, ["shop_id"], {"shop_plus_2": flag(impressions(), 2)}), ["shop_id"], 0)
-    out = attach(out, key_aggregate(hist, ["item_id"], {"ad_plus_5": flag(conversions(), 5)}), ["item_id"], 0)
-    return attach(out, key_aggregate(hist, ["user_id"], {"user_plus_5": flag(impressions(), 5)}), ["user_id"], 0)
+    out = attach(base, key_aggregate(cells, ["shop_id"], {"shop_plus_2": flag("_n", 2)}), ["shop_id"], 0)
+    out = attach(out, key_aggregate(cells, ["item_id"], {"ad_plus_5": flag("_c", 5)}), ["item_id"], 0)
+    return attach(out, key_aggregate(cells, ["user_id"], {"user_plus_5": flag("_n", 5)}), ["user_id"], 0)
 
 
 def attribute_ratio(hist: DataFrame, base: DataFrame, key: str) -> DataFrame:
@@ -166,8 +166,7 @@ def occupation_ratio(
 def gender_mix(hist: DataFrame, base: DataFrame, genders: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
     """Labelled rows per item and gender, and each over the grand total of all items.
 
-    The grand total is the sum of the per-item table (one small job over the
-    aggregate, staged when the history is large), not a second scan of the log.
+    The grand total is a scalar subquery over the per-item table, not a second scan of the log.
     """
     label = F.col(LABEL)
     counts = {
@@ -175,16 +174,8 @@ def gender_mix(hist: DataFrame, base: DataFrame, genders: tuple[int, ...] = (0,
         for g in genders
     }
     table = key_aggregate(hist, ["item_id"], counts)
-    if estimated_bytes(hist) >= STAGE_MIN_BYTES:
-        table = stage(table, "gender-mix")
-    total_row = table.agg(
-        sum(F.coalesce(F.sum(f"gender_{g}"), F.lit(0)) for g in genders).alias("t")
-    ).first()
-    total = float(total_row["t"]) if total_row and total_row["t"] else None
-    ratios = [
-        (F.col(f"gender_{g}") / F.lit(total) if total else F.lit(None).cast("double")).alias(f"ad_gender{g}_ratio")
-        for g in genders
-    ]
+    total = table.agg(sum(F.coalesce(F.sum(f"gender_{g}"), F.lit(0)) for g in genders).alias("t")).scalar()
+    ratios = [F.try_divide(F.col(f"gender_{g}").cast("double"), total).alias(f"ad_gender{g}_ratio") for g in genders]
     table = table.select("item_id", *[f"gender_{g}" for g in genders], *ratios)
     return attach(base, table, ["item_id"], None)
 

@@ -10,9 +10,9 @@ mean of the ranks they span, so with ``before`` rows earlier in the key and
 and ``if_first`` / ``if_last`` is 1 only for a *unique* extreme (rank 1.0).
 Rows with a null key or time get null ranks and flag 0.
 
-Skew-safe plan (default, ``method="blocks"``).  A plain window
-``partitionBy(key).orderBy(ts)`` sends every row of a key to one task; with a
-key holding a third of the log that task holds a third of the data.  Instead:
+Skew-safe plan.  A plain window ``partitionBy(key).orderBy(ts)`` sends every
+row of a key to one task; with a key holding a third of the log that task
+holds a third of the data.  Instead:
 
 1. aggregate the rows to distinct ``(key, ts) → peers`` (partial aggregation,
    so a hot key shrinks to its distinct timestamps before the shuffle);
@@ -23,19 +23,6 @@ key holding a third of the log that task holds a third of the data.  Instead:
    group holds one row per block, not per event;
 4. add the two offsets and join the ranks back on ``(key, ts)``, which spreads
    a hot key over partitions by time.
-
-``method="window"`` is the direct window over the distinct (key, time)
-table; ``method="rows"`` is the textbook window over the rows themselves
-(``rank()`` plus half the extra peers, one exchange, no join back).
-``method="auto"`` (default) takes the block plan when Catalyst estimates the
-source at ``BLOCKS_MIN_BYTES`` or more.  Below that no key can hold more than
-a task comfortably sorts, so it takes ``rows`` when a frame is ranked in
-place (one window pass, no join back) and ``small`` when the ranks are
-attached to a widened copy of the source – the ``window`` form with the rows
-shuffled by key first, so aggregate and window share one exchange and the
-wide rows are never sorted.  (Measured: on a widened frame ``rows`` is
-slower – it shuffles and sorts the whole frame per key, where the (key, time)
-table is small enough for AQE to broadcast into it; in place it is faster.)
 """
 
 from __future__ import annotations
@@ -43,11 +30,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adfeat.functions import indicator
 from adfeat.operators.counts import keys_present
-from adfeat.sources.staging import estimated_bytes
 
 DEFAULT_BLOCK_SECONDS = 86400
-BLOCKS_MIN_BYTES = 256 << 20
+NO_BLOCK = -(2**62)  # block id of rows without a time (sorts before every real block)
 
 
 def _names(prefix: str) -> dict[str, str]:
@@ -59,15 +46,11 @@ def _names(prefix: str) -> dict[str, str]:
     }
 
 
-NO_BLOCK = -(2**62)  # block id of rows without a time (sorts before every real block)
-
-
 def rank_table(
     df: DataFrame,
     keys: list[str],
     ts: str,
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    method: str = "auto",
     counts: dict[str, str] | None = None,
 ) -> DataFrame:
     """``(keys…, ts, _first, _last, count…)`` for every distinct non-null key and time.
@@ -77,38 +60,13 @@ def rank_table(
     null ``ts`` so they are counted but not ranked.
     """
     counts = counts or {}
-    if method == "auto":
-        method = "small" if estimated_bytes(df) < BLOCKS_MIN_BYTES else "blocks"
     cond = keys_present(keys) if counts else keys_present(keys) & F.col(ts).isNotNull()
     aggs = [F.count(F.lit(1)).alias("_peers")] + [F.count(F.col(c)).alias(f"_c_{n}") for n, c in counts.items()]
-    rows = df.where(cond)
-    if method == "small":
-        # only chosen by ``auto`` under BLOCKS_MIN_BYTES: shuffling the rows by key lets
-        # the (key, time) aggregate and the window share one exchange; at this size
-        # no key can overflow a task, so the map-side combine is not needed
-        rows = rows.repartition(*keys)
-        method = "window"
-    kt = rows.groupBy(*keys, ts).agg(*aggs)
+    kt = df.where(cond).groupBy(*keys, ts).agg(*aggs)
     timed = F.col(ts).isNotNull()
     peers = F.when(timed, F.col("_peers")).otherwise(F.lit(0))
     half = (F.col("_peers") + F.lit(1)) / F.lit(2.0)
 
-    if method == "window":
-        w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*keys)
-        first = F.coalesce(F.sum(peers).over(w), F.lit(0)) + half
-        n = F.sum(peers).over(whole)
-        r = kt.select(
-            *keys,
-            ts,
-            F.when(timed, first).alias("_first"),
-            F.when(timed, n + F.lit(1) - first).alias("_last"),
-            *[F.sum(f"_c_{c}").over(whole).alias(c) for c in counts],
-        )
-        return r
-    if method != "blocks":
-        raise ValueError(f"unknown rank method {method!r}")
-
     blk = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(float(block_seconds)))
     kt = kt.withColumn("_blk", F.coalesce(blk, F.lit(NO_BLOCK)))
     w_in = Window.partitionBy(*keys, "_blk").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
@@ -139,30 +97,7 @@ def rank_table(
 
 def flag_one(rank: Column) -> Column:
     """1 iff the average rank is exactly 1 (a unique extreme)."""
-    return F.when(rank == F.lit(1.0), F.lit(1)).otherwise(F.lit(0))
-
-
-def _ranks_on_rows(
-    df: DataFrame, keys: list[str], ts: str, prefix: str, order: tuple[str, ...], counts: dict[str, str]
-) -> DataFrame:
-    """Direct windows over the rows (small inputs only, see ``method``)."""
-    names = _names(prefix)
-    key_ok = keys_present(keys)
-    valid = key_ok & F.col(ts).isNotNull()
-    timed = Window.partitionBy(*keys, F.col(ts).isNull())
-    first = F.rank().over(timed.orderBy(ts)) + (
-        F.count(F.lit(1)).over(Window.partitionBy(*keys, ts)) - F.lit(1)
-    ) / F.lit(2.0)
-    n = F.count(F.lit(1)).over(timed)
-    rank = {"first": F.when(valid, first), "last": F.when(valid, n + F.lit(1) - first)}
-    out: list[Column] = [
-        F.when(key_ok, F.count(F.col(of)).over(Window.partitionBy(*keys))).otherwise(F.lit(0)).alias(c)
-        for c, of in counts.items()
-    ]
-    for direction in order:
-        r = rank[direction]
-        out += [r.alias(names[direction]), flag_one(r).alias(names[f"if_{direction}"])]
-    return df.select(*[F.col(c) for c in df.columns], *out)
+    return indicator(rank == F.lit(1.0))
 
 
 def add_time_ranks(
@@ -172,7 +107,6 @@ def add_time_ranks(
     prefix: str,
     order: tuple[str, ...] = ("last", "first"),
     block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    method: str = "auto",
     source: DataFrame | None = None,
     counts: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -180,7 +114,7 @@ def add_time_ranks(
 
     ``order`` fixes the column order (the reference writes some keys
     last-first and others first-last).  ``source`` is the frame the ranks are
-    computed over when ``df`` is a widened copy of it (same rows).
+    computed over when ``df`` is a widened or narrowed copy of it (same rows).
     ``counts`` (name → column) also attaches per-key non-null counts of a
     column from the same aggregate and join, placed before the ranks
     (0 for a null key).
@@ -188,16 +122,7 @@ def add_time_ranks(
     names = _names(prefix)
     counts = counts or {}
     src = source if source is not None else df
-    if method == "auto":
-        if estimated_bytes(src) >= BLOCKS_MIN_BYTES:
-            method = "blocks"
-        else:
-            # ranking a frame in place: one window pass, no join back; attaching to a
-            # widened copy: rank the narrow (key, time) table so the wide rows stay put
-            method = "rows" if source is None else "small"
-    if method == "rows":  # ``df`` has the rows of ``source`` (a widened or narrowed copy)
-        return _ranks_on_rows(df, keys, ts, prefix, order, counts)
-    r = rank_table(src, keys, ts, block_seconds=block_seconds, method=method, counts=counts)
+    r = rank_table(src, keys, ts, block_seconds=block_seconds, counts=counts)
     # rename the table's columns so the join condition is unambiguous
     rr = r.select(
         *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],

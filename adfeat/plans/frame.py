@@ -1,11 +1,10 @@
 """Within-frame features (B1-B41): counts, time ranks, list parsing, one frame.
 
-``frame_features(label)`` is the whole section; each ``add_*`` step is usable
-on its own.  The frame is both the source of every aggregate and the target
-the results are attached to.  All aggregates and rank tables are computed
-from the narrow parsed frame (``prepare_frame``), never from the widened
-result of earlier joins, so each branch is a shallow plan over a pruned scan
-and the chain of left joins only ever widens the output.
+``frame_features(label)`` is the whole section; ``frame_subset`` runs one step.
+The frame is both the source of every aggregate and the target the results
+are attached to.  It is parsed and staged once; every aggregate and rank table
+reads the columns it needs from there, and its features meet the frame on a
+row id, so the wide rows are shuffled once however many groups are asked for.
 
 Quirks kept under the reference's names: ``item_pro1_sum_x`` (global count of
 property 1) and ``item_pro1_sum_y`` (item × property 1) come from a pandas
@@ -22,14 +21,15 @@ from pyspark.sql import functions as F
 from adfeat.functions import (
     category_key,
     index_or_minus1,
+    list_length,
     min_max_scaled,
     parse_time,
     predicted_categories,
-    split_list,
+    property_at,
 )
-from adfeat.operators.counts import attach, key_aggregate
-from adfeat.operators.ranks import DEFAULT_BLOCK_SECONDS, add_time_ranks
-from adfeat.sources.staging import estimated_bytes, stage
+from adfeat.operators.counts import assemble, group_part, key_aggregate
+from adfeat.operators.ranks import DEFAULT_BLOCK_SECONDS, add_time_ranks, flag_one, rank_table
+from adfeat.sources.staging import stage
 
 TS = "_ts"
 N_PROPS = 7
@@ -101,7 +101,6 @@ DROPPED = [
 
 def prepare_frame(label: DataFrame) -> DataFrame:
     """Parse time, category, predicted list and properties once, as native expressions."""
-    props = split_list("item_property_list")
     cat = category_key("item_category_list")
     pred = predicted_categories("predict_category_property")
     return label.select(
@@ -110,96 +109,11 @@ def prepare_frame(label: DataFrame) -> DataFrame:
         cat.alias("item_category"),
         pred.alias("predict_category"),
         index_or_minus1(cat, pred).alias(PREDICT_RANK),
-        F.size(props).alias("property_len"),
-        *[F.get(props, i - 1).alias(f"item_pro{i}") for i in range(1, N_PROPS + 1)],
+        list_length("item_property_list").alias("property_len"),
+        *[property_at("item_property_list", i - 1).alias(f"item_pro{i}") for i in range(1, N_PROPS + 1)],
     )
 
 
-def _count_of(base: DataFrame, keys: list[str], name: str, of: str = "instance_id") -> DataFrame:
-    return key_aggregate(base, keys, {name: F.count(F.col(of))})
-
-
-def add_frame_counts(frame: DataFrame, base: DataFrame, specs=FRAME_COUNTS) -> DataFrame:
-    """Non-null instance ids per key, 0 when the key is null."""
-    for keys, name in specs:
-        frame = attach(frame, _count_of(base, keys, name), keys, 0)
-    return frame
-
-
-def add_entity_ranks(
-    frame: DataFrame,
-    base: DataFrame,
-    specs=ENTITY_RANKS,
-    block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    counts: dict[str, dict[str, str]] | None = None,
-) -> DataFrame:
-    """Average time ranks in shop, user, item, user×item, user×shop.
-
-    ``counts`` (prefix → {name: column}) fuses per-key counts into the rank
-    table of the same key: one aggregate and one join instead of two.
-    """
-    counts = counts or {}
-    for keys, prefix, order in specs:
-        frame = add_time_ranks(
-            frame, keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
-            counts=counts.get(prefix),
-        )
-    return frame
-
-
-def category_range(base: DataFrame) -> tuple[int | None, int | None]:
-    """Min and max of rows per category – two scalars from one aggregate job."""
-    per_cat = _count_of(base, ["item_category"], "n")
-    row = per_cat.agg(F.min("n").alias("lo"), F.max("n").alias("hi")).first()
-    return (row["lo"], row["hi"]) if row else (None, None)
-
-
-def add_category_popularity(frame: DataFrame, base: DataFrame) -> DataFrame:
-    """Rows per category, min-max scaled over categories (null for one category)."""
-    lo, hi = category_range(base)
-    per_cat = _count_of(base, ["item_category"], "n")
-    if lo is None:
-        scaled = F.lit(None).cast("double")
-    else:
-        scaled = min_max_scaled(F.col("n").cast("double"), float(lo), float(hi))
-    table = per_cat.select("item_category", scaled.alias("item_category_sum"))
-    return attach(frame, table, ["item_category"], fill=None)
-
-
-def add_property_ranks(
-    frame: DataFrame,
-    base: DataFrame,
-    block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    counts: dict[str, dict[str, str]] | None = None,
-) -> DataFrame:
-    """Average time ranks within each of properties 1-7 (``counts`` as above)."""
-    counts = counts or {}
-    for i in range(1, N_PROPS + 1):
-        prefix = f"item_pro{i}"
-        frame = add_time_ranks(
-            frame,
-            [prefix],
-            TS,
-            prefix,
-            order=PROPERTY_RANK_ORDER[i],
-            block_seconds=block_seconds,
-            source=base,
-            counts=counts.get(prefix),
-        )
-    return frame
-
-
-def add_predict_rank_counts(frame: DataFrame, base: DataFrame, specs=PREDICT_RANK_COUNTS) -> DataFrame:
-    """Rows per entity × predicted-category rank."""
-    for keys, cols in specs:
-        aggs = {
-            name: F.avg(F.col("instance_id")) if kind == "mean" else F.count(F.col("instance_id"))
-            for name, kind in cols.items()
-        }
-        frame = attach(frame, key_aggregate(base, keys, aggs), keys, 0)
-    return frame
-
-
 # Counts that share their key with a rank table (fused into it by ``frame_features``).
 ENTITY_FUSED = {
     "user": {"user_sum_label": "instance_id"},
@@ -215,12 +129,6 @@ PROPERTY_FUSED = {
     "item_pro4": {"item_pro4_sum": "instance_id"},
 }
 
-
-ROW = "_row"
-# Above this estimated size of the staged frame the groups are assembled by row id.
-ASSEMBLE_MIN_BYTES = 256 << 20
-
-
 def _output_order(label: DataFrame, columns: list[str]) -> list[str]:
     ranks = [
         c
@@ -247,112 +155,145 @@ def _output_order(label: DataFrame, columns: list[str]) -> list[str]:
     return order
 
 
-def _group_parts(base: DataFrame, block_seconds: int) -> list[DataFrame]:
-    """Each feature group on a narrow ``(row id, its keys)`` projection → ``(row id, features)``."""
-    parts: list[DataFrame] = []
+ROW = "_row"
+
+
+def stage_frame(label: DataFrame) -> DataFrame:
+    """The parsed frame with a row id, written once; every feature group reads it pruned.
+
+    The ids are written with the rows, so they are stable however often a branch is computed.
+    """
+    base = prepare_frame(label).drop("predict_category").withColumn(ROW, F.monotonically_increasing_id())
+    return stage(base, "frame")
+
+
+def count_parts(base: DataFrame, specs) -> list[DataFrame]:
+    """Non-null instance ids per key."""
+    return [
+        group_part(base, key_aggregate(base, keys, {name: F.count(F.col("instance_id"))}), ROW, keys)
+        for keys, name in specs
+    ]
 
-    def narrow(*cols: str) -> DataFrame:
-        return base.select(ROW, *cols)
 
-    for keys, prefix, order in ENTITY_RANKS:
+def entity_rank_parts(
+    base: DataFrame, specs=ENTITY_RANKS, block_seconds: int = DEFAULT_BLOCK_SECONDS, fused: bool = True
+) -> list[DataFrame]:
+    """Average time ranks in shop, user, item, user×item, user×shop.
+
+    With ``fused`` the per-key counts B1-B5 come out of the same aggregate and join.
+    """
+    parts = []
+    for keys, prefix, order in specs:
         ranked = add_time_ranks(
-            narrow(*keys, TS), keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
-            counts=ENTITY_FUSED.get(prefix),
+            base.select(ROW, *keys, TS), keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
+            counts=ENTITY_FUSED[prefix] if fused else None,
         )
         parts.append(ranked.drop(*keys, TS))
-    parts.append(add_category_popularity(narrow("item_category"), base).drop("item_category"))
-    for keys, name in PROPERTY_CROSSES:
-        parts.append(add_frame_counts(narrow(*keys), base, [(keys, name)]).drop(*keys))
-    for i in range(1, N_PROPS + 1):
-        prefix = f"item_pro{i}"
-        ranked = add_time_ranks(
-            narrow(prefix, TS), [prefix], TS, prefix, order=PROPERTY_RANK_ORDER[i], block_seconds=block_seconds,
-            source=base, counts=PROPERTY_FUSED.get(prefix),
-        )
-        parts.append(ranked.drop(prefix, TS))
-    for keys, cols in PREDICT_RANK_COUNTS:
-        parts.append(add_predict_rank_counts(narrow(*keys), base, [(keys, cols)]).drop(*keys))
     return parts
 
 
+def category_part(base: DataFrame) -> DataFrame:
+    """Rows per category, min-max scaled over categories (null for one category).
+
+    The range is two scalar subqueries over the same aggregate, planned with the join.
+    """
+    per_cat = key_aggregate(base, ["item_category"], {"n": F.count(F.col("instance_id"))})
+    lo, hi = per_cat.agg(F.min("n")).scalar(), per_cat.agg(F.max("n")).scalar()
+    table = per_cat.select("item_category", min_max_scaled("n", lo, hi).alias("item_category_sum"))
+    return group_part(base, table, ROW, ["item_category"])
+
+
+def property_rank_part(base: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+    """Time ranks within each of properties 1-7 and rows per property 1-4.
+
+    The seven properties are melted to (row, index, value, time), so one aggregate, one block
+    window and one join serve all of them; the ranks return to one row per row id by a
+    conditional aggregate.
+    """
+    values = F.posexplode(F.array(*[F.col(f"item_pro{i}") for i in range(1, N_PROPS + 1)])).alias("_i", "_value")
+    melted = base.select(ROW, "instance_id", TS, values).where(F.col("_value").isNotNull())
+    table = rank_table(melted, ["_i", "_value"], TS, block_seconds=block_seconds, counts={"_rows": "instance_id"})
+    table = table.select(F.col("_i").alias("_ti"), F.col("_value").alias("_tv"), F.col(TS).alias("_tts"), "_first", "_last", "_rows")
+    cond = [F.col("_i") == F.col("_ti"), F.col("_value") == F.col("_tv"), F.col(TS).eqNullSafe(F.col("_tts"))]
+    of = lambda i, c: F.max(F.when(F.col("_i") == i - 1, F.col(c)))
+    aggs = [of(i, c).alias(f"{c}{i}") for i in range(1, N_PROPS + 1) for c in ("_first", "_last")]
+    aggs += [of(i, "_rows").alias(name) for i, (_, name) in enumerate(PROPERTY_COUNTS, start=1)]
+    wide = melted.join(table, cond).groupBy(ROW).agg(*aggs)
+    cols = [F.col(name) for _, name in PROPERTY_COUNTS]
+    for i, order in PROPERTY_RANK_ORDER.items():
+        for d in order:
+            rank = F.col(f"_{d}{i}")
+            cols += [rank.alias(f"item_pro{i}_{d}_rank"), flag_one(rank).alias(f"item_pro{i}_if_{d}")]
+    return wide.select(ROW, *cols)
+
+
+def predict_rank_parts(base: DataFrame, specs=PREDICT_RANK_COUNTS) -> list[DataFrame]:
+    """Rows per entity × predicted-category rank."""
+    parts = []
+    for keys, cols in specs:
+        aggs = {
+            name: F.avg(F.col("instance_id")) if kind == "mean" else F.count(F.col("instance_id"))
+            for name, kind in cols.items()
+        }
+        parts.append(group_part(base, key_aggregate(base, keys, aggs), ROW, keys))
+    return parts
+
+
+RANK_COLUMNS = tuple(
+    [f"{prefix}_{d}_rank" for _, prefix, order in ENTITY_RANKS for d in order]
+    + [f"item_pro{i}_{d}_rank" for i, order in PROPERTY_RANK_ORDER.items() for d in order]
+)
+#: Columns in which a row without a match stays null instead of 0.
+KEEP_NULL = (*RANK_COLUMNS, "item_category_sum")
+
+
+def filled_keys(base: DataFrame) -> DataFrame:
+    """The frame after the reference's whole-frame fill: a null id or label is 0."""
+    ids = ("user_id", "item_id", "shop_id", "is_trade")
+    return base.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast(base.schema[c].dataType) for c in ids})
+
+
 def frame_features(
-    label: DataFrame,
-    block_seconds: int = DEFAULT_BLOCK_SECONDS,
-    staged: bool = True,
-    assemble: str = "auto",
+    label: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS, fill_inputs: bool = False
 ) -> DataFrame:
     """All within-frame features (70 columns + ``user_item_pre_count``).
 
-    Counts keyed like a rank table (B1-B5 with B6-B15, B19-B22 with B28-B31)
-    come out of that table's aggregate and join.  With ``staged`` the parsed
-    frame is written once to the checkpoint folder and every branch reads its
-    columns from there (see ``sources.staging``).
-
-    ``assemble`` picks how the 23 feature groups meet the frame: ``chain``
-    attaches them one after another to the frame (each attach shuffles the
-    widening frame by that group's keys); ``row_ids`` computes every group on
-    a narrow ``(row id, keys)`` projection and joins the parts on the row id –
-    all parts are hash-partitioned on the same key, so those joins are
-    co-partitioned and the wide rows move once (needs ``staged``, which makes
-    the row ids stable); ``auto`` uses ``row_ids`` when Catalyst estimates the
-    staged frame above ``ASSEMBLE_MIN_BYTES``.  Column order follows the
-    reference.
+    The parsed frame is written once (``stage_frame``).  Every feature group is computed on a
+    narrow ``(row id, keys)`` projection of it, counts keyed like a rank table come out of
+    that table's aggregate, and the parts meet the frame on the row id, for which the wide
+    rows are shuffled once.  Column order follows the reference.
+
+    ``fill_inputs`` follows the reference's fill of the whole frame after the first five
+    counts: from there on rows with a null id form the group of key 0, and are returned so.
     """
-    base = prepare_frame(label)
-    if staged:
-        base = stage(base.drop("predict_category").withColumn(ROW, F.monotonically_increasing_id()), "frame")
-    if assemble == "auto":
-        assemble = "row_ids" if staged and estimated_bytes(base) >= ASSEMBLE_MIN_BYTES else "chain"
-    if assemble == "row_ids":
-        if not staged:
-            raise ValueError("assemble='row_ids' needs staged=True (stable row ids)")
-        f = base
-        for part in _group_parts(base, block_seconds):
-            f = f.join(part, on=ROW, how="left")
-    else:
-        f = add_entity_ranks(base, base, block_seconds=block_seconds, counts=ENTITY_FUSED)
-        f = add_category_popularity(f, base)
-        f = add_frame_counts(f, base, PROPERTY_CROSSES)
-        f = add_property_ranks(f, base, block_seconds=block_seconds, counts=PROPERTY_FUSED)
-        f = add_predict_rank_counts(f, base)
+    base = stage_frame(label)
+    rows = filled_keys(base) if fill_inputs else base
+    parts = count_parts(base, FRAME_COUNTS) if fill_inputs else []
+    parts += entity_rank_parts(rows, block_seconds=block_seconds, fused=not fill_inputs)
+    parts += [category_part(rows), *count_parts(rows, PROPERTY_CROSSES), property_rank_part(rows, block_seconds)]
+    parts += predict_rank_parts(rows)
+    out = assemble(rows, parts, ROW, keep_null=KEEP_NULL)
     # parsed temporaries (DROPPED, _ts, _row) fall away here
-    return f.select(*_output_order(label, f.columns))
+    return out.select(*_output_order(label, out.columns))
 
 
-def frame_subset(
-    label: DataFrame, step: str, block_seconds: int = DEFAULT_BLOCK_SECONDS, staged: bool = False
-) -> DataFrame:
+FRAME_STEPS = {
+    "counts": lambda base, seconds: count_parts(base, FRAME_COUNTS),
+    "entity_ranks": lambda base, seconds: entity_rank_parts(base, block_seconds=seconds),
+    "category_popularity": lambda base, seconds: [category_part(base)],
+    "property_counts": lambda base, seconds: count_parts(base, PROPERTY_COUNTS),
+    "property_crosses": lambda base, seconds: count_parts(base, PROPERTY_CROSSES),
+    "property_ranks": lambda base, seconds: [property_rank_part(base, seconds)],
+    "predict_rank_counts": lambda base, seconds: predict_rank_parts(base),
+}
+
+
+def frame_subset(label: DataFrame, step: str, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """One step of the section on the parsed frame (keeps the parsed columns)."""
-    base = prepare_frame(label)
-    if staged:
-        base = stage(base, f"frame-{step}")
-    if step == "counts":
-        return add_frame_counts(base, base, FRAME_COUNTS)
-    if step == "entity_ranks":
-        return add_entity_ranks(base, base, block_seconds=block_seconds)
-    if step == "category_popularity":
-        return add_category_popularity(base, base)
-    if step == "property_counts":
-        return add_frame_counts(base, base, PROPERTY_COUNTS)
-    if step == "property_crosses":
-        return add_frame_counts(base, base, PROPERTY_CROSSES)
-    if step == "property_ranks":
-        return add_property_ranks(base, base, block_seconds=block_seconds)
-    if step == "predict_rank_counts":
-        return add_predict_rank_counts(base, base)
     if step == "parsed":
-        return base
-    raise ValueError(step)
-
-
-__all__ = [
-    "frame_features",
-    "frame_subset",
-    "prepare_frame",
-    "add_frame_counts",
-    "add_entity_ranks",
-    "add_category_popularity",
-    "add_property_ranks",
-    "add_predict_rank_counts",
-    "category_range",
-]
+        return prepare_frame(label)
+    base = stage_frame(label)
+    return assemble(base, FRAME_STEPS[step](base, block_seconds), ROW, keep_null=KEEP_NULL)
+
+
+__all__ = ["frame_features", "frame_subset", "prepare_frame", "stage_frame"]

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.functions import category_key, hour_of
-from adfeat.operators.counts import LABEL, add_counts, attach, key_aggregate
-from adfeat.sources.staging import estimated_bytes, stage
+from adfeat.operators.counts import LABEL, add_counts, assemble, attach, fill_frame, group_part, key_aggregate
+from adfeat.sources.staging import stage
 
 CAT_KEY = "_cat_key"
 HOUR = "hour"
@@ -100,13 +100,13 @@ class Cells:
     Null keys stay in the cells as their own value and are dropped per roll-up.
     """
 
-    def __init__(self, hist: DataFrame, staged: bool = True) -> None:
+    def __init__(self, hist: DataFrame) -> None:
         cells = prepare_history(hist).groupBy(*CELL_KEYS).agg(
             F.count(F.col(LABEL)).alias("_n"),
             F.count_if(F.col(LABEL) == 1).alias("_c"),
             F.sum(F.col(LABEL)).alias("_s"),
         )
-        self.df = stage(cells, "history-cells") if staged else cells
+        self.df = stage(cells, "history-cells")
 
     def table(self, group: Group) -> DataFrame:
         aggs = {}
@@ -125,62 +125,42 @@ def add_group(target: DataFrame, hist: DataFrame | Cells, group: Group) -> DataF
     return add_counts(target, hist, list(group.keys), n=group.n, conv=group.conv, mean=group.mean)
 
 
-# Above this estimated size of the parsed history the cells pay for their staging write.
-CELLS_MIN_BYTES = 256 << 20
+COMBO = "_combo"
 
 
-def history_source(hist: DataFrame, strategy: str = "auto") -> DataFrame | Cells:
-    """``cells``: roll up from staged cells; ``direct``: aggregate the pruned log per group;
-    ``auto``: cells when Catalyst estimates the parsed history above ``CELLS_MIN_BYTES``."""
-    if strategy == "auto":
-        strategy = "cells" if estimated_bytes(prepare_history(hist)) >= CELLS_MIN_BYTES else "direct"
-    return Cells(hist) if strategy == "cells" else prepare_history(hist)
+def attach_groups(target: DataFrame, cells: Cells, groups: list[Group]) -> DataFrame:
+    """Attach groups to the target through its distinct key combinations.
 
-
-# Above this estimated target size the features go onto the distinct key combinations.
-NARROW_MIN_BYTES = 256 << 20
-
-
-def attach_by_key_combos(target: DataFrame, keys: list[str], add) -> DataFrame:
-    """Apply ``add`` (a chain of attaches) to the distinct key combinations, then join once.
-
-    Each attach of the chain shuffles its input by its own keys; on the wide
-    target that is one full shuffle of every column per feature group.  On the
-    distinct combinations of ``keys`` it shuffles a narrow table, and the wide
-    rows move once, in the final join (null-safe: a null key is a combination
-    like any other, and the chain itself gives it 0 counts).
+    The combinations are staged with an id.  Each group joins the narrow ``(id, its keys)``
+    rows that have all keys, the parts meet on the id (co-partitioned), and the wide target
+    rows move once, in a null-safe join on the five keys: a null key is a combination like
+    any other, and gets 0 from the groups it is a key of.
     """
-    combos = target.select(*keys).distinct()
-    feats = add(combos)
-    added = [c for c in feats.columns if c not in keys]
-    renamed = feats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *added)
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    combos = target.select(*CELL_KEYS).distinct().withColumn(COMBO, F.monotonically_increasing_id())
+    combos = stage(combos, "target-keys")
+    feats = assemble(combos, [group_part(combos, cells.table(g), COMBO, list(g.keys)) for g in groups], COMBO)
+    added = [c for g in groups for c in g.outputs()]
+    renamed = feats.select(*[F.col(k).alias(f"_k_{k}") for k in CELL_KEYS], *added)
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in CELL_KEYS]
     return target.join(renamed, cond, "left").select(*target.columns, *added)
 
 
-def history_features(
-    hist: DataFrame, target: DataFrame, strategy: str = "auto", attach_to: str = "auto"
-) -> DataFrame:
-    """The 22 history count features attached to every target row.
-
-    ``strategy`` picks the history side (see ``history_source``); ``attach_to``
-    picks the target side: ``rows`` chains the attaches on the target rows,
-    ``keys`` on its distinct key combinations (``attach_by_key_combos``),
-    ``auto`` uses ``keys`` when Catalyst estimates the target above
-    ``NARROW_MIN_BYTES``.
-    """
-    h = history_source(hist, strategy)
+def _section(hist: DataFrame, target: DataFrame, groups: list[Group], fill_inputs: bool) -> DataFrame:
+    cells = Cells(hist)
     t = prepare_target(target).drop("item_category_list")
-    if attach_to == "auto":
-        attach_to = "keys" if estimated_bytes(t) >= NARROW_MIN_BYTES else "rows"
+    if fill_inputs:
+        t = fill_frame(attach_groups(t, cells, groups[:1]))
+        groups = groups[1:]
+    return attach_groups(t, cells, groups).drop(CAT_KEY)
 
-    def chain(df: DataFrame) -> DataFrame:
-        for group in SECTION.values():
-            df = add_group(df, h, group)
-        return df
 
-    out = attach_by_key_combos(t, CELL_KEYS, chain) if attach_to == "keys" else chain(t)
-    return out.drop(CAT_KEY)
+def history_features(hist: DataFrame, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
+    """The 22 history count features attached to every target row.
+
+    ``fill_inputs`` fills the whole target with 0 after the first group, as the reference
+    does, so that a null key is the key 0 for the later groups.
+    """
+    return _section(hist, target, list(SECTION.values()), fill_inputs)
 
 
 def section_group(hist: DataFrame, target: DataFrame, name: str) -> DataFrame:
@@ -215,11 +195,8 @@ def user_feat(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
 def user_ad(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
     h = _h(hist)
     t = add_group(base, h, SECTION["user_item"])
-    keyed = CAT_KEY in t.columns  # key combinations already carry the category key
-    if not keyed:
-        t = t.withColumn(CAT_KEY, category_key("item_category_list")).drop("item_category_list")
-    t = add_group(t, h, SECTION["user_category"])
-    return t if keyed else t.drop(CAT_KEY)
+    t = t.withColumn(CAT_KEY, category_key("item_category_list")).drop("item_category_list")
+    return add_group(t, h, SECTION["user_category"]).drop(CAT_KEY)
 
 
 def user_shop(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
@@ -247,41 +224,28 @@ def user_ad_context(hist: DataFrame | Cells, base: DataFrame) -> DataFrame:
     return add_group(prepare_target(base, need_key=False), _h(hist), SECTION["user_item_hour"])
 
 
-MODULAR_CHAIN = [
-    shop_feat,
-    ad_feat,
-    user_feat,
-    user_ad,
-    user_shop,
-    user_context,
-    ad_context,
-    shop_context,
-    user_shop_context,
-    user_ad_context,
+# The ten modular methods in order, as groups.
+MODULAR = [
+    SECTION["shop"],
+    _g(["item_id"], "item_trade_sum"),
+    SECTION["user"],
+    SECTION["user_item"],
+    SECTION["user_category"],
+    SECTION["user_shop"],
+    _g(["user_id", HOUR], "time_user_sum"),
+    SECTION["item_hour"],
+    SECTION["shop_hour"],
+    USER_SHOP_HOUR_COUNTS,
+    SECTION["user_item_hour"],
 ]
 
 
-def modular_features(
-    hist: DataFrame, target: DataFrame, strategy: str = "auto", attach_to: str = "auto"
-) -> DataFrame:
+def modular_features(hist: DataFrame, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
     """All ten modular methods in order (20 columns), sharing one history source.
 
-    ``attach_to`` as in ``history_features``.
+    The columns are the target's without ``item_category_list``, ``hour``, then the features.
     """
-    h = history_source(hist, strategy)
-    if attach_to == "auto":
-        attach_to = "keys" if estimated_bytes(target) >= NARROW_MIN_BYTES else "rows"
-
-    def chain(df: DataFrame) -> DataFrame:
-        for step in MODULAR_CHAIN:
-            df = step(h, df)
-        return df
-
-    if attach_to != "keys":
-        return chain(target)
-    t = prepare_target(target)
-    out = attach_by_key_combos(t, CELL_KEYS, chain)
-    return out.drop("item_category_list", CAT_KEY)
+    return _section(hist, target, MODULAR, fill_inputs)
 
 
 def keep(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -50,6 +50,9 @@ def oracle_sql() -> dict[str, str]:
     ]:
         out[name] = OF.entity_time_rank_sql(keys, prefix)
     out["frame_features"] = OF.frame_features_sql()
+    out["filled_frame"] = OF.filled_frame_sql()
+    out["csv_user_item_counts"] = OH.group_sql("user_item", EVENT_BASE)
+    out["shop_digamma"] = OS.shop_digamma_sql()
     out["beta_prior"] = OS.beta_prior_sql()
     out["shop_smoothed_rate"] = OS.key_smoothed_sql("shop_id", "shop")
     out["item_smoothed_rate"] = OS.key_smoothed_sql("item_id", "item")

@@ -211,3 +211,18 @@ def frame_features_sql() -> str:
     p.counts(PREDICT_COUNTS)
     base = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp", "item_category_list"]
     return p.sql(_prelude(), base)
+
+
+def filled_frame_sql() -> str:
+    """After the first counts a null user is user 0; those counts still know which were null."""
+    fill = "coalesce(user_id, 0) AS user_id, coalesce(is_trade, 0) AS is_trade"
+    prelude = _prelude() + f",\nfz AS (SELECT * REPLACE ({fill}), user_id AS raw_user FROM fy)"
+    p = Parts()
+    p.ctes.append(
+        "raw_n AS (SELECT user_id AS raw_user, count(instance_id) AS n FROM fy WHERE user_id IS NOT NULL GROUP BY user_id)"
+    )
+    p.joins.append("LEFT JOIN raw_n ON t.raw_user = raw_n.raw_user")
+    p.cols.append("coalesce(raw_n.n, 0) AS user_sum_label")
+    p.ranks([(["user_id"], "user", ("last", "first"))])
+    p.counts([(["user_id", "item_pro1"], "user_pro1_sum"), (["user_id", PRED], "user_predict_sum")], src="fz")
+    return p.sql(prelude, ["instance_id", "user_id", "is_trade"], src="fz")

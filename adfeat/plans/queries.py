@@ -13,14 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeat.functions import category_key, parse_time
+from adfeat.functions import category_key, digamma_diff, parse_time
 from adfeat.operators import profiles as P
+from adfeat.operators.counts import key_counts
 from adfeat.operators.ranks import add_time_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
 from adfeat.plans import smoothing as SM
 from adfeat.session import ensure_checkpoint_dir, tune_session
-from adfeat.sources.views import history_and_target, imp_events, imp_lineitem
+from adfeat.sources.schema import read_impressions
+from adfeat.sources.staging import stage
+from adfeat.sources.views import EVENTS_CUT, history_and_target, imp_events, imp_lineitem, split_by_time
 from adfeat.streaming import impression_stream, latest_counts, streaming_key_counts, write_changelog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,23 +119,26 @@ def _frame_query(step: str, cols: list[str]) -> Query:
     return run
 
 
-# (keys, prefix, rank method).  Two are pinned to the skew-proof block plan so the
-# oracle check exercises it at sf0.01; the others take the size-based choice.
 ENTITY_RANK_QUERIES = {
-    "shop_time_rank": (["shop_id"], "shop", "auto"),
-    "user_time_rank": (["user_id"], "user", "blocks"),
-    "item_time_rank": (["item_id"], "item", "auto"),
-    "user_item_time_rank": (["user_id", "item_id"], "user_item", "auto"),
-    "user_shop_time_rank": (["user_id", "shop_id"], "user_shop", "blocks"),
+    "shop_time_rank": (["shop_id"], "shop"),
+    "user_time_rank": (["user_id"], "user"),
+    "item_time_rank": (["item_id"], "item"),
+    "user_item_time_rank": (["user_id", "item_id"], "user_item"),
+    "user_shop_time_rank": (["user_id", "shop_id"], "user_shop"),
 }
 
 
-def _entity_rank_query(keys: list[str], prefix: str, method: str) -> Query:
-    """Ranks on ``imp_lineitem``, where every time is midnight and ties abound."""
+def _entity_rank_query(keys: list[str], prefix: str) -> Query:
+    """Ranks on ``imp_lineitem``, where every time is midnight and ties abound.
+
+    The five-table join is run once, to a staged narrow log that feeds both the rank table and
+    the rows it is joined to.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = imp_lineitem(spark, sf_dir).withColumn(FR.TS, parse_time("context_timestamp"))
-        out = add_time_ranks(base, keys, FR.TS, prefix, order=("last", "first"), method=method)
+        log = imp_lineitem(spark, sf_dir).select("instance_id", "user_id", "item_id", "shop_id", "context_timestamp")
+        base = stage(log.withColumn(FR.TS, parse_time("context_timestamp")), f"{prefix}-log")
+        out = add_time_ranks(base, keys, FR.TS, prefix, order=("last", "first"))
         cols = [f"{prefix}_{d}" for d in ("last_rank", "if_last", "first_rank", "if_first")]
         return H.keep(out, ["instance_id", "user_id", "item_id", "shop_id", "context_timestamp"] + cols)
 
@@ -140,6 +146,29 @@ def _entity_rank_query(keys: list[str], prefix: str, method: str) -> Query:
     return run
 
 
+def filled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 with ``fill_inputs``: rows without a user are the group of user 0 from the ranks on."""
+    out = FR.frame_features(imp_events(spark, sf_dir), fill_inputs=True)
+    cols = ["user_sum_label", "user_last_rank", "user_if_last", "user_first_rank", "user_if_first", "user_pro1_sum", "user_predict_sum"]
+    return H.keep(out, ["instance_id", "user_id", "is_trade", *cols])
+
+
+def csv_user_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log written as CSV to the checkpoint folder, read back with the declared schema."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stage/csv-{uuid.uuid4().hex}"
+    imp_events(spark, sf_dir).write.option("header", "true").csv(root)
+    hist, tgt = split_by_time(read_impressions(spark, root, fmt="csv"), EVENTS_CUT)
+    spec = H.SECTION["user_item"]
+    return H.keep(H.section_group(hist, tgt, "user_item"), EVENT_BASE + spec.outputs())
+
+
+def shop_digamma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ψ(n + 1) − ψ(1) of every shop's impressions n, as a native expression."""
+    hist, _ = history_and_target(spark, sf_dir, "imp_lineitem")
+    counts = key_counts(hist, ["shop_id"], n="n")
+    return counts.select("shop_id", "n", F.round(digamma_diff(F.col("n"), F.lit(1.0)), 9).alias("digamma_diff"))
+
+
 def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FR.frame_features(imp_events(spark, sf_dir))
 
@@ -175,9 +204,7 @@ def _smoothed_query(kind: str) -> Query:
 
 # ---------------------------------------------------------------- tier 2 (disabled in the reference)
 
-# The five market segments of the customer table (occupation
-# pivot columns) and the category ids whose indicators the query builds.
-OCCUPATIONS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+# The category ids whose indicators the query builds.
 INDICATOR_IDS = ["c10", "c11", "c12", "c13", "c14"]
 
 
@@ -221,10 +248,7 @@ def _tier2() -> dict[str, Query]:
             lambda h, t, k=key: P.attribute_ratio(h, t, k),
             ["instance_id", key, f"{stem}_sum", f"{stem}_count", f"{stem}_ratio"],
         )
-    q["item_occupation_ratio"] = _lineitem_query(
-        lambda h, t: P.occupation_ratio(h, t, OCCUPATIONS),
-        ["instance_id", "item_id", *[f"item_occ_{o.lower()}_ratio" for o in OCCUPATIONS]],
-    )
+    q["item_occupation_ratio"] = item_occupation_ratio
     q["item_gender_mix"] = _lineitem_query(
         P.gender_mix,
         ["instance_id", "item_id", *[f"gender_{g}" for g in range(3)], *[f"ad_gender{g}_ratio" for g in range(3)]],
@@ -239,6 +263,13 @@ def _tier2() -> dict[str, Query]:
     return q
 
 
+def item_occupation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D13 on ``imp_lineitem``: one column per occupation found in the history."""
+    hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
+    out = P.occupation_ratio(hist, tgt)
+    return H.keep(out, ["instance_id", "item_id", *[c for c in out.columns if c.startswith("item_occ_")]])
+
+
 def hour_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D18 on ``imp_events``: conversions per hour over the user × hour impressions."""
     hist, tgt = history_and_target(spark, sf_dir, "imp_events")
@@ -292,9 +323,12 @@ def _registry() -> dict[str, Query]:
     q["modular_features"] = modular_features
     for name, (step, cols) in FRAME_STEP_QUERIES.items():
         q[name] = _frame_query(step, cols)
-    for name, (keys, prefix, method) in ENTITY_RANK_QUERIES.items():
-        q[name] = _entity_rank_query(keys, prefix, method)
+    for name, (keys, prefix) in ENTITY_RANK_QUERIES.items():
+        q[name] = _entity_rank_query(keys, prefix)
     q["frame_features"] = frame_features
+    q["filled_frame"] = filled_frame
+    q["csv_user_item_counts"] = csv_user_item_counts
+    q["shop_digamma"] = shop_digamma
     q["beta_prior"] = beta_prior
     for kind in ("shop", "item", "user"):
         q[f"{kind}_smoothed_rate"] = _smoothed_query(kind)

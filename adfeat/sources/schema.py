@@ -52,14 +52,17 @@ def read_impressions(
 ) -> DataFrame:
     """Read an impression log with the fixed schema.
 
-    Columns are matched by *name* (CSV header or parquet footer) and cast to
-    the declared types – no schema inference pass over the data.  Columns of
+    Columns are matched by *name* (CSV header or parquet footer); a CSV is parsed
+    straight to the declared types – no schema inference pass over the data.  Columns of
     the schema that the file lacks are left out, so a feature needing one
     fails at analysis time rather than reading silent nulls.
     """
     if fmt == "csv":
-        opts = {"header": "true", "inferSchema": "false", **options}
-        df = spark.read.options(**opts).csv(path)
+        opts = {"header": "true", **options}
+        declared = {f.name: f.dataType for f in schema.fields}
+        names = spark.read.options(**opts).csv(path).columns  # the header line alone
+        types = T.StructType([T.StructField(n, declared.get(n, T.StringType()), True) for n in names])
+        df = spark.read.options(**opts).schema(types).csv(path, enforceSchema=False)
     else:
         df = spark.read.options(**options).format(fmt).load(path)
     present = set(df.columns)

@@ -16,11 +16,11 @@ ROWS = st.lists(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, method=st.sampled_from(["blocks", "window", "rows"]), block=st.sampled_from([5, 60, 86400]))
-def test_ranks_equal_pandas(spark, rows, method, block):
+@given(rows=ROWS, block=st.sampled_from([5, 60, 86400]))
+def test_ranks_equal_pandas(spark, rows, block):
     data = [(i, k, None if s is None else f"2024-01-01 00:00:{s:02d}") for i, (k, s) in enumerate(rows)]
     df = spark.createDataFrame(data, "rid long, k string, t string").withColumn("ts", F.to_timestamp("t"))
-    out = add_time_ranks(df, ["k"], "ts", "k", method=method, block_seconds=block, counts={"n": "rid"}).toPandas()
+    out = add_time_ranks(df, ["k"], "ts", "k", block_seconds=block, counts={"n": "rid"}).toPandas()
     pdf = pd.DataFrame(data, columns=["rid", "k", "t"])
     g = pdf.groupby("k", dropna=True)["t"]
     pdf["first"] = g.rank(method="average", ascending=True)

@@ -12,12 +12,11 @@ def _frame(spark, rows):
     return df.withColumn("ts", F.to_timestamp("t"))
 
 
-@pytest.mark.parametrize("method", ["blocks", "window", "rows", "small", "auto"])
-def test_ties_share_the_mean_rank(spark, method):
+def test_ties_share_the_mean_rank(spark):
     rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", "2024-01-01 00:00:03"),
             (3, "a", "2024-01-01 00:00:03"), (4, "a", "2024-01-01 00:00:02"),
             (5, None, "2024-01-01 00:00:02")]
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=2, method=method)
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=2)
     got = {r.rid: (r.k_first_rank, r.k_last_rank, r.k_if_first, r.k_if_last) for r in out.collect()}
     assert got[1] == (1.0, 4.0, 1, 0)
     assert got[2] == (3.5, 1.5, 0, 0)
@@ -26,14 +25,13 @@ def test_ties_share_the_mean_rank(spark, method):
     assert got[5] == (None, None, 0, 0)  # null key: no rank, no flag
 
 
-@pytest.mark.parametrize("block_seconds", [1, 7, 3600, None])
+@pytest.mark.parametrize("block_seconds", [1, 7, 3600])
 def test_matches_pandas_average_rank(spark, block_seconds):
-    rnd = random.Random(block_seconds or 11)
+    rnd = random.Random(block_seconds)
     keys = ["hot"] * 300 + [f"k{i}" for i in range(40)] * 5  # one key holds most rows
     rows = [(i, k, f"2024-01-01 00:{rnd.randrange(0, 3):02d}:{rnd.randrange(0, 60):02d}")
             for i, k in enumerate(keys)]
-    method = "rows" if block_seconds is None else "blocks"
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds or 3600, method=method).toPandas()
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", block_seconds=block_seconds).toPandas()
     pdf = pd.DataFrame(rows, columns=["rid", "k", "t"])
     pdf["first"] = pdf.groupby("k")["t"].rank(method="average", ascending=True)
     pdf["last"] = pdf.groupby("k")["t"].rank(method="average", ascending=False)
@@ -45,21 +43,8 @@ def test_matches_pandas_average_rank(spark, block_seconds):
     assert m.groupby("k_x")["k_if_last"].sum().max() <= 1
 
 
-@pytest.mark.parametrize("method", ["blocks", "window", "rows"])
-def test_null_time_gets_no_rank(spark, method):
+def test_null_time_gets_no_rank(spark):
     rows = [(1, "a", "2024-01-01 00:00:01"), (2, "a", None), (3, "a", "2024-01-01 00:00:01")]
-    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", method=method, counts={"n": "rid"})
+    out = add_time_ranks(_frame(spark, rows), ["k"], "ts", "k", counts={"n": "rid"})
     got = {r.rid: (r.k_first_rank, r.k_last_rank, r.n) for r in out.collect()}
     assert got == {1: (1.5, 1.5, 3), 2: (None, None, 3), 3: (1.5, 1.5, 3)}
-
-
-def test_window_and_blocks_agree_with_counts(spark):
-    rnd = random.Random(3)
-    rows = [(i, rnd.choice(["a", "b", None]), None if i % 17 == 0 else
-             f"2024-01-0{rnd.randrange(1, 4)} 0{rnd.randrange(0, 3)}:00:0{rnd.randrange(0, 4)}") for i in range(400)]
-    df = _frame(spark, rows)
-    a = add_time_ranks(df, ["k"], "ts", "k", method="blocks", block_seconds=3600, counts={"n": "rid"})
-    b = add_time_ranks(df, ["k"], "ts", "k", method="window", counts={"n": "rid"})
-    c = add_time_ranks(df, ["k"], "ts", "k", method="rows", counts={"n": "rid"})
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
