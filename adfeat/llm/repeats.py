@@ -95,16 +95,37 @@ def _surroundings(data: np.ndarray, offsets: np.ndarray, at: np.ndarray, row: np
     return (mix(left) * _U(0x2545F4914F6CDD1D) + mix(right)).view(np.int64)
 
 
+ANCHORS = ("gram", "around", "doc", "key", "at", "end")
+
+
 def _find_anchors(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Anchors (gram, around, doc, key, at), and ranges (doc, key, at, end) that repeat one of their own row.
+
+    An anchor whose surroundings an earlier anchor of its row has too is settled here: what it
+    reaches goes, and it can be the first occurrence of nothing.
+    """
     for b in batches:
         data, offsets = utf8(b.column(2))
         doc, key = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         for i, j in chunks(offsets, _TEXT):
             own, at0 = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             at, row, gram = anchors(own, at0, size)
-            if len(at):
-                around = _surroundings(own, at0, at, row, size)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, around, doc[i + row], key[i + row], at - at0[row])], names=["gram", "around", "doc", "key", "at"])
+            if not len(at):
+                continue
+            around = _surroundings(own, at0, at, row, size)
+            _, first = np.unique(around.view(_U) + row.astype(_U) * _U(0x9E3779B97F4A7C15), return_index=True)
+            if len(first) < len(at):
+                again = np.ones(len(at), bool)
+                again[first] = False
+                r, a = row[again], at[again]
+                s, e = np.maximum(a - (size - K), at0[r]), np.minimum(a + size, at0[r + 1])
+                run = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (s[1:] > e[:-1])])
+                r, s, e = r[run], s[run], np.maximum.reduceat(e, run)
+                none = pa.nulls(len(r), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, *(pa.array(x) for x in (doc[i + r], key[i + r], s - at0[r], e - at0[r]))], names=ANCHORS)
+                first = np.sort(first)
+                at, row, gram, around = at[first], row[first], gram[first], around[first]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (gram, around, doc[i + row], key[i + row], at - at0[row])), pa.nulls(len(at), pa.int64())], names=ANCHORS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -149,11 +170,25 @@ def _spell(grams: list[int], texts: list[bytes], first_symbol: int) -> tuple[lis
     for hi in range(1, n + 1):
         if hi < n and shared[hi] >= 0:
             continue
-        part = np.array(shared[lo + 1 : hi])
-        for d in np.unique(part[part > 0]).tolist():
-            together = part >= d
-            number = symbol + np.cumsum(np.r_[0, ~together])
-            own = np.r_[together, False] | np.r_[False, together]
+        part = shared[lo + 1 : hi]
+        for d in sorted({x for x in part if x > 0}):
+            if hi - lo <= 32:
+                together = [x >= d for x in part] + [False]
+                was = False
+                for i, now in enumerate(together):
+                    if was or now:
+                        lengths[order[lo + i]].append(d)
+                        symbols[order[lo + i]].append(symbol)
+                    if not now:
+                        symbol += 1
+                    was = now
+                continue
+            now = np.zeros(hi - lo, bool)
+            now[:-1] = np.array(part) >= d
+            number = np.full(hi - lo, symbol)
+            number[1:] += np.cumsum(~now[:-1])
+            own = now.copy()
+            own[1:] |= now[:-1]
             for i, x in zip(np.flatnonzero(own).tolist(), number[own].tolist(), strict=True):
                 lengths[order[lo + i]].append(d)
                 symbols[order[lo + i]].append(x)
@@ -172,9 +207,10 @@ def _reach(grams: list[int], texts: list[bytes]) -> np.ndarray:
 
 
 def repeated_in(grams: list[int], ages: list[int], lefts: list[bytes], rights: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
-    """(row, bytes before, bytes from the anchor on) of the ranges of rows that an earlier row of the gram has too.
+    """(row, bytes before, bytes from the anchor on) of what earlier rows of the gram have too.
 
-    A range is a union of strings of ``size`` bytes.  Rows of one age are the same place.
+    The strings of ``size`` bytes that a row repeats all hold its anchor, so their union is one
+    range.  Rows of one age are the same place.
     """
     lefts = [x[::-1] for x in lefts]
     near = np.flatnonzero(_reach(grams, lefts) + _reach(grams, rights) >= size).tolist()
@@ -187,30 +223,36 @@ def repeated_in(grams: list[int], ages: list[int], lefts: list[bytes], rights: l
     right_length, right_symbol, symbol = _spell(grams, rights, symbol)
     text: list[int] = []
     age: list[int] = []
-    starts: list[tuple[int, int, int]] = []  # place in the text, row, bytes to the left
+    starts = []  # place in the text of each row's deepest left symbol
     for i in range(n):
-        deep = len(left_symbol[i])
         at = len(text)
         text += left_symbol[i][::-1]
         text.append(centre[grams[i]])
         text += right_symbol[i]
         text.append(1 + i)
         age += [ages[i]] * (len(text) - at)
-        starts += [(at + k, i, left_length[i][deep - 1 - k] if k < deep else 0) for k in range(deep + 1)]
+        starts.append(at)
     text.append(0)
     age.append(-1)
     order = suffix_array(text)
-    shared = longest_earlier(order, common_prefixes(text, order), age)
+    # symbols ascend from row ends over centres and left symbols to right symbols, and only
+    # suffixes from a left symbol or a centre on are asked for
+    first = n + 1
+    last = first + sum(len(x) for x in left_symbol) + n
+    ages_in_order = [age[s] for s in order[first:last]]
+    shared = longest_earlier(ages_in_order, common_prefixes(text, order, first, last))
     match = [0] * len(text)
-    for s, k in zip(order, shared, strict=True):
+    for s, k in zip(order[first:last], shared, strict=True):
         match[s] = k
-    for at, i, x in starts:
-        deep = left_length[i].index(x) + 1 if x else 0
-        k = match[at] - deep - 1  # symbols to the right of the centre
-        if k >= 0:
-            y = right_length[i][k - 1] if k else 0
-            if x + y >= size:
-                yield near[i], x, y
+    for i, at in enumerate(starts):
+        left, right = [*left_length[i][::-1], 0], [0, *right_length[i]]
+        most_x = most_y = 0
+        for k, x in enumerate(left):
+            rest = match[at + k] - (len(left) - k)  # symbols to the right of the centre
+            if rest >= 0 and x + right[rest] >= size:
+                most_x, most_y = max(most_x, x), max(most_y, right[rest])
+        if most_y:
+            yield near[i], most_x, most_y
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -270,9 +312,12 @@ def remove_repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", tex
     spark = use_session(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
-    every = stage(rows.mapInArrow(lambda it: _find_anchors(it, size), "gram long, around long, doc long, key long, at long"), "repeat-anchors")
+    found_in = stage(rows.mapInArrow(lambda it: _find_anchors(it, size), ", ".join(f"{c} long" for c in ANCHORS)), "repeat-anchors")
+    every = found_in.where("end is null").drop("end")
+    inner = found_in.where("end is not null").select("doc", "key", F.col("at").alias("start"), "end")
     often = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    shared = stage(every.join(often, "gram", "left_semi"), "repeat-shared")
+    # a hash join, as it spares sorting every anchor of the corpus; its built side is the smaller by far
+    shared = stage(every.join(often.hint("shuffle_hash"), "gram", "left_semi"), "repeat-shared")
     _release(spark)
 
     place = F.struct("doc", "key", "at")
@@ -298,7 +343,7 @@ def remove_repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", tex
     single = strings.join(earliest, ["a", "b"]).where(F.struct("doc", "key", "start") != F.col("first")).select("doc", "key", "start", (F.col("start") + size).alias("end"))
     _release(spark)
 
-    found = ranges.unionByName(whole).unionByName(single)
+    found = ranges.unionByName(whole).unionByName(inner).unionByName(single)
     found = found.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "end")).alias("found"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", span), T.StructField("kept", T.BinaryType())])

@@ -45,10 +45,26 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int]]:
     end = n - 1
     while end >= 0:
         g = group[order[end]]
+        if g == end:  # one member, as in most groups: what it points at moves alone
+            s = order[g]
+            p = s - 1
+            while p >= 0 and group[p] > g:
+                p = before[p]
+            before[s] = p
+            if p >= 0:
+                h = group[p]
+                back = last[h]
+                if back > h:
+                    i, q = place[p], order[back]
+                    order[i], order[back] = q, p
+                    place[q], place[p] = i, back
+                    last[h] = back - 1
+                    group[p] = last[back] = back
+            end = g - 1
+            continue
         members = order[g : end + 1]
-        if g < end:
-            members.sort()
-        pointed: dict[int, int] = {}
+        members.sort()
+        points = []
         for s in members:
             p = s - 1
             while p >= 0 and group[p] > g:
@@ -57,13 +73,20 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int]]:
                 p = before[p]  # set already: the members come in order of the text
             before[s] = p
             if p >= 0:
+                points.append(p)
+        if len(set(points)) == len(points):
+            sets = [points]  # as in most groups, no suffix is pointed at twice
+        else:
+            pointed: dict[int, int] = {}
+            for p in points:
                 pointed[p] = pointed.get(p, 0) + 1
-        by_count: dict[int, list[int]] = {}
-        for p, k in pointed.items():
-            by_count.setdefault(k, []).append(p)
-        for k in sorted(by_count, reverse=True):
+            by_count: dict[int, list[int]] = {}
+            for p, k in pointed.items():
+                by_count.setdefault(k, []).append(p)
+            sets = [by_count[k] for k in sorted(by_count, reverse=True)]
+        for moving in sets:
             moved: dict[int, int] = {}
-            for p in by_count[k]:
+            for p in moving:
                 h = group[p]
                 back = last[h]
                 # swap p with the last member of its group that has not moved
@@ -81,44 +104,57 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int]]:
     return group, before
 
 
-def common_prefixes(text: Sequence[int], order: Sequence[int]) -> list[int]:
-    """Symbols that each suffix shares with the one before it in the order; 0 for the first."""
+def common_prefixes(text: Sequence[int], order: Sequence[int], first: int = 0, last: int | None = None) -> list[int]:
+    """Symbols that each suffix of ``order[first:last]`` shares with the one before it; 0 for the first."""
     n = len(text)
-    rank = [0] * n
-    for i, s in enumerate(order):
-        rank[s] = i
-    out, k = [0] * n, 0
+    last = n if last is None else last
+    rank = [-1] * n
+    for i in range(first, last):
+        rank[order[i]] = i
+    out, k = [0] * (last - first), 0
     for s in range(n):
         r = rank[s]
-        if r:
-            q = order[r - 1]
-            while s + k < n and q + k < n and text[s + k] == text[q + k]:
-                k += 1
-            out[r] = k
-            if k:
-                k -= 1
-        else:
+        if r <= first:
             k = 0
+            continue
+        q = order[r - 1]
+        while s + k < n and q + k < n and text[s + k] == text[q + k]:
+            k += 1
+        out[r - first] = k
+        if k:
+            k -= 1
     return out
 
 
-def longest_earlier(order: Sequence[int], shared: Sequence[int], age: Sequence[int]) -> list[int]:
-    """Per place of the order: symbols shared with the suffix of smaller age that shares most; 0 if none.
+def longest_earlier(age: Sequence[int], shared: Sequence[int]) -> list[int]:
+    """Symbols that each suffix shares with the one of smaller age that shares most; 0 if none.
 
-    That suffix is the nearest of smaller age to one side or the other.
+    ``age`` and ``shared`` are in order of the suffixes.  That suffix is the nearest of smaller
+    age to one side or the other.
     """
-    n = len(order)
+    n = len(age)
     out = [0] * n
-    for ascending in (True, False):
-        stack: list[tuple[int, int]] = []  # (age, symbols shared with the entry below)
-        for i in range(n) if ascending else range(n - 1, -1, -1):
-            least = shared[i] if ascending else (shared[i + 1] if i + 1 < n else 0)
-            a = age[order[i]]
-            if not least:
-                stack = []
-            while stack and stack[-1][0] >= a:
-                least = min(least, stack.pop()[1])
-            if stack and least > out[i]:
-                out[i] = least
-            stack.append((a, least))
+    for places in (range(n), range(n - 1, -1, -1)):
+        ages: list[int] = []  # ages on the stack, and what each entry shares with the one below
+        links: list[int] = []
+        up = places.step == 1
+        link = 0
+        for i in places:
+            if up:
+                link = shared[i]
+            if not link:
+                ages, links = [age[i]], [0]
+            else:
+                a, least = age[i], link
+                while ages and ages[-1] >= a:
+                    ages.pop()
+                    below = links.pop()
+                    if below < least:
+                        least = below
+                if ages and least > out[i]:
+                    out[i] = least
+                ages.append(a)
+                links.append(least)
+            if not up:
+                link = shared[i]
     return out
