@@ -94,6 +94,69 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: Brute force: common shingles of all pairs, then everything that links reach.
+_OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+                               ELSE list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4]) END) AS s
+    FROM w)
+),
+n AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+),
+arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT arcs.b, reach.r FROM reach JOIN arcs ON arcs.a = reach.doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+#: Brute force: every 100-byte string (as hex), all but the first of which are removed.
+_OP7 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0))) AS s FROM d),
+strings AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS k FROM starts),
+again AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM strings) WHERE r > 1),
+runs AS (
+  SELECT doc_id, min(s) AS s, max(s) + 100 AS e FROM (
+    SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (
+      SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM again))
+  GROUP BY doc_id, run
+),
+edges AS (SELECT doc_id, s, e FROM runs UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM d),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s, e), 0) AS after FROM edges),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * after + 1, 2 * (s - after)), '' ORDER BY s, e) AS h,
+         sum(e - s) AS n_removed, count(*) - 1 AS n_spans
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)
+"""
+
+#: Brute force: the cosine of all pairs.
+_OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT links.b, reach.r FROM reach JOIN links ON links.a = reach.vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
+    """The queries that SQL can express; the others are tested against brute force."""
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_line_dedup": _OP2} | pipeline
+    return {"op2_line_dedup": _OP2, "op6_minhash_forest": _OP6, "op7_suffix_array": _OP7, "op8_spherical_caps": _OP8} | pipeline
