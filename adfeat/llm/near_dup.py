@@ -9,7 +9,9 @@ parts fit one.  Among the neighbours of a block the signatures pick the candidat
 confirm: all similar pairs of a small region, else each class's most similar neighbours, so
 the number of pairs grows with the classes and not with the square of a group.  Candidates
 are confirmed on the full sets, first the best one of each class, then every other one whose
-ends are not connected yet.
+ends are not connected yet.  Last, the orders are read once more for the classes that are
+still apart: every similar pair of a block whose ends lie in different components is
+confirmed, so a class whose one link hides among many almost-links of a large group is found.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ N_VALUES, TREE_BITS = TREES * DEPTH, 31
 #: Rows of an order that are compared with each other, and of a region whose similar pairs are all kept.
 BLOCK, SMALL_REGION = 512, 16
 
-#: Share of equal signature values below which a pair is not confirmed: 5 deviations under 0.75.
-LEAST_ESTIMATE = 0.55
+#: Share of equal signature values below which a pair is not confirmed: 5 deviations under 0.75;
+#: 1.8 in the last reading, which has every pair of a block.
+LEAST_ESTIMATE, LAST_ESTIMATE = 0.55, 0.68
 
 _RNG = np.random.Generator(np.random.PCG64(6))
 _FACTORS = _RNG.integers(0, 2**63, N_VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,8 +109,12 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(tree.astype(np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), b.column(1), pa.array([s.tobytes() for s in small], pa.binary())], names=["tree", "key", "id", "small"])
 
 
-def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs (a < b) and their equal values among the sorted rows of a block."""
+def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray, component: np.ndarray | None = None, seen: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs (a < b) and their equal values among the sorted rows of a block.
+
+    With ``component``, all similar pairs of a region whose ends lie in different components;
+    the first ``seen`` rows have been compared with each other before.
+    """
     n = len(ids)
     same = np.r_[False, (tree[1:] == tree[:-1]) & (keys[1:, :LEAST_DEPTH] == keys[:-1, :LEAST_DEPTH]).all(axis=1)]
     first = np.flatnonzero(~same)
@@ -117,12 +124,18 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.nd
         if m < 2:
             continue
         own, s = ids[lo:hi], small[lo:hi]
+        if component is not None and (component[lo:hi] == component[lo]).all():
+            continue
         equal = np.empty((m, m), np.int16)
         for k in range(m):
             equal[k] = (s == s[k]).sum(axis=1)
         np.fill_diagonal(equal, -1)
         equal[own[:, None] == own] = -1
-        if m <= SMALL_REGION:
+        if component is not None:
+            equal[component[lo:hi, None] == component[lo:hi]] = -1
+            equal[: max(0, seen - lo), : max(0, seen - lo)] = -1
+            i, j = np.nonzero(np.triu(equal >= LAST_ESTIMATE * N_VALUES))
+        elif m <= SMALL_REGION:
             i, j = np.nonzero(equal >= LEAST_ESTIMATE * N_VALUES)
         else:
             i = np.repeat(np.arange(m), 3)
@@ -135,24 +148,33 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.nd
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a sorted partition; the second half of a block is the first half of the next."""
+    """Pairs of a sorted partition; the second half of a block is the first half of the next.
+
+    With a column ``component``, a row per class with the list of its partners.
+    """
     held: pa.Table | None = None
+    seen = 0
     for b in batches:
         t = pa.Table.from_batches([b])
         held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
         while len(held) >= BLOCK:
-            yield _pairs(held.slice(0, BLOCK))
-            held = held.slice(BLOCK // 2)
+            yield _pairs(held.slice(0, BLOCK), seen)
+            held, seen = held.slice(BLOCK // 2), BLOCK // 2
     if held is not None:
-        yield _pairs(held)
+        yield _pairs(held, seen)
 
 
-def _pairs(t: pa.Table) -> pa.RecordBatch:
+def _pairs(t: pa.Table, seen: int) -> pa.RecordBatch:
     t = t.combine_chunks()
     cols = {n: t.column(n).chunk(0) if t.column(n).num_chunks else pa.array([], t.schema.field(n).type) for n in t.column_names}
     keys = np.frombuffer(utf8(cols["key"])[0].tobytes(), ">u4").reshape(-1, DEPTH)
     small = np.frombuffer(utf8(cols["small"])[0].tobytes(), np.uint8).reshape(-1, N_VALUES)
-    a, b, n = neighbours(cols["tree"].to_numpy(zero_copy_only=False), keys, cols["id"].to_numpy(zero_copy_only=False), small)
+    component = cols["component"].to_numpy(zero_copy_only=False) if "component" in cols else None
+    a, b, n = neighbours(cols["tree"].to_numpy(zero_copy_only=False), keys, cols["id"].to_numpy(zero_copy_only=False), small, component, seen)
+    if component is not None:
+        first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else a  # the pairs are sorted
+        others = pa.ListArray.from_arrays(pa.array(np.append(first, len(a)), pa.int32()), pa.array(b, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(a[first], pa.int64()), others], names=["a", "others"])
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "equal"])
 
 
@@ -187,6 +209,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = 75) -> DataFra
     return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
+def _sorted_orders(rows: DataFrame) -> DataFrame:
+    """The orders' rows, sorted over all partitions.
+
+    The sort key ends with the id, so a large region is spread over partitions like any other.
+    """
+    return rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -207,8 +237,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     shared = regions.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
     active = regions.join(shared, "region")
     rows = stage(active.join(classes.select("id", "sign"), "id").select("region", "id", "sign").mapInArrow(_orders, "tree int, key binary, id long, small binary"), "near-orders")
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-    pairs = ordered.mapInArrow(_candidates, "a long, b long, equal long")
+    pairs = _sorted_orders(rows).mapInArrow(_candidates, "a long, b long, equal long")
     pairs = stage(pairs.groupBy("a", "b").agg(F.max("equal").alias("equal")), "near-pairs")
 
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
@@ -228,6 +257,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
     found = connected_components(stars.unionByName(rest), "near-cc2")
 
+    apart = rows.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    lists = _sorted_orders(apart).mapInArrow(_candidates, "a long, others array<long>")
+    lists = lists.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    last = lists.select("a", F.explode("others").alias("b")).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    last = stage(last, "near-last")
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = connected_components(stars.unionByName(stage(confirmed(last, sets, threshold), "near-late")), "near-cc3")
+
     member = classes.where("rows > 1").select("left", "right", F.col("id").alias("class"))
     out = sketch.drop("sign").join(member, ["left", "right"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("class", "doc_id")).otherwise(F.col("doc_id"))
