@@ -264,9 +264,10 @@ def _tier2() -> dict[str, Query]:
 
 
 def item_occupation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D13 on ``imp_lineitem``: one column per occupation found in the history."""
+    """D13 on ``imp_lineitem``: one column per occupation of the customers."""
     hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
-    out = P.occupation_ratio(hist, tgt)
+    values = P.distinct_values(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_mktsegment")
+    out = P.occupation_ratio(hist, tgt, values)
     return H.keep(out, ["instance_id", "item_id", *[c for c in out.columns if c.startswith("item_occ_")]])
 
 

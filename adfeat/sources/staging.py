@@ -36,8 +36,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     owned = _scope.get()
     if owned is not None:
         owned.append(path)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known, so no job reads the footers for it
 
 
 @contextmanager
