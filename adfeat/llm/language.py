@@ -25,8 +25,8 @@ from adfeat.llm.common import bounded_sample, chunks, use_session, utf8
 #: Bytes of a window, units of a direction's state, and windows that run side by side.
 WINDOW, HIDDEN, LANES = 64, 8, 4096
 
-#: The bounded training sample: rows, windows of a row, passes over them, windows of a step.
-SAMPLE_ROWS, ROW_WINDOWS, EPOCHS, BATCH = 3000, 4, 4, 256
+#: The bounded training sample: rows, windows of a row; steps of the training, windows of a step.
+SAMPLE_ROWS, ROW_WINDOWS, STEPS, BATCH = 3000, 4, 190, 256
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}").search
@@ -157,7 +157,7 @@ class LanguageModel:
 
 
 def train(windows: list[bytes], labels: list[str], seed: int = 7) -> LanguageModel:
-    """Fit by Adam on windows of at most WINDOW bytes; every language weighs the same."""
+    """Fit by Adam, always STEPS steps, on windows of at most WINDOW bytes; every language weighs the same."""
     names = sorted(set(labels))
     y = np.array([names.index(x) for x in labels])
     size = np.array([len(w) for w in windows])
@@ -167,10 +167,12 @@ def train(windows: list[bytes], labels: list[str], seed: int = 7) -> LanguageMod
     p = _start(len(names), seed)
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     rng, step = np.random.default_rng(seed), 0
-    for _ in range(EPOCHS):
+    while step < STEPS:
         order = rng.permutation(len(windows))
         for i in range(0, len(order), BATCH):
             own, step = order[i : i + BATCH], step + 1
+            if step > STEPS:
+                break
             g = _gradients(p, data[:, own], mask[:, own], y[own], weight[own])
             for k, x in g.items():
                 m[k] += 0.1 * (x - m[k])
