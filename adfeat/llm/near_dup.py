@@ -12,6 +12,10 @@ are confirmed on the full sets, first the best one of each class, then every oth
 ends are not connected yet.  Last, the orders are read once more for the classes that are
 still apart: every similar pair of a block whose ends lie in different components is
 confirmed, so a class whose one link hides among many almost-links of a large group is found.
+
+A region that is larger than a block's overlap may have pairs that meet in no block.  Its
+classes are joined once more by an exact route: two sets that are linked share one of their
+rarest shingles (a prefix filter), whatever their places in the orders.
 """
 
 from __future__ import annotations
@@ -36,6 +40,12 @@ N_VALUES, TREE_BITS = TREES * DEPTH, 31
 #: Rows of an order that are compared with each other, and of a region whose similar pairs are all kept.
 BLOCK, SMALL_REGION = 512, 16
 
+#: Rows of a region up to which some block holds it whole: blocks begin at each multiple of it.
+WHOLE_REGION = BLOCK // 2
+
+#: Sets of a shingle's short prefixes that one task compares with the long ones.
+POSTINGS = 1000
+
 #: Share of equal signature values below which a pair is not confirmed: 5 deviations under 0.75;
 #: 1.8 in the last reading, which has every pair of a block.
 LEAST_ESTIMATE, LAST_ESTIMATE = 0.55, 0.68
@@ -100,13 +110,13 @@ def _matrix(signs: pa.Array) -> np.ndarray:
 
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the orders: (tree, key, id, small): key sorts as the tree's values do, small has a byte of every value."""
+    """Rows of the orders: (tree, key, id, small, n): key sorts as the tree's values do, small has a byte of every value, n are the region's rows."""
     for b in batches:
         tree = b.column(0).to_numpy(zero_copy_only=False) & TREE_BITS
         signs = _matrix(b.column(2)).reshape(-1, TREES, DEPTH)
         keys = signs[np.arange(len(tree)), tree].astype(">u4")
         small = signs.reshape(-1, N_VALUES).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array(tree.astype(np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), b.column(1), pa.array([s.tobytes() for s in small], pa.binary())], names=["tree", "key", "id", "small"])
+        yield pa.RecordBatch.from_arrays([pa.array(tree.astype(np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), b.column(1), pa.array([s.tobytes() for s in small], pa.binary()), b.column(3)], names=["tree", "key", "id", "small", "n"])
 
 
 def neighbours(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray, component: np.ndarray | None = None, seen: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,9 +222,80 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = 75) -> DataFra
 def _sorted_orders(rows: DataFrame) -> DataFrame:
     """The orders' rows, sorted over all partitions.
 
-    The sort key ends with the id, so a large region is spread over partitions like any other.
+    A region that a block can hold is in one partition; a larger one is spread over several by
+    its whole key and id.
+    """
+    head, large = F.substring("key", 1, 4 * LEAST_DEPTH), F.col("n") > WHOLE_REGION
+    spread = [F.when(large, F.col("key")), F.when(large, F.col("id"))]
+    return rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "tree", head, *spread).sortWithinPartitions("tree", "key", "id")
+
+
+class RareFirst:
+    """An order of all shingles, rare ones first: by the count of a hash bucket, then by the hash.
+
+    The counts have a fixed size (4 MB) whatever the number of shingles.  Buckets shared by
+    chance cost time only, as any order of the shingles gives the same links.
+    """
+
+    BITS = 20
+
+    def __init__(self, sets: DataFrame):
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(1 << RareFirst.BITS, np.int64)
+            for b in batches:
+                n += np.bincount(RareFirst.bucket(np.frombuffer(utf8(b.column(0))[0].tobytes(), np.uint64)), minlength=len(n))
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["bucket", "n"])
+
+        rows = sets.select("set").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        self.counts = np.zeros(1 << RareFirst.BITS, np.int32)  # at most 1,048,576 buckets come to the driver
+        self.counts[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 2**31 - 1)
+
+    @staticmethod
+    def bucket(hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - RareFirst.BITS)).astype(np.int64)
+
+    def rarest(self, hashes: np.ndarray, most: int) -> np.ndarray:
+        return hashes[np.lexsort((hashes, self.counts[self.bucket(hashes)]))[:most]]
+
+
+def _postings(batches: Iterator[pa.RecordBatch], order: RareFirst, threshold: int) -> Iterator[pa.RecordBatch]:
+    """(shingle, id, component, n, at) of the rarest shingles of each set (id, component, set).
+
+    The first shingle in the order that linked sets share has so many after it in both of
+    them as they must share, so it is among the first n - ceil(threshold * n / 100) + 1.
+    """
+    for b in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in b.column(2)]
+        n = np.array([len(s) for s in sets], np.int64)
+        most = n + (-threshold * n) // 100 + 1
+        found = [order.rarest(s, k) for s, k in zip(sets, most, strict=True)]
+        row = np.repeat(np.arange(len(n)), [len(f) for f in found])
+        own = b.select(["id", "component"]).take(pa.array(row))
+        at = np.concatenate([np.arange(len(f)) for f in found]) if found else row
+        shingle = np.concatenate(found).view(np.int64) if found else row
+        yield pa.RecordBatch.from_arrays([pa.array(shingle, pa.int64()), *own.columns, pa.array(n[row], pa.int64()), pa.array(at, pa.int64())], names=["shingle", "id", "component", "n", "at"])
+
+
+def sharing_rare(sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a < b) of the sets (id, component, set), among them all that are linked and lie in different components.
+
+    A shingle that only one component has makes no pair.  A set is paired with those not
+    smaller that share a shingle of its shorter prefix, if enough is left after it in both.
     """
-    return rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
+    order = RareFirst(sets)
+    posts = stage(sets.select("id", "component", "set").mapInArrow(lambda it: _postings(it, order, threshold), "shingle long, id long, component long, n long, at long"), "near-postings")
+    short = (100 + threshold) * (F.col("n") - F.col("at")) >= 2 * threshold * F.col("n")
+    met = posts.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count_if(short).alias("short"))
+    met = met.where("lo <> hi and short > 0").select("shingle", F.ceil(F.col("short") / POSTINGS).cast("int").alias("parts"))
+    posts = posts.join(met, "shingle")
+    side = lambda df, c: df.select("shingle", "part", *[F.col(x).alias(f"{x}_{c}") for x in ("id", "component", "n", "at")])
+    x = side(posts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "x")
+    y = side(posts.where(short).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "y")
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    pairs = x.join(y, ["shingle", "part"]).where("component_x <> component_y and (n_y < n_x or n_y = n_x and id_y < id_x)")
+    pairs = pairs.where((100 + threshold) * left >= threshold * (F.col("n_x") + F.col("n_y")))
+    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,14 +315,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     classes = stage(sets_of.groupBy("left", "right").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), F.min("sign").alias("sign")), "near-classes")
 
     regions = classes.select("id", "sign").mapInArrow(_regions, "region long, id long")
-    shared = regions.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
+    shared = regions.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
     active = regions.join(shared, "region")
-    rows = stage(active.join(classes.select("id", "sign"), "id").select("region", "id", "sign").mapInArrow(_orders, "tree int, key binary, id long, small binary"), "near-orders")
+    rows = stage(active.join(classes.select("id", "sign"), "id").select("region", "id", "sign", "n").mapInArrow(_orders, "tree int, key binary, id long, small binary, n long"), "near-orders")
     pairs = _sorted_orders(rows).mapInArrow(_candidates, "a long, b long, equal long")
     pairs = stage(pairs.groupBy("a", "b").agg(F.max("equal").alias("equal")), "near-pairs")
 
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = IdFilter(ends)  # spares a shuffle of all texts for the few that are in a pair
+    crowded = stage(rows.where(F.col("n") > WHOLE_REGION).select("id").distinct(), "near-crowded")
+    wanted = IdFilter(ends.unionByName(crowded))  # spares a shuffle of all texts for the few that are in a pair
     texts = source.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
     sets = stage(texts.mapInArrow(lambda it: _sets(it, width, wanted), "id long, set binary"), "near-sets")
     either = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))
@@ -265,6 +347,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
     stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
     found = connected_components(stars.unionByName(stage(confirmed(last, sets, threshold), "near-late")), "near-cc3")
 
+    among = sets.join(crowded, "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    exact = sharing_rare(among, threshold).join(pairs.select("a", "b").unionByName(last.select("a", "b")), ["a", "b"], "left_anti")
+    exact = stage(exact, "near-exact")
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = connected_components(stars.unionByName(stage(confirmed(exact, sets, threshold), "near-exact-links")), "near-cc4")
+
     member = classes.where("rows > 1").select("left", "right", F.col("id").alias("class"))
     out = sketch.drop("sign").join(member, ["left", "right"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("class", "doc_id")).otherwise(F.col("doc_id"))

@@ -337,6 +337,53 @@ def test_a_hub_with_many_near_copies_is_one_component(spark):
     assert sum(got[d] != want[d] for d in want) == 0
 
 
+def almost_linked(n=2500, planted=150, words=1000, replaced=20):
+    """Texts of one template at similarity 0.68, among them pairs just over 0.75, and the component of each."""
+    rng = np.random.default_rng(8)
+    own = [dict.fromkeys(rng.choice(words, replaced, replace=False).tolist(), i) for i in range(n)]
+    lost = lambda o: {s for j in o for s in range(max(0, j - 4), min(words - 4, j + 1))}
+    size, root = words - 4, list(range(n))
+    for i in range(planted):
+        a, b = own[i], {}
+        for c in range(1, replaced):  # the other one takes over as few replacements as make a link
+            b = dict(list(a.items())[:c]) | dict(list(own[n - 1 - i].items())[c:])
+            both = {j for j in a if b.get(j) == a[j]}
+            fresh = {s for s in lost(both) if all(j in both for j in [*a, *b] if s <= j <= s + 4)}
+            shared = size - len(lost(a) | lost(b)) + len(fresh)
+            if 100 * shared >= 75 * (2 * size - shared):
+                break
+        own[n - 1 - i] = b
+        root[n - 1 - i] = i
+    kept = np.ones((n, size), np.float32)
+    for i, o in enumerate(own):
+        kept[i, list(lost(o))] = 0
+    shared = kept @ kept.T
+    linked = 100 * shared >= 75 * (2 * size - shared)
+    pairs = np.argwhere(np.triu(linked, 1))
+    assert {(int(a), int(b)) for a, b in pairs} <= {(i, n - 1 - i) for i in range(planted)}  # no link by chance
+    text = lambda o: " ".join(f"x{o[j]}y{j}" if j in o else f"w{j}" for j in range(words))
+    return [(i, text(o)) for i, o in enumerate(own)], root
+
+
+def test_single_links_in_a_large_group_of_almost_links(spark):
+    rows, want = almost_linked()
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.component_id != want[r.doc_id] for r in out) == 0
+
+
+def test_pairs_that_share_rare_shingles_hold_every_link(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        s = set(range(i % 5, i % 5 + 40)) ^ set(rng.choice(60, rng.integers(0, 20), replace=False).tolist())
+        rows.append((i, int(i % 7), s))
+    sets = spark.createDataFrame([(i, c, np.array(sorted(s), np.uint64).tobytes()) for i, c, s in rows], "id long, component long, set binary")
+    for threshold in (50, 75, 100):
+        got = {(r.a, r.b) for r in near_dup.sharing_rare(sets, threshold).collect()}
+        links = {(a, b) for a, ca, x in rows for b, cb, y in rows if a < b and ca != cb and 100 * len(x & y) >= threshold * len(x | y)}
+        assert links and links <= got
+
+
 @pytest.mark.parametrize("local", [1, 1000])
 def test_components_by_rounds_and_in_one_task(spark, local):
     from adfeat.llm.common import connected_components
