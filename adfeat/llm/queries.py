@@ -25,8 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = trusted_rows(read_table(spark, sf_dir, "labels"))
-    return quality_rules(read_table(spark, sf_dir, "documents"), trusted)
+    labels = read_table(spark, sf_dir, "labels")
+    return quality_rules(read_table(spark, sf_dir, "documents"), trusted_rows(labels), labels=labels)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,6 +101,16 @@ def test_quality_of_edge_rows(spark, edges):
     assert by_id[1].score is None and by_id[4].n_repeat_words == by_id[4].n_words
 
 
+def test_quality_threshold_separates_the_labelled_rows(spark):
+    """The query rejects nearly all labelled junk and keeps nearly all labelled good rows."""
+    from adfeat.llm.queries import op1_quality_rules
+
+    out = op1_quality_rules(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").toPandas()
+    clean = out[out.toxic == 0]
+    assert clean[clean.quality == 1].kept.mean() > 0.97
+    assert clean[clean.quality == 0].kept.mean() < 0.02
+
+
 def test_quality_has_no_python(spark, small_docs):
     plan = quality.quality_rules(small_docs, quality.trusted_rows(labels_of(spark)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
