@@ -111,6 +111,14 @@ def test_quality_threshold_separates_the_labelled_rows(spark):
     assert clean[clean.quality == 0].kept.mean() < 0.02
 
 
+def test_quality_trusts_no_toxic_rows(spark, small_docs):
+    from adfeat.llm.queries import op1_quality_rules
+
+    clean = labels_of(spark).where("quality = 1 and toxic = 0")
+    want = quality.quality_rules(small_docs, quality.trusted_rows(clean)).select("doc_id", "score")
+    assert rows_of(op1_quality_rules(spark, SF_SMALL).select("doc_id", "score")) == rows_of(want)
+
+
 def test_quality_has_no_python(spark, small_docs):
     plan = quality.quality_rules(small_docs, quality.trusted_rows(labels_of(spark)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
