@@ -13,9 +13,11 @@ from adfeat.llm.common import read_table
 from adfeat.llm.embedding_dedup import near_vectors
 from adfeat.llm.language import identify
 from adfeat.llm.line_dedup import dedup_lines
+from adfeat.llm.merkle import build_manifest, fold, leaf_digest, proof_digest, prove
 from adfeat.llm.mixing import DOMAINS, mix
 from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
+from adfeat.llm.periodic import periodic_runs, planted, run_digests
 from adfeat.llm.pii import personal_data
 from adfeat.llm.quality import quality_rules, trusted_rows
 from adfeat.llm.repeats import remove_repeats
@@ -69,8 +71,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return run_digests(periodic_runs(docs, min_length=24, min_exponent=3))
+
+
+#: What a leaf of op13 is made of, in order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    changed = leaf_digest(*(F.replace(F.col(c), F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in LEAF))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, changed).otherwise(leaf_digest(*(F.col(c) for c in LEAF)))
+    manifest = build_manifest(docs, LEAF, carry={"doc_id": F.col("doc_id"), "brought": tampered})
+    root = F.lit(manifest.root)
+    out = prove(manifest).select("doc_id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), proof_digest(F.col("proof")).alias("proof_sha256"), fold(F.col("brought"), F.col("proof")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == root)
+
+
 def registry() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id, op12_periodic_runs, op13_merkle_manifest)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -156,7 +177,67 @@ FROM (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) LEFT JOI
 """
 
 
+#: crc32 of the decimal id, bit by bit (unsigned).
+_CRC = """xor(list_reduce([4294967295::UBIGINT] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0])),
+  lambda c, v: xor(xor(c, v) >> 1, (xor(c, v) & 1) * 3988292384)), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    parts = (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END" for c, v in zip(LEAF, [*LEAF[:-1], text], strict=True))
+    return f"sha256({' || '.join(parts)})"
+
+
+#: All levels of all trees, the siblings of every leaf on every level, and the fold from the brought leaf up.
+_OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS brought, source
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS size,
+         row_number() OVER () AS id
+  FROM d
+),
+nodes(tree, lev, place, size, digest) AS (
+  SELECT tree, 0, place, size, leaf FROM leaves
+  UNION ALL
+  SELECT tree, lev + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM nodes WHERE size > 1 GROUP BY tree, lev, place // 3, size
+),
+subroots AS (SELECT tree, lev AS height, digest, count(*) OVER () AS size FROM nodes WHERE size = 1),
+tops(lev, place, size, digest) AS (
+  SELECT 0, tree, size, digest FROM subroots
+  UNION ALL
+  SELECT lev + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM tops WHERE size > 1 GROUP BY lev, place // 3, size
+),
+ups AS (SELECT unnest(range(0, 40)) AS up),
+steps AS (
+  SELECT id, up AS lev, n.place AS pos, n.digest, n.place < l.place // pow(3, up)::BIGINT AS before
+  FROM leaves l JOIN subroots s USING (tree) JOIN ups ON up < s.height
+  LEFT JOIN nodes n ON n.tree = l.tree AND n.lev = up AND n.place // 3 = l.place // pow(3, up + 1)::BIGINT AND n.place <> l.place // pow(3, up)::BIGINT
+  UNION ALL
+  SELECT id, s.height + up, n.place, n.digest, n.place < l.tree // pow(3, up)::BIGINT
+  FROM leaves l JOIN subroots s USING (tree) JOIN ups ON up < (SELECT max(lev) FROM tops)
+  LEFT JOIN tops n ON n.lev = up AND n.place // 3 = l.tree // pow(3, up + 1)::BIGINT AND n.place <> l.tree // pow(3, up)::BIGINT
+),
+paths AS (
+  SELECT id, lev, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE before), '') AS l, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE NOT before), '') AS r
+  FROM steps GROUP BY id, lev
+),
+proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY lev)) AS proof_sha256 FROM paths GROUP BY id),
+folds(id, lev, digest) AS (
+  SELECT id, 0, brought FROM leaves
+  UNION ALL
+  SELECT f.id, f.lev + 1, sha256(p.l || f.digest || p.r) FROM folds f JOIN paths p ON p.id = f.id AND p.lev = f.lev
+),
+folded AS (SELECT id, arg_max(digest, lev) AS folded_root FROM folds GROUP BY id),
+root AS (SELECT digest AS root FROM tops WHERE size = 1)
+SELECT doc_id, leaf, s.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots s USING (tree) JOIN folded USING (id) LEFT JOIN proofs USING (id), root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are tested against brute force."""
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_line_dedup": _OP2, "op6_minhash_forest": _OP6, "op7_suffix_array": _OP7, "op8_spherical_caps": _OP8} | pipeline
+    return {"op2_line_dedup": _OP2, "op6_minhash_forest": _OP6, "op7_suffix_array": _OP7, "op8_spherical_caps": _OP8, "op13_merkle_manifest": _OP13} | pipeline
