@@ -17,6 +17,7 @@ from adfeat.llm.merkle import build_manifest, fold, leaf_digest, proof_digest, p
 from adfeat.llm.mixing import DOMAINS, mix
 from adfeat.llm.near_dup import near_duplicates
 from adfeat.llm.packing import pack_documents
+from adfeat.llm.page_text import extract_main
 from adfeat.llm.periodic import periodic_runs, planted, run_digests
 from adfeat.llm.pii import personal_data
 from adfeat.llm.quality import quality_rules, trusted_rows
@@ -71,6 +72,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_main(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
     return run_digests(periodic_runs(docs, min_length=24, min_exponent=3))
@@ -91,7 +97,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id, op12_periodic_runs, op13_merkle_manifest)
+    own = (op1_quality_rules, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_skip_chain_pii, op6_minhash_forest, op7_suffix_array, op8_spherical_caps, op9_mixing, op10_language_id, op11_page_text, op12_periodic_runs, op13_merkle_manifest)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
