@@ -37,7 +37,7 @@ DEFAULT_BLOCK_SECONDS = 86400
 NO_BLOCK = -(2**62)  # block id of rows without a time (sorts before every real block)
 
 
-def _names(prefix: str) -> dict[str, str]:
+def rank_names(prefix: str) -> dict[str, str]:
     return {
         "first": f"{prefix}_first_rank",
         "if_first": f"{prefix}_if_first",
@@ -119,7 +119,7 @@ def add_time_ranks(
     column from the same aggregate and join, placed before the ranks
     (0 for a null key).
     """
-    names = _names(prefix)
+    names = rank_names(prefix)
     counts = counts or {}
     src = source if source is not None else df
     r = rank_table(src, keys, ts, block_seconds=block_seconds, counts=counts)

@@ -2,9 +2,10 @@
 
 ``frame_features(label)`` is the whole section; ``frame_subset`` runs one step.
 The frame is both the source of every aggregate and the target the results
-are attached to.  It is parsed and staged once; every aggregate and rank table
-reads the columns it needs from there, and its features meet the frame on a
-row id, so the wide rows are shuffled once however many groups are asked for.
+are attached to.  It is parsed and staged once with a row id.  All counts come
+from one melted aggregate and probe (``operators/keysets.py``), all ranks from
+one melted sort and scan (``operators/rank_scan.py``); both return to one row
+per id in one conditional aggregate, and the wide rows are shuffled once.
 
 Quirks kept under the reference's names: ``item_pro1_sum_x`` (global count of
 property 1) and ``item_pro1_sum_y`` (item × property 1) come from a pandas
@@ -15,7 +16,10 @@ rank (no aggregate was given) — ``user_item_pre_count`` beside it counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.functions import (
@@ -27,8 +31,9 @@ from adfeat.functions import (
     predicted_categories,
     property_at,
 )
-from adfeat.operators.counts import assemble, group_part, key_aggregate
-from adfeat.operators.ranks import DEFAULT_BLOCK_SECONDS, add_time_ranks, flag_one, rank_table
+from adfeat.operators.keysets import CONVERSIONS, MEASURES, N, SET, SUM, KeySet, answered, melted, of_set, rolled_up, slots_of, union_melted
+from adfeat.operators.rank_scan import FIRST, LAST, PART_ROWS, scan_ranks
+from adfeat.operators.ranks import flag_one
 from adfeat.sources.staging import stage
 
 TS = "_ts"
@@ -114,20 +119,6 @@ def prepare_frame(label: DataFrame) -> DataFrame:
     )
 
 
-# Counts that share their key with a rank table (fused into it by ``frame_features``).
-ENTITY_FUSED = {
-    "user": {"user_sum_label": "instance_id"},
-    "item": {"item_sum_label": "instance_id"},
-    "shop": {"shop_sum_label": "instance_id"},
-    "user_item": {"user_item_sum_label": "instance_id"},
-    "user_shop": {"user_shop_sum_label": "instance_id"},
-}
-PROPERTY_FUSED = {
-    "item_pro1": {"item_pro1_sum_x": "instance_id"},
-    "item_pro2": {"item_pro2_sum": "instance_id"},
-    "item_pro3": {"item_pro3_sum": "instance_id"},
-    "item_pro4": {"item_pro4_sum": "instance_id"},
-}
 
 def _output_order(label: DataFrame, columns: list[str]) -> list[str]:
     ranks = [
@@ -167,76 +158,113 @@ def stage_frame(label: DataFrame) -> DataFrame:
     return stage(base, "frame")
 
 
-def count_parts(base: DataFrame, specs) -> list[DataFrame]:
-    """Non-null instance ids per key."""
-    return [
-        group_part(base, key_aggregate(base, keys, {name: F.count(F.col("instance_id"))}), ROW, keys)
-        for keys, name in specs
-    ]
+@dataclass(frozen=True)
+class Counted:
+    """One key set of the frame and the features it gives (name → count, mean or scaled)."""
 
+    keys: KeySet
+    outputs: dict[str, str]
 
-def entity_rank_parts(
-    base: DataFrame, specs=ENTITY_RANKS, block_seconds: int = DEFAULT_BLOCK_SECONDS, fused: bool = True
-) -> list[DataFrame]:
-    """Average time ranks in shop, user, item, user×item, user×shop.
 
-    With ``fused`` the per-key counts B1-B5 come out of the same aggregate and join.
-    """
-    parts = []
-    for keys, prefix, order in specs:
-        ranked = add_time_ranks(
-            base.select(ROW, *keys, TS), keys, TS, prefix, order=order, block_seconds=block_seconds, source=base,
-            counts=ENTITY_FUSED[prefix] if fused else None,
-        )
-        parts.append(ranked.drop(*keys, TS))
-    return parts
+def _text(c: str) -> str:
+    """Properties and the category share a slot, the other keys have their own."""
+    return "text" if c.startswith("item_pro") or c == "item_category" else c
 
 
-def category_part(base: DataFrame) -> DataFrame:
-    """Rows per category, min-max scaled over categories (null for one category).
+def _counted(keys: list[str], **outputs: str) -> Counted:
+    return Counted({_text(k): k for k in keys}, outputs)
 
-    The range is two scalar subqueries over the same aggregate, planned with the join.
-    """
-    per_cat = key_aggregate(base, ["item_category"], {"n": F.count(F.col("instance_id"))})
-    lo, hi = per_cat.agg(F.min("n")).scalar(), per_cat.agg(F.max("n")).scalar()
-    table = per_cat.select("item_category", min_max_scaled("n", lo, hi).alias("item_category_sum"))
-    return group_part(base, table, ROW, ["item_category"])
 
+COUNTS = [_counted(keys, **{name: "count"}) for keys, name in FRAME_COUNTS]
+CATEGORY = [_counted(["item_category"], item_category_sum="scaled")]
+PROPERTIES = [_counted(keys, **{name: "count"}) for keys, name in PROPERTY_COUNTS]
+CROSSES = [_counted(keys, **{name: "count"}) for keys, name in PROPERTY_CROSSES]
+PREDICTED = [_counted(keys, **cols) for keys, cols in PREDICT_RANK_COUNTS]
+
+
+@dataclass(frozen=True)
+class Ranked:
+    """One key set whose rows are ranked in time; ``order`` is that of the output columns."""
+
+    keys: KeySet
+    prefix: str
+    order: tuple[str, ...]
 
-def property_rank_part(base: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """Time ranks within each of properties 1-7 and rows per property 1-4.
+    def columns(self) -> list[Column]:
+        out = []
+        for d in self.order:
+            rank = F.col(f"_{d}_{self.prefix}")
+            out += [rank.alias(f"{self.prefix}_{d}_rank"), flag_one(rank).alias(f"{self.prefix}_if_{d}")]
+        return out
 
-    The seven properties are melted to (row, index, value, time), so one aggregate, one block
-    window and one join serve all of them; the ranks return to one row per row id by a
-    conditional aggregate.
+
+ENTITIES = [Ranked({_text(k): k for k in keys}, prefix, order) for keys, prefix, order in ENTITY_RANKS]
+PROPERTY_RANKS = [Ranked({"text": f"item_pro{i}"}, f"item_pro{i}", order) for i, order in PROPERTY_RANK_ORDER.items()]
+
+def _measures() -> list[Column]:
+    """Of a frame row: its instance id counts if it is not null, and has a mean."""
+    instance = F.col("instance_id")
+    return [instance.isNotNull().cast("long").alias(N), F.lit(0).cast("long").alias(CONVERSIONS), instance.cast("double").alias(SUM)]
+
+
+def count_answers(sources: list[tuple[DataFrame, list[Counted]]], n_rows: int) -> tuple[DataFrame, list[Column]]:
+    """(melted answers, output aggregates) of key sets, each list over its own copy of the frame.
+
+    The frame asks for the keys of its own rows, so one melting is source and probe.
     """
-    values = F.posexplode(F.array(*[F.col(f"item_pro{i}") for i in range(1, N_PROPS + 1)])).alias("_i", "_value")
-    melted = base.select(ROW, "instance_id", TS, values).where(F.col("_value").isNotNull())
-    table = rank_table(melted, ["_i", "_value"], TS, block_seconds=block_seconds, counts={"_rows": "instance_id"})
-    table = table.select(F.col("_i").alias("_ti"), F.col("_value").alias("_tv"), F.col(TS).alias("_tts"), "_first", "_last", "_rows")
-    cond = [F.col("_i") == F.col("_ti"), F.col("_value") == F.col("_tv"), F.col(TS).eqNullSafe(F.col("_tts"))]
-    of = lambda i, c: F.max(F.when(F.col("_i") == i - 1, F.col(c)))
-    aggs = [of(i, c).alias(f"{c}{i}") for i in range(1, N_PROPS + 1) for c in ("_first", "_last")]
-    aggs += [of(i, "_rows").alias(name) for i, (_, name) in enumerate(PROPERTY_COUNTS, start=1)]
-    wide = melted.join(table, cond).groupBy(ROW).agg(*aggs)
-    cols = [F.col(name) for _, name in PROPERTY_COUNTS]
-    for i, order in PROPERTY_RANK_ORDER.items():
-        for d in order:
-            rank = F.col(f"_{d}{i}")
-            cols += [rank.alias(f"item_pro{i}_{d}_rank"), flag_one(rank).alias(f"item_pro{i}_if_{d}")]
-    return wide.select(ROW, *cols)
-
-
-def predict_rank_parts(base: DataFrame, specs=PREDICT_RANK_COUNTS) -> list[DataFrame]:
-    """Rows per entity × predicted-category rank."""
-    parts = []
-    for keys, cols in specs:
-        aggs = {
-            name: F.avg(F.col("instance_id")) if kind == "mean" else F.count(F.col("instance_id"))
-            for name, kind in cols.items()
-        }
-        parts.append(group_part(base, key_aggregate(base, keys, aggs), ROW, keys))
-    return parts
+    every = [c for _, counted in sources for c in counted]
+    slots = {s: t for frame, counted in sources for s, t in slots_of(frame, [c.keys for c in counted]).items()}
+    asked, first = [], 0
+    for frame, counted in sources:
+        asked.append(melted(frame, [c.keys for c in counted], slots, [ROW, *_measures()], first))
+        first += len(counted)
+    rows = union_melted(asked)
+    table = stage(rolled_up(rows, rows.drop(*MEASURES), slots), "frame-sums")
+    outputs = []
+    for i, c in enumerate(every):
+        for name, kind in c.outputs.items():
+            value = F.col(N)
+            if kind == "mean":
+                value = F.try_divide(F.col(SUM), F.col(N))
+            elif kind == "scaled":  # over all categories; null if there is one count only
+                own = table.where(F.col(SET) == i)
+                value = min_max_scaled(N, own.agg(F.min(N)).scalar(), own.agg(F.max(N)).scalar())
+            outputs.append(of_set(i, value).alias(name))
+    return answered(rows.drop(*MEASURES), table, slots, n_rows, ROW), outputs
+
+
+#: Rank sets are numbered from here, after all key sets.
+RANKS_FROM = 100
+
+
+def rank_answers(base: DataFrame, ranked: list[Ranked], n_rows: int, part_rows: int) -> tuple[DataFrame, list[Column]]:
+    """(melted ranks, output aggregates): all key sets in one sort."""
+    slots = slots_of(base, [r.keys for r in ranked])
+    rows = melted(base.where(F.col(TS).isNotNull()), [r.keys for r in ranked], slots, [ROW, TS], RANKS_FROM)
+    by = [c for c in rows.columns if c not in (ROW, TS)]
+    found = scan_ranks(rows, by, TS, "frame-ranks", part_rows, n_rows * len(ranked)).select(ROW, SET, FIRST, LAST)
+    return found, [of_set(i, c).alias(f"{c}_{r.prefix}") for i, r in enumerate(ranked, start=RANKS_FROM) for c in (FIRST, LAST)]
+
+
+def with_features(
+    rows: DataFrame, sources: list[tuple[DataFrame, list[Counted]]], ranked: list[Ranked], part_rows: int = PART_ROWS
+) -> DataFrame:
+    """``rows`` with the features of the key sets and rank sets, by one melted table.
+
+    Counts are 0 and ranks null where a row has no key; every key set is counted over the
+    frame given with it, the ranks over ``rows``.
+    """
+    n_rows, parts = rows.count(), []
+    if sources:
+        parts.append(count_answers(sources, n_rows))
+    if ranked:
+        parts.append(rank_answers(rows, ranked, n_rows, part_rows))
+    answers = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [found for found, _ in parts])
+    wide = answers.groupBy(ROW).agg(*[c for _, own in parts for c in own])
+    out = rows.join(wide, ROW, "left")
+    names = [name for _, counted in sources for c in counted for name in c.outputs]
+    filled = [F.col(c) if c in KEEP_NULL else F.coalesce(F.col(c), F.lit(0)).alias(c) for c in names]
+    return out.select(*rows.columns, *filled, *[c for r in ranked for c in r.columns()])
 
 
 RANK_COLUMNS = tuple(
@@ -253,47 +281,40 @@ def filled_keys(base: DataFrame) -> DataFrame:
     return base.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast(base.schema[c].dataType) for c in ids})
 
 
-def frame_features(
-    label: DataFrame, block_seconds: int = DEFAULT_BLOCK_SECONDS, fill_inputs: bool = False
-) -> DataFrame:
+def frame_features(label: DataFrame, part_rows: int = PART_ROWS, fill_inputs: bool = False) -> DataFrame:
     """All within-frame features (70 columns + ``user_item_pre_count``).
 
-    The parsed frame is written once (``stage_frame``).  Every feature group is computed on a
-    narrow ``(row id, keys)`` projection of it, counts keyed like a rank table come out of
-    that table's aggregate, and the parts meet the frame on the row id, for which the wide
-    rows are shuffled once.  Column order follows the reference.
+    The parsed frame is written once (``stage_frame``).  Column order follows the reference.
 
     ``fill_inputs`` follows the reference's fill of the whole frame after the first five
     counts: from there on rows with a null id form the group of key 0, and are returned so.
     """
     base = stage_frame(label)
     rows = filled_keys(base) if fill_inputs else base
-    parts = count_parts(base, FRAME_COUNTS) if fill_inputs else []
-    parts += entity_rank_parts(rows, block_seconds=block_seconds, fused=not fill_inputs)
-    parts += [category_part(rows), *count_parts(rows, PROPERTY_CROSSES), property_rank_part(rows, block_seconds)]
-    parts += predict_rank_parts(rows)
-    out = assemble(rows, parts, ROW, keep_null=KEEP_NULL)
+    others = CATEGORY + PROPERTIES + CROSSES + PREDICTED
+    out = with_features(rows, [(base, COUNTS), (rows, others)], ENTITIES + PROPERTY_RANKS, part_rows)
     # parsed temporaries (DROPPED, _ts, _row) fall away here
     return out.select(*_output_order(label, out.columns))
 
 
-FRAME_STEPS = {
-    "counts": lambda base, seconds: count_parts(base, FRAME_COUNTS),
-    "entity_ranks": lambda base, seconds: entity_rank_parts(base, block_seconds=seconds),
-    "category_popularity": lambda base, seconds: [category_part(base)],
-    "property_counts": lambda base, seconds: count_parts(base, PROPERTY_COUNTS),
-    "property_crosses": lambda base, seconds: count_parts(base, PROPERTY_CROSSES),
-    "property_ranks": lambda base, seconds: [property_rank_part(base, seconds)],
-    "predict_rank_counts": lambda base, seconds: predict_rank_parts(base),
+FRAME_STEPS: dict[str, tuple[list[Counted], list[Ranked]]] = {
+    "counts": (COUNTS, []),
+    "entity_ranks": ([], ENTITIES),
+    "category_popularity": (CATEGORY, []),
+    "property_counts": (PROPERTIES, []),
+    "property_crosses": (CROSSES, []),
+    "property_ranks": ([], PROPERTY_RANKS),
+    "predict_rank_counts": (PREDICTED, []),
 }
 
 
-def frame_subset(label: DataFrame, step: str, block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+def frame_subset(label: DataFrame, step: str, part_rows: int = PART_ROWS) -> DataFrame:
     """One step of the section on the parsed frame (keeps the parsed columns)."""
     if step == "parsed":
         return prepare_frame(label)
     base = stage_frame(label)
-    return assemble(base, FRAME_STEPS[step](base, block_seconds), ROW, keep_null=KEEP_NULL)
+    counted, ranked = FRAME_STEPS[step]
+    return with_features(base, [(base, counted)] if counted else [], ranked, part_rows)
 
 
 __all__ = ["frame_features", "frame_subset", "prepare_frame", "stage_frame"]

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.functions import category_key, hour_of
-from adfeat.operators.counts import LABEL, add_counts, assemble, attach, fill_frame, group_part, key_aggregate
+from adfeat.operators.counts import LABEL, add_counts, attach, fill_frame, key_aggregate
+from adfeat.operators.keysets import CONVERSIONS, MEASURES, N, SUM, answered, melted, of_set, rolled_up, slots_of
 from adfeat.sources.staging import stage
 
 CAT_KEY = "_cat_key"
@@ -89,33 +90,40 @@ def prepare_target(target: DataFrame, need_key: bool = True) -> DataFrame:
 CELL_KEYS = ["user_id", "item_id", "shop_id", CAT_KEY, HOUR]
 
 
+def measured(hist: DataFrame) -> DataFrame:
+    """Prepared history rows with their measures: labelled or not, conversion or not, label."""
+    label = F.col(LABEL)
+    return prepare_history(hist).select(
+        *CELL_KEYS,
+        F.when(label.isNotNull(), 1).otherwise(0).cast("long").alias(N),
+        F.when(label == 1, 1).otherwise(0).cast("long").alias(CONVERSIONS),
+        label.cast("long").alias(SUM),
+    )
+
+
 class Cells:
     """The history aggregated once to its finest key (user, item, shop, category, hour).
 
     Every key group of the section is a roll-up of these cells: impressions and
-    conversions add up, and the mean label is Σ label / Σ impressions.  The
-    history is scanned and parsed once (one partial-aggregated shuffle) and the
-    cells are staged as parquet in the checkpoint folder, so the eleven
-    roll-ups read a compact integer table instead of re-parsing the raw log.
-    Null keys stay in the cells as their own value and are dropped per roll-up.
+    conversions add up, and the mean label is Σ label / Σ impressions.  Null keys stay in
+    the cells as their own value and are dropped per roll-up.  Cells are sums, so cells of
+    several parts of a log together are cells of the whole (``plans/daily.py`` keeps them by day).
     """
 
-    def __init__(self, hist: DataFrame) -> None:
-        cells = prepare_history(hist).groupBy(*CELL_KEYS).agg(
-            F.count(F.col(LABEL)).alias("_n"),
-            F.count_if(F.col(LABEL) == 1).alias("_c"),
-            F.sum(F.col(LABEL)).alias("_s"),
-        )
-        self.df = stage(cells, "history-cells")
+    def __init__(self, hist: DataFrame | None = None, cells: DataFrame | None = None) -> None:
+        """Cells of a log, staged; or ``cells`` (keys and measures) that are there already."""
+        if cells is None:
+            cells = stage(measured(hist).groupBy(*CELL_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES]), "history-cells")
+        self.df = cells
 
     def table(self, group: Group) -> DataFrame:
         aggs = {}
         if group.n:
-            aggs[group.n] = F.sum("_n")
+            aggs[group.n] = F.sum(N)
         if group.mean:
-            aggs[group.mean] = F.try_divide(F.sum("_s"), F.sum("_n"))
+            aggs[group.mean] = F.try_divide(F.sum(SUM), F.sum(N))
         if group.conv:
-            aggs[group.conv] = F.sum("_c")
+            aggs[group.conv] = F.sum(CONVERSIONS)
         return key_aggregate(self.df, list(group.keys), aggs)
 
 
@@ -125,42 +133,49 @@ def add_group(target: DataFrame, hist: DataFrame | Cells, group: Group) -> DataF
     return add_counts(target, hist, list(group.keys), n=group.n, conv=group.conv, mean=group.mean)
 
 
-COMBO = "_combo"
+ROW = "_row"
 
 
-def attach_groups(target: DataFrame, cells: Cells, groups: list[Group]) -> DataFrame:
-    """Attach groups to the target through its distinct key combinations.
+def attach_groups(target: DataFrame, source: DataFrame, groups: list[Group]) -> DataFrame:
+    """Attach groups of ``source`` (keys and measures) to the target: see ``operators/keysets.py``.
 
-    The combinations are staged with an id.  Each group joins the narrow ``(id, its keys)``
-    rows that have all keys, the parts meet on the id (co-partitioned), and the wide target
-    rows move once, in a null-safe join on the five keys: a null key is a combination like
-    any other, and gets 0 from the groups it is a key of.
+    The target is staged with a row id.  Its melted keys take part in the aggregate of the
+    melted source, are answered by one join, return to one row per id by a conditional
+    aggregate, and meet the wide rows on the id: five exchanges, however many groups.
     """
-    combos = target.select(*CELL_KEYS).distinct().withColumn(COMBO, F.monotonically_increasing_id())
-    combos = stage(combos, "target-keys")
-    feats = assemble(combos, [group_part(combos, cells.table(g), COMBO, list(g.keys)) for g in groups], COMBO)
-    added = [c for g in groups for c in g.outputs()]
-    renamed = feats.select(*[F.col(k).alias(f"_k_{k}") for k in CELL_KEYS], *added)
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in CELL_KEYS]
-    return target.join(renamed, cond, "left").select(*target.columns, *added)
-
-
-def _section(hist: DataFrame, target: DataFrame, groups: list[Group], fill_inputs: bool) -> DataFrame:
-    cells = Cells(hist)
+    rows = stage(target.withColumn(ROW, F.monotonically_increasing_id()), "target")
+    sets = [{k: k for k in g.keys} for g in groups]
+    slots = slots_of(source, sets)
+    asked = melted(rows, sets, slots, [ROW])
+    table = stage(rolled_up(melted(source, sets, slots, list(MEASURES)), asked, slots), "history-sums")
+    values = {N: N, CONVERSIONS: CONVERSIONS, SUM: F.try_divide(F.col(SUM), F.col(N))}
+    outputs = [(i, name, values[m]) for i, g in enumerate(groups) for name, m in ((g.n, N), (g.mean, SUM), (g.conv, CONVERSIONS)) if name]
+    wide = answered(asked, table, slots, rows.count(), ROW).groupBy(ROW).agg(*[of_set(i, v).alias(name) for i, name, v in outputs])
+    filled = [F.coalesce(F.col(name), F.lit(0)).alias(name) for _, name, _ in outputs]
+    return rows.join(wide, ROW, "left").select(*target.columns, *filled)
+
+
+def _section(source: DataFrame, target: DataFrame, groups: list[Group], fill_inputs: bool) -> DataFrame:
     t = prepare_target(target).drop("item_category_list")
     if fill_inputs:
-        t = fill_frame(attach_groups(t, cells, groups[:1]))
+        t = fill_frame(attach_groups(t, source, groups[:1]))
         groups = groups[1:]
-    return attach_groups(t, cells, groups).drop(CAT_KEY)
+    return attach_groups(t, source, groups).drop(CAT_KEY)
+
 
+def _source(hist: DataFrame | Cells) -> DataFrame:
+    return hist.df if isinstance(hist, Cells) else measured(hist)
 
-def history_features(hist: DataFrame, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
+
+def history_features(hist: DataFrame | Cells, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
     """The 22 history count features attached to every target row.
 
+    ``hist`` is the log, or cells of it that are there already.
+
     ``fill_inputs`` fills the whole target with 0 after the first group, as the reference
     does, so that a null key is the key 0 for the later groups.
     """
-    return _section(hist, target, list(SECTION.values()), fill_inputs)
+    return _section(_source(hist), target, list(SECTION.values()), fill_inputs)
 
 
 def section_group(hist: DataFrame, target: DataFrame, name: str) -> DataFrame:
@@ -240,12 +255,12 @@ MODULAR = [
 ]
 
 
-def modular_features(hist: DataFrame, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
+def modular_features(hist: DataFrame | Cells, target: DataFrame, fill_inputs: bool = False) -> DataFrame:
     """All ten modular methods in order (20 columns), sharing one history source.
 
     The columns are the target's without ``item_category_list``, ``hour``, then the features.
     """
-    return _section(hist, target, MODULAR, fill_inputs)
+    return _section(_source(hist), target, MODULAR, fill_inputs)
 
 
 def keep(df: DataFrame, cols: list[str]) -> DataFrame:

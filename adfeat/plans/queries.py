@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from adfeat.functions import category_key, digamma_diff, parse_time
 from adfeat.operators import profiles as P
 from adfeat.operators.counts import key_counts
-from adfeat.operators.ranks import add_time_ranks
+from adfeat.operators.rank_scan import add_scanned_ranks
 from adfeat.plans import frame as FR
 from adfeat.plans import history as H
 from adfeat.plans import smoothing as SM
@@ -131,14 +131,13 @@ ENTITY_RANK_QUERIES = {
 def _entity_rank_query(keys: list[str], prefix: str) -> Query:
     """Ranks on ``imp_lineitem``, where every time is midnight and ties abound.
 
-    The five-table join is run once, to a staged narrow log that feeds both the rank table and
-    the rows it is joined to.
+    The five-table join is run once, to a staged narrow log, which is sorted and scanned.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         log = imp_lineitem(spark, sf_dir).select("instance_id", "user_id", "item_id", "shop_id", "context_timestamp")
         base = stage(log.withColumn(FR.TS, parse_time("context_timestamp")), f"{prefix}-log")
-        out = add_time_ranks(base, keys, FR.TS, prefix, order=("last", "first"))
+        out = add_scanned_ranks(base, keys, FR.TS, prefix, order=("last", "first"))
         cols = [f"{prefix}_{d}" for d in ("last_rank", "if_last", "first_rank", "if_first")]
         return H.keep(out, ["instance_id", "user_id", "item_id", "shop_id", "context_timestamp"] + cols)
 

@@ -30,6 +30,19 @@ def tune_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_import(spark: SparkSession) -> SparkSession:
+    """Python workers started from now on find this package, also where it is not installed.
+
+    A cluster ships the package with ``--py-files`` as usual; this serves local sessions that
+    were started from another folder.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    return spark
+
+
 def get_spark(
     master: str | None = None,
     app_name: str = "adfeat",
