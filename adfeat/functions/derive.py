@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: One or two digits in every field but the year, as the reference's parser takes them.
+TS_FORMAT = "yyyy-M-d H:m:s"
 
 
 def _col(c: str | Column) -> Column:
@@ -39,12 +40,12 @@ def index_or_minus1(value: str | Column, arr: str | Column) -> Column:
 
 
 def parse_time(c: str | Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text → timestamp (session time zone, UTC here)."""
+    """``yyyy-MM-dd HH:mm:ss`` text, also ``yyyy-M-d H:m:s`` → timestamp (session time zone, UTC here)."""
     return F.to_timestamp(_col(c), TS_FORMAT)
 
 
 def hour_of(c: str | Column) -> Column:
-    """S3: hour 0-23 of a ``yyyy-MM-dd HH:mm:ss`` string."""
+    """S3: hour 0-23 of a time as ``parse_time`` takes it."""
     return F.hour(parse_time(c))
 
 

@@ -163,6 +163,44 @@ def occupation_ratio(
     return attach(base, key_aggregate(hist, ["item_id"], aggs), ["item_id"], None)
 
 
+def value_map(hist: DataFrame, key: str, value: str, name: str, entry: Column, extra: dict[str, Column] | None = None) -> DataFrame:
+    """``(key, name: map of value → entry)``: a pivot of any number of values in one column.
+
+    ``entry`` is an expression over ``_imps`` (labelled rows), ``_conv`` (conversions) of a key
+    and value; values whose entry is null are left out, and a key without entries has no row.
+    Rows are reduced to one per key and value before a key's values are gathered, so a group
+    holds as many entries as there are values, however many rows a key has.  ``extra`` adds
+    map columns of other entries over the same values.
+    """
+    cells = key_aggregate(hist, [key, value], {"_imps": impressions(), "_conv": conversions()})
+    columns = {name: entry, **(extra or {})}
+    cells = cells.select(key, value, *[e.alias(n) for n, e in columns.items()]).where(F.coalesce(*columns).isNotNull())
+    gathered = [
+        F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col(n).isNotNull(), F.struct(F.col(value).cast("string"), F.col(n)))))).alias(n)
+        for n in columns
+    ]
+    return cells.groupBy(key).agg(*gathered)
+
+
+def occupation_ratio_map(hist: DataFrame, base: DataFrame, col: str = "user_occupation_id") -> DataFrame:
+    """D13 for any number of occupations: ``item_occ_ratio``, a map of occupation → conversions / impressions.
+
+    Occupations without a conversion are not in the map (null in the wide form); items without
+    an entry get null.
+    """
+    ratio = F.try_divide(F.nullif(F.col("_conv"), F.lit(0)).cast("double"), F.col("_imps"))
+    return attach(base, value_map(hist, "item_id", col, "item_occ_ratio", ratio), ["item_id"], None)
+
+
+def gender_mix_map(hist: DataFrame, base: DataFrame, col: str = "user_gender_id") -> DataFrame:
+    """D14 for any number of genders: maps of gender → labelled rows, and → share of all items' labelled rows."""
+    n = F.nullif(F.col("_imps"), F.lit(0))
+    total = key_aggregate(hist, ["item_id", col], {"t": impressions()}).agg(F.sum("t")).scalar()
+    share = F.try_divide(n.cast("double"), total)
+    table = value_map(hist, "item_id", col, "gender_counts", n, {"gender_ratios": share})
+    return attach(base, table, ["item_id"], None)
+
+
 def gender_mix(hist: DataFrame, base: DataFrame, genders: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
     """Labelled rows per item and gender, and each over the grand total of all items.
 

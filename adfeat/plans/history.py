@@ -66,9 +66,10 @@ SECTION: dict[str, Group] = {
 USER_SHOP_HOUR_COUNTS = _g(["user_id", "shop_id", HOUR], "user_shop_hour_sum", "user_shop_hour_count")
 
 
-def prepare_history(hist: DataFrame) -> DataFrame:
+def prepare_history(hist: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Derive the category key and the hour once; Catalyst prunes unused ones."""
     return hist.select(
+        *(carry or []),
         "user_id",
         "item_id",
         "shop_id",
@@ -90,10 +91,11 @@ def prepare_target(target: DataFrame, need_key: bool = True) -> DataFrame:
 CELL_KEYS = ["user_id", "item_id", "shop_id", CAT_KEY, HOUR]
 
 
-def measured(hist: DataFrame) -> DataFrame:
+def measured(hist: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Prepared history rows with their measures: labelled or not, conversion or not, label."""
     label = F.col(LABEL)
-    return prepare_history(hist).select(
+    return prepare_history(hist, carry).select(
+        *(carry or []),
         *CELL_KEYS,
         F.when(label.isNotNull(), 1).otherwise(0).cast("long").alias(N),
         F.when(label == 1, 1).otherwise(0).cast("long").alias(CONVERSIONS),

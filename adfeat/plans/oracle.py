@@ -52,6 +52,14 @@ def oracle_sql() -> dict[str, str]:
     out["frame_features"] = OF.frame_features_sql()
     out["filled_frame"] = OF.filled_frame_sql()
     out["csv_user_item_counts"] = OH.group_sql("user_item", EVENT_BASE)
+    out["csv_log_features"] = OH.group_sql("user_item", EVENT_BASE).replace("FROM events) e", "FROM events WHERE event_id % 13 <> 0) e")
+    out["csv_quarantine"] = (
+        "SELECT CASE WHEN event_id % 39 = 26 THEN 'time' ELSE 'malformed' END AS reason, count(*) AS n_lines "
+        "FROM events WHERE event_id % 13 = 0 GROUP BY ALL"
+    )
+    one_digit = "strftime(CAST(tx.context_timestamp AS TIMESTAMP), '%Y-%-m-%-d %-H:%-M:%-S') AS context_timestamp"
+    out["one_digit_times"] = OH.group_sql("user_hour", [*EVENT_BASE, "hour"]).replace("tx.context_timestamp", one_digit)
+    out["daily_history_features"] = out["streaming_history_features"] = out["history_features"]
     out["shop_digamma"] = OS.shop_digamma_sql()
     out["beta_prior"] = OS.beta_prior_sql()
     out["shop_smoothed_rate"] = OS.key_smoothed_sql("shop_id", "shop")
@@ -69,6 +77,8 @@ def oracle_sql() -> dict[str, str]:
     out["brand_ratio"] = OP.attribute_ratio_sql("item_brand_id")
     out["city_ratio"] = OP.attribute_ratio_sql("item_city_id")
     out["item_occupation_ratio"] = OP.occupation_ratio_sql()
+    out["item_occupation_map"] = OP.occupation_map_sql()
+    out["item_gender_map"] = OP.gender_map_sql()
     out["item_gender_mix"] = OP.gender_mix_sql()
     out["shop_user_trade"] = OP.shop_user_trade_sql()
     out["hour_ratio"] = OP.hour_ratio_sql()

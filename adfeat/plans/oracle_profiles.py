@@ -127,6 +127,32 @@ def occupation_ratio_sql() -> str:
     return Keyed().add(["item_id"], aggs, None).sql(["instance_id", "item_id"])
 
 
+def _map_sql(value: str, entries: dict[str, str]) -> str:
+    """Text of ``key=millionths`` pairs per item, by key; null entries are left out."""
+    pairs = ", ".join(
+        f"string_agg(v || '=' || CAST(CAST(round(({e}) * 1e6) AS BIGINT) AS VARCHAR), ';' ORDER BY v) AS {name}" for name, e in entries.items()
+    )
+    return (
+        with_views("imp_lineitem")
+        + f""",
+cells AS (SELECT item_id, CAST({value} AS VARCHAR) AS v, count(is_trade) AS n, count(*) FILTER (WHERE is_trade = 1) AS c
+  FROM hist WHERE item_id IS NOT NULL AND {value} IS NOT NULL GROUP BY ALL),
+maps AS (SELECT item_id, {pairs} FROM cells GROUP BY item_id)
+SELECT tgt.instance_id, tgt.item_id, {', '.join(entries)} FROM tgt LEFT JOIN maps USING (item_id)"""
+    )
+
+
+def occupation_map_sql() -> str:
+    return _map_sql("user_occupation_id", {"item_occ_ratio": "CASE WHEN c > 0 THEN c / CAST(n AS DOUBLE) END"})
+
+
+def gender_map_sql() -> str:
+    return _map_sql(
+        "user_age_level",
+        {"gender_counts": "CASE WHEN n > 0 THEN n END", "gender_ratios": "CASE WHEN n > 0 THEN n / (SELECT CAST(sum(n) AS DOUBLE) FROM cells) END"},
+    )
+
+
 def gender_mix_sql() -> str:
     total = "(SELECT CAST(count(is_trade) AS DOUBLE) FROM hist WHERE item_id IS NOT NULL AND user_gender_id IN (0, 1, 2))"
     aggs = [(f"gender_{g}", f"CASE WHEN count(is_trade) FILTER (WHERE user_gender_id = {g}) = 0 THEN NULL "

@@ -10,24 +10,39 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.functions import category_key, digamma_diff, parse_time
 from adfeat.operators import profiles as P
 from adfeat.operators.counts import key_counts
+from adfeat.operators.keysets import MEASURES
 from adfeat.operators.rank_scan import add_scanned_ranks
 from adfeat.plans import frame as FR
+from adfeat.plans.daily import add_days, cells_of
 from adfeat.plans import history as H
 from adfeat.plans import smoothing as SM
 from adfeat.session import ensure_checkpoint_dir, tune_session
+from adfeat.sources.ingest import ingest_csv, read_log
 from adfeat.sources.schema import read_impressions
 from adfeat.sources.staging import stage
 from adfeat.sources.views import EVENTS_CUT, history_and_target, imp_events, imp_lineitem, split_by_time
-from adfeat.streaming import impression_stream, latest_counts, streaming_key_counts, write_changelog
+from adfeat.streaming import (
+    compact_changelog,
+    impression_stream,
+    latest_cells,
+    latest_counts,
+    remove_folded,
+    streaming_cells,
+    streaming_key_counts,
+    write_changelog,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The last day of the history.
+LAST_DAY = "2024-01-20"
+
 EVENT_BASE = ["instance_id", "user_id", "item_id", "shop_id", "is_trade", "context_timestamp"]
 
 # query name → group of the primary section (hour-keyed groups also output ``hour``)
@@ -161,6 +176,67 @@ def csv_user_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.keep(H.section_group(hist, tgt, "user_item"), EVENT_BASE + spec.outputs())
 
 
+ONE_DIGIT = "yyyy-M-d H:m:s"
+
+
+def one_digit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 on times with fields of one digit: split, hour and user × hour counts of such a log."""
+    log = imp_events(spark, sf_dir)
+    log = log.withColumn("context_timestamp", F.date_format(parse_time("context_timestamp"), ONE_DIGIT))
+    hist, tgt = split_by_time(log, EVENTS_CUT)
+    spec = H.SECTION["user_hour"]
+    return H.keep(H.section_group(hist, tgt, "user_hour"), EVENT_BASE + [H.HOUR] + spec.outputs())
+
+
+def _csv_with_damage(spark: SparkSession, sf_dir: str) -> tuple[str, str, str, list[str]]:
+    """The event log as headerless CSV, every 13th event's line cut short or with a word for an id or the time."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stage/csv-{uuid.uuid4().hex}"
+    log = imp_events(spark, sf_dir)
+    i, whole = F.col("instance_id"), F.to_csv(F.struct(*log.columns))
+    short = F.concat_ws(",", i.cast("string"), "user_id", "item_id")
+    word = F.concat(F.lit("x"), whole)
+    late = F.to_csv(F.struct(*[F.lit("yesterday").alias(c) if c == "context_timestamp" else F.col(c) for c in log.columns]))
+    line = F.when(i % 13 != 0, whole).when(i % 39 == 0, short).when(i % 39 == 13, word).otherwise(late)
+    log.select(line.alias("value")).write.text(f"{root}/raw")
+    return f"{root}/raw", f"{root}/log", f"{root}/quarantine", log.columns
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that a damaged CSV log leaves in quarantine, by reason."""
+    raw, log, bad, columns = _csv_with_damage(spark, sf_dir)
+    ingest_csv(spark, raw, log, bad, columns)
+    return spark.read.parquet(bad).groupBy("reason").agg(F.count("*").alias("n_lines"))
+
+
+def csv_log_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User × item counts from the day-partitioned log that the sound lines of a damaged CSV make."""
+    raw, path, bad, columns = _csv_with_damage(spark, sf_dir)
+    ingest_csv(spark, raw, path, bad, columns)
+    hist, tgt = read_log(spark, path, until=EVENTS_CUT), read_log(spark, path, since=EVENTS_CUT)
+    return H.keep(H.section_group(hist, tgt, "user_item"), EVENT_BASE + H.SECTION["user_item"].outputs())
+
+
+def daily_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1-H23 from cells by day: all days but the last in one go, then the last on its own."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stage/cells-{uuid.uuid4().hex}"
+    add_days(imp_events(spark, sf_dir, until=LAST_DAY), root)
+    add_days(imp_events(spark, sf_dir, since=LAST_DAY, until=EVENTS_CUT), root)
+    return H.history_features(cells_of(spark, root, until=EVENTS_CUT), imp_events(spark, sf_dir, since=EVENTS_CUT))
+
+
+def streaming_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1-H23 from the cells that a stream of the history keeps, after folding its changelog."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adfeat-stream-{uuid.uuid4().hex}"
+    stream = split_by_time(impression_stream(spark, sf_dir), EVENTS_CUT)[0]
+    q = write_changelog(streaming_cells(stream), f"{root}/log", f"{root}/state")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    compact_changelog(spark, f"{root}/log", H.CELL_KEYS, list(MEASURES))
+    remove_folded(spark, f"{root}/log")
+    return H.history_features(latest_cells(spark, f"{root}/log"), imp_events(spark, sf_dir, since=EVENTS_CUT))
+
+
 def shop_digamma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ψ(n + 1) − ψ(1) of every shop's impressions n, as a native expression."""
     hist, _ = history_and_target(spark, sf_dir, "imp_lineitem")
@@ -248,6 +324,8 @@ def _tier2() -> dict[str, Query]:
             ["instance_id", key, f"{stem}_sum", f"{stem}_count", f"{stem}_ratio"],
         )
     q["item_occupation_ratio"] = item_occupation_ratio
+    q["item_occupation_map"] = item_occupation_map
+    q["item_gender_map"] = item_gender_map
     q["item_gender_mix"] = _lineitem_query(
         P.gender_mix,
         ["instance_id", "item_id", *[f"gender_{g}" for g in range(3)], *[f"ad_gender{g}_ratio" for g in range(3)]],
@@ -270,6 +348,26 @@ def item_occupation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.keep(out, ["instance_id", "item_id", *[c for c in out.columns if c.startswith("item_occ_")]])
 
 
+def _entries(c: str) -> Column:
+    """A map of doubles as text, by key, in millionths."""
+    pairs = F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], F.round(e["value"] * 1e6).cast("long")))
+    return F.array_join(pairs, ";")
+
+
+def item_occupation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D13 as a map, whatever the number of occupations."""
+    hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
+    out = P.occupation_ratio_map(hist, tgt)
+    return out.select("instance_id", "item_id", _entries("item_occ_ratio").alias("item_occ_ratio"))
+
+
+def item_gender_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D14 as maps, whatever the number of genders (here nations, of which there are 25)."""
+    hist, tgt = history_and_target(spark, sf_dir, "imp_lineitem")
+    out = P.gender_mix_map(hist, tgt, "user_age_level")
+    return out.select("instance_id", "item_id", _entries("gender_counts").alias("gender_counts"), _entries("gender_ratios").alias("gender_ratios"))
+
+
 def hour_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D18 on ``imp_events``: conversions per hour over the user × hour impressions."""
     hist, tgt = history_and_target(spark, sf_dir, "imp_events")
@@ -328,10 +426,15 @@ def _registry() -> dict[str, Query]:
     q["frame_features"] = frame_features
     q["filled_frame"] = filled_frame
     q["csv_user_item_counts"] = csv_user_item_counts
+    q["csv_quarantine"] = csv_quarantine
+    q["csv_log_features"] = csv_log_features
+    q["one_digit_times"] = one_digit_times
+    q["daily_history_features"] = daily_history_features
     q["shop_digamma"] = shop_digamma
     q["beta_prior"] = beta_prior
     for kind in ("shop", "item", "user"):
         q[f"{kind}_smoothed_rate"] = _smoothed_query(kind)
     q.update(_tier2())
     q["streaming_user_shop_counts"] = streaming_user_shop_counts
+    q["streaming_history_features"] = streaming_history_features
     return q

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adfeat.functions import parse_time
+
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Fixed split points of the two fixture views (target = on or after the cut).
@@ -126,11 +128,11 @@ def split_by_time(
 ) -> tuple[DataFrame, DataFrame]:
     """(history, target): rows before ``cut`` and rows on or after it.
 
-    Works on the formatted ``yyyy-MM-dd HH:mm:ss`` string, whose order is the
-    time order.  Rows with a null time fall in neither side.
+    Compares times, not their text, so fields of one digit are in order too.  Rows with a
+    null time fall in neither side.
     """
-    c = F.col(ts)
-    return df.where(c < F.lit(cut)), df.where(c >= F.lit(cut))
+    at, since = parse_time(ts), F.lit(cut).cast("timestamp")
+    return df.where(at < since), df.where(at >= since)
 
 
 VIEWS = {"imp_events": (imp_events, EVENTS_CUT), "imp_lineitem": (imp_lineitem, LINEITEM_CUT)}

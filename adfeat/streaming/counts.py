@@ -20,9 +20,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from adfeat.operators.counts import key_counts
+from adfeat.operators.keysets import MEASURES
+from adfeat.plans.history import CAT_KEY, CELL_KEYS, HOUR, Cells, measured
 from adfeat.sources.views import imp_events_from
 
 BATCH = "_batch_id"
@@ -70,6 +73,22 @@ def write_changelog(
         spark.conf.set(PROVIDER, before)
 
 
+def streaming_cells(stream: DataFrame) -> DataFrame:
+    """Running cells (user, item, shop, category, hour → measures) of an impression stream.
+
+    All eleven key groups of the history section roll up from them, so one stateful query
+    keeps every history feature current: ``history_features(latest_cells(...), target)``.
+    A null key is a value of its own in a cell.
+    """
+    return measured(stream).groupBy(*CELL_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def latest_cells(spark: SparkSession, path: str) -> Cells:
+    """The newest cells of a changelog of ``streaming_cells``."""
+    schema = T.StructType([T.StructField(k, T.StringType() if k == CAT_KEY else T.IntegerType() if k == HOUR else T.LongType()) for k in CELL_KEYS])
+    return Cells(cells=latest_counts(spark, path, CELL_KEYS, list(MEASURES), schema))
+
+
 SNAP = "_snapshot_of"
 
 
@@ -91,24 +110,27 @@ def _files(spark: SparkSession, pattern: str) -> list:
 
 def _snapshot_and_tail(spark: SparkSession, path: str) -> DataFrame:
     """Latest snapshot (if any) plus the changelog batches written after it."""
-    log = spark.read.parquet(path)
     if not _files(spark, f"{_snapshots(path)}/{SNAP}=*"):
-        return log
+        return spark.read.parquet(path)
     snaps = spark.read.parquet(_snapshots(path))
     last = snaps.agg(F.max(SNAP)).first()[0]
     snap = snaps.where(F.col(SNAP) == F.lit(last)).drop(SNAP)  # partition-pruned read
+    if not _files(spark, f"{path}/{BATCH}=*"):  # all folded and removed
+        return snap
+    log = spark.read.parquet(path)
     tail = log.where(F.col(BATCH) > F.lit(last))  # partition-pruned read
     return snap.unionByName(tail)
 
 
-def latest_counts(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
+def latest_counts(spark: SparkSession, path: str, keys: list[str], measures: list[str], key_types: T.StructType | None = None) -> DataFrame:
     """Newest total per key (totals only grow, batch ids order them).
 
-    Without a changelog (no batch has changed a total yet) there are no rows; the keys and
-    measures are bigint then, as those of the impression log are.
+    Without a changelog (no batch has changed a total yet) there are no rows; the keys are of
+    ``key_types`` then, or bigint as the ids of the impression log are, the measures bigint.
     """
-    if not _files(spark, f"{path}/{BATCH}=*"):
-        return spark.createDataFrame([], ", ".join(f"{c} bigint" for c in [*keys, *measures]))
+    if not _files(spark, f"{path}/{BATCH}=*") and not _files(spark, f"{_snapshots(path)}/{SNAP}=*"):
+        types = key_types or T.StructType([T.StructField(c, T.LongType()) for c in keys])
+        return spark.createDataFrame([], T.StructType([*types.fields, *(T.StructField(c, T.LongType()) for c in measures)]))
     return _newest(_snapshot_and_tail(spark, path), keys, measures).drop(BATCH)
 
 
@@ -132,6 +154,26 @@ def compact_changelog(spark: SparkSession, path: str, keys: list[str], measures:
     return int(last)
 
 
+def remove_folded(spark: SparkSession, path: str) -> int:
+    """Delete what the newest snapshot makes superfluous: its batches of the changelog, and older snapshots.
+
+    Returns the number of partitions deleted.  Call it after ``compact_changelog`` when no
+    reader of an older snapshot is left; the newest snapshot and later batches stay, so what
+    is kept is one row per key and the batches since.
+    """
+    number = lambda status: int(status.getPath().getName().split("=")[1])
+    snaps = {number(s): s.getPath() for s in _files(spark, f"{_snapshots(path)}/{SNAP}=*")}
+    if not snaps:
+        return 0
+    last = max(snaps)
+    gone = [p for n, p in snaps.items() if n < last]
+    gone += [s.getPath() for s in _files(spark, f"{path}/{BATCH}=*") if number(s) <= last]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in gone:
+        p.getFileSystem(conf).delete(p, True)
+    return len(gone)
+
+
 def impression_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The ``events`` table (a file or a folder of part files) as a stream shaped like ``imp_events``.
 
@@ -150,7 +192,10 @@ def impression_stream(spark: SparkSession, sf_dir: str, max_files: int | None =
 __all__ = [
     "compact_changelog",
     "impression_stream",
+    "latest_cells",
     "latest_counts",
+    "remove_folded",
+    "streaming_cells",
     "streaming_key_counts",
     "write_changelog",
 ]
