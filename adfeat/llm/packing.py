@@ -32,11 +32,18 @@ _PLAIN = re.compile("[^\t\n\r -~\xa1-\xff]")
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
+#: A run of one kind of character on which the quick route's backtracking could end the worker
+#: (it does at some 500,000 blanks); the library takes runs of any length.
+LONG_RUN = 50_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
+
+
 class Encoder:
     """Ids as the ``tokenizers`` library gives them without special tokens added.
 
     Plain texts go through the same vocabulary as merge ranks, which is several times faster;
-    texts with other characters or with a special token's string go through the library.
+    texts with other characters, with a special token's string or with a run of ``LONG_RUN``
+    characters with or without white space go through the library.
     """
 
     def __init__(self, path: str):
@@ -55,7 +62,8 @@ class Encoder:
 
     def __call__(self, text: str) -> list[int]:
         if (text.isascii() or not _PLAIN.search(text)) and not any(s in text for s in self.specials):
-            return self.quick(text)
+            if len(text) < LONG_RUN or not _LONG_RUN.search(text):
+                return self.quick(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
 

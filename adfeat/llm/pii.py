@@ -32,6 +32,9 @@ SAMPLE_TEXTS, SAMPLE_CHARS = 1500, 20_000
 #: Message rounds, damping, and the marginal that a token needs to add a span.
 ROUNDS, DAMPING, CERTAIN = 12, 0.3, 0.9
 
+#: Every such token's features are hidden while the field is fitted.
+MASKED = 2
+
 Span = tuple[int, int, int]  # start, kind, end
 
 _EVIDENCE = re.compile("[0-9@]").search
@@ -40,8 +43,15 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}").finditer
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
 _TOKEN = re.compile(r"[^ \t-\r]+").finditer
+_BLANK = re.compile(r"[ \t-\r]+").fullmatch
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _NOT_DIGIT = re.compile("[^0-9]")
+_NUMBERS = re.compile("[0-9]+").findall
+_SHORT_NUMBER = re.compile("[0-9]{1,3}").fullmatch
+_PIECE = re.compile(r"[A-Za-z0-9@._%+()-]+").finditer
+
+#: A longer token (minified data, text without blanks) is cut into the pieces that could be evidence.
+LONG_TOKEN = 200
 
 
 def luhn(digits: str) -> bool:
@@ -52,6 +62,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _byte(digits: str) -> bool:
+    """At most 255; the number may have any zeros before it."""
+    rest = digits.lstrip("0")
+    return len(rest) <= 3 and int(rest or "0") <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost, non-overlapping: for each at sign the longest local part after the last match.
 
@@ -78,7 +94,7 @@ def base_spans(text: str) -> list[Span]:
     """The rules' spans by start, then kind; leftmost and non-overlapping per kind."""
     out: list[Span] = [(s, 0, e) for s, e in _emails(text)]
     for m in _IP(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+        if all(_byte(x) for x in m[0].split(".")):
             out.append((m.start(), 1, m.end()))
     for m in _CARD(text):
         digits = _NOT_DIGIT.sub("", m[0]) if len(m[0]) < 64 else ""
@@ -114,11 +130,11 @@ def _features(token: str) -> list[float]:
     digits = _NOT_DIGIT.sub("", token)
     n = len(digits)
     parts = token.split(".")
-    quad = len(parts) == 4 and all(p.isdigit() and len(p) < 4 for p in parts)
+    quad = len(parts) == 4 and all(_SHORT_NUMBER(p) for p in parts)
     out = [
         True, "@" in token, "@" in token and "." in token.partition("@")[2], any(c.isalpha() for c in token), "." in token,
         quad, quad and all(int(p) < 256 for p in parts), token.startswith("+"), "(" in token or ")" in token, "-" in token,
-        token.isdigit(), 14 <= n <= 19, 14 <= n <= 19 and luhn(digits), "=" in token or '"' in token or ":" in token,
+        n == len(token), 14 <= n <= 19, 14 <= n <= 19 and luhn(digits), "=" in token or '"' in token or ":" in token,
     ]
     return [float(x) for x in out] + [float(n >= b) for b in _DIGIT_BOUNDS]
 
@@ -130,12 +146,25 @@ def _likeness(token: str) -> list[str]:
     digits = _NOT_DIGIT.sub("", low)
     if len(digits) >= 7:
         keys.append("#" + digits[-7:])
+    parts = _NUMBERS(low)
+    if len(parts) == 4:
+        keys.append("/".join(parts))
     name, at, host = low.partition("@")
     if at:
         keys += [f"{name}@", f"@{host}"]
     return keys
 
 
+def _tokens(text: str) -> Iterator[tuple[int, str]]:
+    """(place, token) in order; a token over LONG_TOKEN gives its pieces."""
+    for m in _TOKEN(text):
+        if m.end() - m.start() <= LONG_TOKEN:
+            yield m.start(), m[0]
+        else:
+            for p in _PIECE(m[0]):
+                yield m.start() + p.start(), p[0]
+
+
 def graph(texts: list[str]) -> Graph:
     where: list[tuple[int, int, int]] = []
     features, chain, skip = [], [], []
@@ -144,15 +173,14 @@ def graph(texts: list[str]) -> Graph:
             continue
         last: dict[str, int] = {}
         before = -2
-        for nth, m in enumerate(_TOKEN(text)):
-            word = m[0]
-            if len(word) > 200 or not _EVIDENCE(word):
+        for nth, (at, word) in enumerate(_tokens(text)):
+            if not _EVIDENCE(word):
                 continue
             core = word.strip("\"'.,;:!?<>[]{}|*#$%&")
             if not core:
                 continue
             node = len(where)
-            s = m.start() + word.index(core)
+            s = at + word.index(core)
             where.append((i, s, s + len(core)))
             features.append(_features(core))
             if before == nth - 1:
@@ -203,13 +231,20 @@ class Field:
 
 
 def fit(texts: list[str], steps: int = 300, decay: float = 1e-3) -> Field | None:
-    """Pseudo-likelihood fit on texts that the rules label; None without an evidence token."""
+    """Pseudo-likelihood fit on texts that the rules label; None without an evidence token.
+
+    The rules' labels can be read off a token's own features, so a field fitted to them as they
+    are learns nothing from the edges.  For every MASKED-th token all features but the first
+    (a constant) are hidden: what it is has to come from its neighbours and its likes, as it
+    does for a damaged mention later.
+    """
     g = graph(texts)
     n, k = len(g.start), NONE + 1
     if not n:
         return None
     y = rule_labels(g, texts)
     truth = np.eye(k)[y]
+    g.features[::MASKED, 1:] = 0
     field = Field(np.zeros((N_FEATURES, k)), np.zeros((k, k)), np.zeros((k, k)))
     state = [(w, np.zeros_like(w), np.zeros_like(w)) for w in (field.unary, field.chain, field.skip)]
     for step in range(1, steps + 1):
@@ -224,8 +259,8 @@ def fit(texts: list[str], steps: int = 300, decay: float = 1e-3) -> Field | None
             np.add.at(grad, y[e[:, 0]], err[e[:, 1]])
             np.add.at(grad.T, y[e[:, 1]], err[e[:, 0]])
             grads.append(grad)
-        for (w, m, v), grad in zip(state, grads, strict=True):
-            grad = grad + decay * w
+        for (w, m, v), grad, d in zip(state, grads, (decay, decay / 100, decay / 100), strict=True):
+            grad = grad + d * w
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
@@ -235,15 +270,20 @@ def fit(texts: list[str], steps: int = 300, decay: float = 1e-3) -> Field | None
 def rule_labels(g: Graph, texts: list[str]) -> np.ndarray:
     """The kind of the rule span that a token overlaps, the first kind listed if several do."""
     y = np.full(len(g.start), NONE)
+    first = np.searchsorted(g.text, np.arange(len(texts) + 1))
     for i in np.unique(g.text):
-        own = np.flatnonzero(g.text == i)
+        a, b = first[i], first[i + 1]
         for s, k, e in sorted(base_spans(texts[i]), key=lambda x: -x[1]):
-            y[own[(g.start[own] < e) & (g.end[own] > s)]] = k
+            # tokens do not overlap, so their ends are in order too
+            y[a + np.searchsorted(g.end[a:b], s, "right") : a + np.searchsorted(g.start[a:b], e, "left")] = k
     return y
 
 
 def all_spans(texts: list[str], field: Field | None) -> list[tuple[list[Span], list[Span]]]:
-    """(rules' spans, all spans) of every text; an added span overlaps no rule's span."""
+    """(rules' spans, all spans) of every text; an added span overlaps no rule's span.
+
+    Tokens of one kind with nothing but white space between them are one added span.
+    """
     base = [base_spans(t) if t and _EVIDENCE(t) else [] for t in texts]
     out = [(b, b) for b in base]
     if field is None:
@@ -253,10 +293,22 @@ def all_spans(texts: list[str], field: Field | None) -> list[tuple[list[Span], l
         return out
     p = field.marginals(g)
     kind = p[:, :NONE].argmax(axis=1)
-    for j in np.flatnonzero(p[np.arange(len(p)), kind] >= CERTAIN):
-        i, s, e = int(g.text[j]), int(g.start[j]), int(g.end[j])
-        if not any(x < e and y > s for x, _, y in base[i]):
-            out[i] = base[i], sorted([*out[i][1], (s, int(kind[j]), e)])
+    certain = np.flatnonzero(p[np.arange(len(p)), kind] >= CERTAIN)
+    first = np.searchsorted(g.text[certain], np.arange(len(texts) + 1))
+    for i in np.unique(g.text[certain]).tolist():
+        starts = np.array([s for s, _, _ in base[i]], np.int64)
+        reach = np.r_[-1, np.maximum.accumulate(np.array([e for _, _, e in base[i]], np.int64))] if len(starts) else np.full(1, -1)
+        added: list[Span] = []
+        for j in certain[first[i] : first[i + 1]].tolist():
+            s, e, k = int(g.start[j]), int(g.end[j]), int(kind[j])
+            if reach[np.searchsorted(starts, e, "left")] > s:  # a rule's span starts before its end and ends after its start
+                continue
+            if added and added[-1][1] == k and _BLANK(texts[i], added[-1][2], s):
+                added[-1] = added[-1][0], k, e
+            else:
+                added.append((s, k, e))
+        if added:
+            out[i] = base[i], sorted([*base[i], *added])
     return out
 
 
