@@ -28,16 +28,41 @@ from adfeat.session import ensure_checkpoint_dir
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
+#: Spark's own setting: shuffle files go when the execution that wrote them ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the table of a DataFrame that ``stage`` returned, after its last reader was written."""
+    _delete(df.sparkSession, df._staged_at)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once (eagerly) and return a DataFrame reading it back."""
+    """Write ``df`` once (eagerly) and return a DataFrame reading it back.
+
+    The shuffle files of the write are removed when it ends, as the table takes their place,
+    so a chain of staged steps holds the shuffles of one step at a time.
+    """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/adfeat-stage/{name}-{uuid.uuid4().hex}"
     owned = _scope.get()
     if owned is not None:
         owned.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known, so no job reads the footers for it
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)  # known, so no job reads the footers for it
+    out._staged_at = path
+    return out
 
 
 @contextmanager
@@ -53,5 +78,4 @@ def staging_scope(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _scope.reset(token)
         for path in owned:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
