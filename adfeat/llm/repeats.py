@@ -14,20 +14,19 @@ by string in a native aggregate instead, so no task holds a whole gram.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfeat.llm.common import chunks, shuffle_partitions, use_session, utf8
 from adfeat.llm.suffix_array import common_prefixes, longest_earlier, suffix_array
 from adfeat.llm.words import mix
-from adfeat.sources.staging import stage
+from adfeat.sources.staging import stage, unstage
 
 #: Bytes of an anchor's gram, surroundings in a lot, and surroundings that one gram may bring to a lot.
 K, LOT_ROWS, GRAM_ROWS = 20, 2048, 20_000
@@ -293,12 +292,6 @@ def _strings(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(cols[:, i]) for i in range(5)], names=["a", "b", "doc", "key", "start"])
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished steps now, not at the driver's next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: str = "text", gram_rows: int = GRAM_ROWS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) of every row's whole text as UTF-8 bytes.
 
@@ -314,24 +307,24 @@ def remove_repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", tex
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
     found_in = stage(rows.mapInArrow(lambda it: _find_anchors(it, size), ", ".join(f"{c} long" for c in ANCHORS)), "repeat-anchors")
     every = found_in.where("end is null").drop("end")
-    inner = found_in.where("end is not null").select("doc", "key", F.col("at").alias("start"), "end")
+    inner = stage(found_in.where("end is not null").select("doc", "key", F.col("at").alias("start"), "end"), "repeat-inner")
     often = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     # a hash join, as it spares sorting every anchor of the corpus; its built side is the smaller by far
     shared = stage(every.join(often.hint("shuffle_hash"), "gram", "left_semi"), "repeat-shared")
-    _release(spark)
+    unstage(found_in)
 
     place = F.struct("doc", "key", "at")
     first = stage(shared.groupBy("gram", "around").agg(F.min(place).alias("first"), F.count("*").alias("n")), "repeat-first")
     again = shared.join(first.where("n > 1").select("gram", "around", "first"), ["gram", "around"]).where(place != F.col("first"))
     reach = [F.greatest(F.col("at") - (size - K), F.lit(0)).alias("start"), (F.col("at") + size).alias("end")]
     whole = stage(again.select("doc", "key", *reach), "repeat-whole")
+    unstage(shared)
 
     grams = first.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1")
     wanted = first.join(grams, "gram").select("first.doc", "first.key", "first.at", "gram")
     wanted = wanted.groupBy("doc", "key").agg(F.collect_set(F.struct("gram", "at")).alias("wanted"))
     cut = rows.join(wanted, ["doc", "key"]).select("text", "doc", "key", "wanted")
     around = stage(cut.mapInArrow(lambda it: _cut(it, size), "gram long, doc long, key long, at long, left binary, right binary"), "repeat-around")
-    _release(spark)
 
     n_lots = around.count() // LOT_ROWS + shuffle_partitions(spark)
     few, many = grams.where(F.col("rows") <= gram_rows).select("gram"), grams.where(F.col("rows") > gram_rows).select("gram")
@@ -339,9 +332,9 @@ def remove_repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", tex
     ranges = stage(lots.groupBy("lot").applyInArrow(lambda t: _compare_lot(t, size), RANGES), "repeat-ranges")
     strings = around.join(many, "gram", "left_semi").select("gram", "doc", "key", "at", "left", "right").mapInArrow(lambda it: _strings(it, size), "a long, b long, doc long, key long, start long")
     strings = stage(strings, "repeat-strings")
+    unstage(around)
     earliest = strings.groupBy("a", "b").agg(F.min(F.struct("doc", "key", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     single = strings.join(earliest, ["a", "b"]).where(F.struct("doc", "key", "start") != F.col("first")).select("doc", "key", "start", (F.col("start") + size).alias("end"))
-    _release(spark)
 
     found = ranges.unionByName(whole).unionByName(inner).unionByName(single)
     found = found.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "end")).alias("found"))
