@@ -8,7 +8,7 @@ but the last return the columns of documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import read_table
@@ -23,15 +23,26 @@ from adfeat.sources.staging import stage
 LEAST_SCORE = 0.3
 
 
+#: Columns that the operators read; any other column of the documents is set aside under a name of no operator.
+READ = ("doc_id", "text", "lang", "n_chars")
+
+
+def _aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """(documents whose other columns have names that no operator uses, the columns that bring them back)."""
+    names = [n if n in READ else f"own {i}" for i, n in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(f"`{a}`").alias(n) for a, n in zip(names, docs.columns, strict=True)]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is known: a letter, and a score of LEAST_SCORE or more."""
-    out = annotate(docs, fit(docs))
-    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    plain, own = _aside(docs)
+    return annotate(plain, fit(plain)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*own)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines; every document stays, with the length of what is left."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    plain, own = _aside(docs)
+    return dedup_lines(plain).withColumn("n_chars", F.length("text").cast("long")).select(*own)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +53,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as its rate says; documents of a rate below 1 may go."""
+    plain, own = _aside(docs)
     copies = mix(docs, read_table(spark, sf_dir, "labels")).groupBy("seed").agg(F.max("copies").alias("_copies"))
-    out = docs.withColumn("seed", seed(F.col("doc_id"), F.col("text"))).join(copies.where("_copies > 0"), "seed")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
+    out = plain.withColumn("seed", seed(F.col("doc_id"), F.col("text"))).join(copies.where("_copies > 0"), "seed")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*own)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
