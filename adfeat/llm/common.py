@@ -163,6 +163,8 @@ class IdFilter:
     """A Bloom filter of ids: a bit set of fixed size (4 MB), whatever the number of ids."""
 
     BITS = 1 << 25
+    #: Ids up to which a filter lets through less than one other id in 30.
+    MOST = 4_000_000
 
     def __init__(self, ids: DataFrame):
         def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,11 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adfeat.llm.common import bounded_sample, chunks, use_session, utf8
+from adfeat.llm.common import chunks, use_session, utf8
 
 #: Bytes of a window, units of a direction's state, and windows that run side by side.
 WINDOW, HIDDEN, LANES = 64, 8, 4096
@@ -184,7 +184,10 @@ def train(windows: list[bytes], labels: list[str], seed: int = 7) -> LanguageMod
 def sample_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
     """Windows, evenly spread over the text, of at most ``rows`` labelled rows outside the held-out quarter.
 
-    The rows with the smallest hash are taken: the same ones for the same table.
+    Every label has the same share of them, so a rare language is not lost (of more labels
+    than ``rows`` each has one).  A label's rows with the smallest hash are taken: the same
+    ones for the same table.  A bound on the hash per label leaves little more than its share
+    before rows are ordered.
     """
     size = F.length("t")
     part = F.transform(
@@ -194,7 +197,15 @@ def sample_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     labelled = docs.select(F.col(id_col).cast("string").alias("d"), F.col(text_col).alias("t"), F.col(label_col).alias("y"))
     labelled = labelled.where("t is not null and y is not null and pmod(crc32(d), 4) <> 2")
     labelled = labelled.where(r"t rlike '\\p{L}'").select("y", F.array_distinct(part).alias("w"), F.xxhash64("d", "t", "y").alias("k"))
-    picked = bounded_sample(labelled, rows, "k").select("y", "w").collect()
+    counts = {r.y: r["count"] for r in labelled.groupBy("y").count().collect()}  # a row per language
+    if not counts:
+        return [], []
+    each = max(1, rows // len(counts))
+    h = F.xxhash64("k")
+    bounds = [x for y, n in counts.items() for x in (F.lit(y), F.lit(min(2**63 - 1, int(min(1.0, (each + 8 * each**0.5 + 8) / n) * 2**64) - 2**63)))]
+    few = labelled.where(h <= F.element_at(F.create_map(*bounds), F.col("y"))).withColumn("h", h)
+    nth = F.row_number().over(Window.partitionBy("y").orderBy("h", "k"))
+    picked = sorted(few.withColumn("nth", nth).where(F.col("nth") <= each).select("h", "y", "w").collect(), key=lambda r: (r.h, r.y))
     return [w.encode()[:WINDOW] for r in picked for w in r.w if w], [r.y for r in picked for w in r.w if w]
 
 

@@ -27,6 +27,9 @@ from adfeat.sources.staging import stage
 #: Distinct keys that a shard is sized for, and text bytes that a bucket is sized for.
 SHARD_KEYS, BUCKET_BYTES = 1 << 15, 8 << 20
 
+#: Questions that one group asks a shard; a shard that is asked more answers in several groups.
+QUESTIONS = 4 * SHARD_KEYS
+
 _STRIP = b" \t\n\x0b\x0c\r"
 _U = np.uint64
 _NO_ID = -(2**63)
@@ -134,7 +137,7 @@ def _lines(text: str | None) -> list[bytes]:
     return (text or "").encode().split(b"\n")
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text", questions: int = QUESTIONS) -> DataFrame:
     """``docs`` without the repeated lines, plus n_lines (before) and n_dropped.
 
     A line's key is the line stripped of space and tab to carriage return, A-Z in lower case.
@@ -165,13 +168,16 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, id_col:
     found = plain.select(bucket.alias("bucket"), doc_id.alias("d"), F.col(f"c{text}").alias("t")).mapInArrow(keys, "bucket long, largest long, a long, b long")
     cells = stage(found.groupBy("bucket", "a", "b").agg(F.count("*").alias("docs"), F.max("largest").alias("largest")), "line-cells")
     n_shards = cells.count() // SHARD_KEYS + 4 * shuffle_partitions(spark)
-    cells = cells.withColumn("shard", F.pmod("a", F.lit(n_shards)).cast("long"))
+    shard = F.pmod("a", F.lit(n_shards)).cast("long").alias("shard")
 
     def build(t: pa.Table) -> pa.Table:
         blob = build_shard(_i64(t, "a"), _i64(t, "b"), _i64(t, "docs"), _i64(t, "largest"))
-        return pa.table({"shard": t.column("shard").slice(0, 1), "blob": pa.array([blob], pa.binary())})
+        parts = int(_i64(t, "asked").sum()) // questions + 1
+        return pa.table({"shard": t.column("shard").slice(0, 1), "blob": pa.array([blob], pa.binary()), "parts": pa.array([parts], pa.int64())})
 
-    index = stage(cells.groupBy("shard").applyInArrow(build, "shard long, blob binary"), "line-index")
+    # one row per key, however many buckets hold it
+    once = cells.groupBy("a", "b").agg(F.sum("docs").alias("docs"), F.max("largest").alias("largest"), F.count("*").alias("asked"))
+    index = stage(once.withColumn("shard", shard).groupBy("shard").applyInArrow(build, "shard long, blob binary, parts long"), "line-index")
 
     def probe(questions: pa.Table, shard: pa.Table) -> pa.Table:
         a, b = _i64(questions, "a"), _i64(questions, "b")
@@ -179,7 +185,12 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, id_col:
         hit = n >= min_docs
         return pa.table({"bucket": _i64(questions, "bucket")[hit], "a": a[hit], "b": b[hit], "largest": largest[hit]})
 
-    answers = cells.select("shard", "bucket", "a", "b").groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(probe, "bucket long, a long, b long, largest long")
+    # a line in a third of the corpus is a question of every bucket: its shard answers in several groups
+    several = index.where("parts > 1").select("shard", "parts")
+    asked = cells.select(shard, "bucket", "a", "b").join(several, "shard", "left")
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("bucket"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    arrays = index.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "blob")
+    answers = asked.groupBy("shard", "part").cogroup(arrays.groupBy("shard", "part")).applyInArrow(probe, "bucket long, a long, b long, largest long")
 
     extra = ["n_lines", "n_dropped"]
     kept = [i for i, n in enumerate(names) if n not in extra]

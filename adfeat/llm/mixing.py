@@ -51,7 +51,8 @@ STEPS, TOLERANCE = 25, 1e-6
 def classifier(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain], id_col: str = "doc_id", text_col: str = "text") -> tuple[list[list[float]], list[float]]:
     """Log-likelihoods per domain and bucket, and log priors, from at most 50,000 labelled rows."""
     kind = F.coalesce(*(F.when(F.expr(d.where), F.lit(i)) for i, d in enumerate(domains)))
-    picked = labelled(labels.select(F.col(id_col), kind.alias("k")).where("k is not null"), id_col)
+    one = labels.select(F.col(id_col), kind.alias("k")).where("k is not null").groupBy(id_col).agg(F.min("k").alias("k"))
+    picked = labelled(one, id_col)  # an id with two labels has the domain listed first
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).join(F.broadcast(picked.withColumnRenamed(id_col, "d")), "d")
     counts = np.full((len(domains), BUCKETS), SMOOTHING)
     words = rows.select("k", F.explode(F.transform(word_hashes(F.col("t")), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))).alias("b"))

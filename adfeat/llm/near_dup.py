@@ -188,10 +188,11 @@ def _pairs(t: pa.Table, seen: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "equal"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: IdFilter) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: IdFilter | None) -> Iterator[pa.RecordBatch]:
     """(id, set) of the rows that ``wanted`` may have; a few others come along and meet no pair."""
     for b in batches:
-        b = b.filter(pa.array(wanted.may_have(b.column(0).to_numpy(zero_copy_only=False))))
+        if wanted is not None:
+            b = b.filter(pa.array(wanted.may_have(b.column(0).to_numpy(zero_copy_only=False))))
         data, offsets = utf8(b.column(1))
         for i, j in chunks(offsets, _TEXT):
             h, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
@@ -298,7 +299,7 @@ def sharing_rare(sets: DataFrame, threshold: int) -> DataFrame:
     return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text", filter_ids: int = IdFilter.MOST) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
     A row's set has the distinct ``width``-word shingles of its whole text, A-Z in lower case;
@@ -323,8 +324,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 75, id_col
 
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     crowded = stage(rows.where(F.col("n") > WHOLE_REGION).select("id").distinct(), "near-crowded")
-    wanted = IdFilter(ends.unionByName(crowded))  # spares a shuffle of all texts for the few that are in a pair
+    ids = stage(ends.unionByName(crowded).distinct(), "near-ids")
     texts = source.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
+    if ids.count() <= filter_ids:  # spares a shuffle of all texts for the few that are in a pair
+        wanted = IdFilter(ids)
+    else:  # the filter would be full, and let every text through
+        wanted, texts = None, texts.join(ids, "id", "left_semi")
     sets = stage(texts.mapInArrow(lambda it: _sets(it, width, wanted), "id long, set binary"), "near-sets")
     either = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))
     best = either.groupBy(F.col("a").alias("x")).agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("y"))

@@ -39,8 +39,8 @@ def _ngrams(h: Column, buckets: int, weight=lambda bucket: bucket) -> Column:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
-    """Log-likelihood ratio of every bucket; ``trusted`` (id) is bounded and is broadcast."""
-    ids = F.broadcast(trusted.select(F.col(id_col).cast("long").alias("d"), F.lit(1).alias("trusted")))
+    """Log-likelihood ratio of every bucket; a bounded sample of ``trusted`` (id) is used, and broadcast."""
+    ids = F.broadcast(labelled(trusted, id_col).select(F.col(id_col).cast("long").alias("d"), F.lit(1).alias("trusted")))
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).join(ids, "d", "left")
     grams = rows.select("trusted", F.explode(let(word_hashes(F.col("t")), lambda h: _ngrams(h, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target")).collect()
