@@ -14,6 +14,7 @@ block against block.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,17 +26,33 @@ from pyspark.sql import functions as F
 from adfeat.llm.common import connected_components, shuffle_partitions, use_session
 from adfeat.sources.staging import stage
 
-#: Independent codes, codewords of a block (2048 ** 2 = 4.2 million directions a code; to be raised
-#: with the number of vectors, whose share of a direction it bounds), and filters of a vector in a code.
-#: Measured at 64 dimensions: 1 of 2,000 pairs of cosine 0.9 shares no filter, of 4,000 pairs of 0.93 none.
-CODES, CODEWORDS, LISTED = 4, 2048, 16
+#: Independent codes, and directions of a code for each row of the table: so the vectors that a
+#: direction draws by chance are as many in a table of any size.
+CODES, DIRECTIONS = 4, 128
+
+#: Codewords of a block, at least and at most (2 ** 34 directions a code, for 130 million rows).
+LEAST_WORDS, MOST_WORDS = 256, 1 << 17
+
+
+def codewords(rows: int) -> int:
+    """Codewords of each of a code's two blocks for a table of so many rows."""
+    return min(MOST_WORDS, max(LEAST_WORDS, math.isqrt(DIRECTIONS * rows) + 1))
+
+
+def listed(dimension: int) -> int:
+    """Filters of a vector in a code; few dimensions need more.
+
+    Of 1,000 random pairs of cosine 0.9 and 256 to 8,192 codewords, all share a filter at 64 and
+    at 384 dimensions, and 0.996 or more at 16.
+    """
+    return 16 if dimension >= 32 else 64
 
 #: Vectors of a filter that are compared as one block, and rows that a task's group is sized for.
 BLOCK_ROWS, LOT_ROWS = 512, 4096
 
 
 @functools.cache
-def product_codes(dimension: int, codewords: int = CODEWORDS) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+def product_codes(dimension: int, n_words: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
     """(rotation, codewords of every block) of each code; the same on every machine."""
     rng = np.random.Generator(np.random.PCG64([8, dimension]))
     out = []
@@ -43,7 +60,7 @@ def product_codes(dimension: int, codewords: int = CODEWORDS) -> list[tuple[np.n
         rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
         code = []
         for part in np.array_split(np.arange(dimension), min(2, dimension)):
-            words = rng.normal(size=(codewords, len(part)))
+            words = rng.normal(size=(n_words, len(part)))
             code.append(words / np.linalg.norm(words, axis=1, keepdims=True) * np.sqrt(len(part) / dimension))
         out.append((rotation, code))
     return out
@@ -56,34 +73,34 @@ def _best(scores: np.ndarray, n: int) -> np.ndarray:
     return np.take_along_axis(top, np.argsort(-np.take_along_axis(scores, top, 1), axis=1, kind="stable"), 1)
 
 
-def filters_of(units: np.ndarray) -> np.ndarray:
-    """The sorted filters (rows, CODES * LISTED or fewer) of unit vectors.
+def filters_of(units: np.ndarray, n_words: int) -> np.ndarray:
+    """The sorted filters (rows, CODES times the list's length or fewer) of unit vectors.
 
-    The i-th best word of one block and the j-th best of the other can be among the LISTED
-    best directions only if i * j <= LISTED, so few combinations are scored.
+    The i-th best word of one block and the j-th best of the other can be among the n best
+    directions only if i * j <= n, so few combinations are scored.
     """
     dimension = units.shape[1]
-    out = []
-    for c, (rotation, code) in enumerate(product_codes(dimension)):
+    most, out = listed(dimension), []
+    for c, (rotation, code) in enumerate(product_codes(dimension, n_words)):
         rotated, total, number, at = units @ rotation, None, None, 0
         for words in code:
             scores = rotated[:, at : at + words.shape[1]] @ words.T
             at += words.shape[1]
-            own = _best(scores, LISTED)
+            own = _best(scores, most)
             scores = np.take_along_axis(scores, own, 1)
             if total is None:
                 total, number = scores, own
                 continue
             i, j = (x.ravel() for x in np.mgrid[0 : total.shape[1], 0 : own.shape[1]])
-            few = (i + 1) * (j + 1) <= LISTED
+            few = (i + 1) * (j + 1) <= most
             total, number = total[:, i[few]] + scores[:, j[few]], number[:, i[few]] * len(words) + own[:, j[few]]
-            top = _best(total, LISTED)
+            top = _best(total, most)
             total, number = np.take_along_axis(total, top, 1), np.take_along_axis(number, top, 1)
-        out.append(number + (dimension * CODES + c) * CODEWORDS**2)
+        out.append(number + (dimension * CODES + c) * n_words**2)
     return np.sort(np.concatenate(out, axis=1), axis=1)
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _vectors(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
     """(vec_id, left, right, vector, filters): the last two are binary, null for a vector that links with nothing."""
     for b in batches:
         n = b.num_rows
@@ -101,7 +118,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_size.values():
             for k in range(0, len(rows), BLOCK_ROWS):
                 own = rows[k : k + BLOCK_ROWS]
-                for i, f in zip(own, filters_of(_units(np.array([np.frombuffer(vectors[i]) for i in own]))), strict=True):
+                for i, f in zip(own, filters_of(_units(np.array([np.frombuffer(vectors[i]) for i in own])), n_words), strict=True):
                     filters[i] = f.tobytes()
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(left), pa.array(right), pa.array(vectors, pa.binary()), pa.array(filters, pa.binary())], names=["vec_id", "left", "right", "vector", "filters"])
 
@@ -159,7 +176,7 @@ def compare_lot(t: pa.Table, cosine: float) -> pa.Table:
     """(id, n, a, b): links found per row, and spanning links a - b, of all filters in a group of rows."""
     t = t.combine_chunks()
     ids, weight, block, here, one, two = (t.column(c).to_numpy() for c in ("id", "rows", "block", "filter", "one", "two"))
-    lists = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("filters")]
+    lists = [np.array(x, np.int64) for x in t.column("shared").to_pylist()]
     sizes = np.array([len(x.as_buffer()) for x in t.column("vector")])
     counts = np.zeros(len(ids), np.int64)
     ends = [np.zeros((0, 2), np.int64)]
@@ -200,7 +217,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     """
     spark = use_session(vectors.sparkSession)
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    rows = stage(source.mapInArrow(_vectors, "vec_id long, left long, right long, vector binary, filters binary"), "caps-vectors")
+    n_words = codewords(source.count())
+    rows = stage(source.mapInArrow(lambda it: _vectors(it, n_words), "vec_id long, left long, right long, vector binary, filters binary"), "caps-vectors")
     valid = rows.where("vector is not null")
     classes = valid.groupBy("left", "right").agg(F.min("vec_id").alias("id"), F.count("*").alias("rows"), F.min("vector").alias("vector"), F.min("filters").alias("filters"))
     # a class of null ids only is still counted by others: it gets a number that is no id
@@ -209,14 +227,16 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
 
     members = classes.select("id", "filters").mapInArrow(_memberships, "filter long, id long")
     sizes = members.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
-    shared = members.join(sizes, "filter").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    shared = stage(members.join(sizes, "filter"), "caps-shared")
+    lists = shared.groupBy("id").agg(F.array_sort(F.collect_list("filter")).alias("shared"))  # a filter of one vector compares nothing
+    shared = shared.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
     shared = shared.withColumn("block", F.pmod(F.xxhash64("filter", "id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = shared.select("filter", "id", "block", other)
     paired = paired.select("filter", "id", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     paired = stage(paired, "caps-paired")
     n_lots = paired.count() // LOT_ROWS + shuffle_partitions(spark)
-    paired = paired.withColumn("lot", F.pmod(F.xxhash64("filter", "one", "two"), F.lit(n_lots))).join(classes.drop("left", "right"), "id")
+    paired = paired.withColumn("lot", F.pmod(F.xxhash64("filter", "one", "two"), F.lit(n_lots))).join(classes.select("id", "rows", "vector").join(lists, "id"), "id")
     found = paired.groupBy("lot").applyInArrow(lambda t: compare_lot(t, cosine), "id long, n long, a long, b long")
     found = stage(found, "caps-links")
     counts = found.where("id is not null").groupBy("id").agg(F.sum("n").alias("others"))

@@ -10,6 +10,9 @@ from .conftest import rows_of
 
 SCHEMA = "vec_id long, embedding array<double>, label int"
 
+#: Codewords of a table of 32,000 rows.
+W = 2048
+
 
 def brute(rows, cosine=0.9):
     unit = {}
@@ -81,16 +84,16 @@ def test_lists_hold_the_best_directions():
     rng = np.random.default_rng(2)
     v = rng.normal(size=(5, 8))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    codes = E.product_codes(8)
-    lists = E.filters_of(v)
+    codes = E.product_codes(8, W)
+    lists = E.filters_of(v, W)
     for c, (rotation, (one, two)) in enumerate(codes):
         x = v @ rotation
         every = (x[:, : one.shape[1]] @ one.T)[:, :, None] + (x[:, one.shape[1] :] @ two.T)[:, None, :]
-        first = (8 * E.CODES + c) * E.CODEWORDS**2
+        first = (8 * E.CODES + c) * W**2
         for i in range(5):
-            own = [f - first for f in lists[i] if first <= f < first + E.CODEWORDS**2]
-            assert len(own) == E.LISTED
-            best = np.sort(every[i].ravel())[-E.LISTED]
+            own = [f - first for f in lists[i] if first <= f < first + W**2]
+            assert len(own) == E.listed(8)
+            best = np.sort(every[i].ravel())[-E.listed(8)]
             assert all(every[i].ravel()[f] >= best - 1e-12 for f in own)
 
 
@@ -101,5 +104,24 @@ def test_recall_at_the_threshold():
     o = rng.normal(size=v.shape)
     o -= (o * v).sum(axis=1, keepdims=True) * v
     o /= np.linalg.norm(o, axis=1, keepdims=True)
-    a, b = E.filters_of(v), E.filters_of(0.9 * v + np.sqrt(1 - 0.81) * o)
+    a, b = E.filters_of(v, W), E.filters_of(0.9 * v + np.sqrt(1 - 0.81) * o, W)
     assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b)]) > 0.995
+
+
+def test_codewords_follow_the_rows():
+    """So many directions that each draws as few vectors by chance in a table of any size."""
+    assert E.codewords(0) == E.codewords(500) == E.LEAST_WORDS and E.codewords(10**12) == E.MOST_WORDS
+    for rows in (10_000, 50_000, 10**6, 10**8):
+        assert 1 <= E.codewords(rows) ** 2 / (E.DIRECTIONS * rows) < 1.01
+    assert W == E.codewords(32_766)
+
+
+@pytest.mark.parametrize(("dimension", "n_words"), [(16, 256), (16, 2048), (64, 256), (64, 8192), (384, 2048)])
+def test_recall_by_dimension_and_codewords(dimension, n_words):
+    rng = np.random.default_rng(dimension + n_words)
+    a, o = rng.normal(size=(2, 400, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    o -= (a * o).sum(axis=1, keepdims=True) * a
+    o /= np.linalg.norm(o, axis=1, keepdims=True)
+    one, two = E.filters_of(a, n_words), E.filters_of(0.9 * a + np.sqrt(1 - 0.81) * o, n_words)
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two, strict=True)]) >= 0.99
