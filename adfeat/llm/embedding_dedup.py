@@ -176,7 +176,9 @@ def compare_lot(t: pa.Table, cosine: float) -> pa.Table:
     """(id, n, a, b): links found per row, and spanning links a - b, of all filters in a group of rows."""
     t = t.combine_chunks()
     ids, weight, block, here, one, two = (t.column(c).to_numpy() for c in ("id", "rows", "block", "filter", "one", "two"))
-    lists = [np.array(x, np.int64) for x in t.column("shared").to_pylist()]
+    shared = pa.concat_arrays(t.column("shared").chunks) if t.num_rows else pa.array([], pa.list_(pa.int64()))
+    values, at = shared.values.to_numpy(zero_copy_only=False), shared.offsets.to_numpy()
+    lists = [values[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
     sizes = np.array([len(x.as_buffer()) for x in t.column("vector")])
     counts = np.zeros(len(ids), np.int64)
     ends = [np.zeros((0, 2), np.int64)]
