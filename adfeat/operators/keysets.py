@@ -52,13 +52,16 @@ def melted(rows: DataFrame, sets: list[KeySet], slots: dict[str, T.DataType], ca
     Sets are numbered from ``first`` in the order given.
     """
 
-    def one(i: int, keys: KeySet) -> Column:
-        values = [(F.col(keys[s]).cast(t) if s in keys else _absent(t)).alias(slot(s)) for s, t in slots.items()]
-        return F.when(keys_present(list(keys.values())), F.struct(F.lit(i).alias(SET), *values))
-
-    m = F.explode(F.array(*[one(i, keys) for i, keys in enumerate(sets, start=first)])).alias("_m")
-    out = rows.select(*carry, m).where(F.col("_m").isNotNull())
-    return out.select(*[c for c in out.columns if c != "_m"], "_m.*")
+    numbers = [F.when(keys_present(list(k.values())), F.lit(i)).alias(f"_s{i}") for i, k in enumerate(sets, start=first)]
+    values = {(s, c): F.col(c).cast(slots[s]).alias(f"_v_{s}_{c}") for k in sets for s, c in k.items()}
+    absent = [_absent(t).alias(f"_d_{s}") for s, t in slots.items()]
+    ready = rows.select(*carry, *numbers, *values.values(), *absent)
+    # one projection per key set of each row (Expand), which is cheaper than an exploded array
+    rows_of = [", ".join([f"_s{i}", *(f"`_v_{s}_{k[s]}`" if s in k else f"_d_{s}" for s in slots)]) for i, k in enumerate(sets, start=first)]
+    to = ", ".join([SET, *(slot(s) for s in slots)])
+    melt = ", ".join(f"({r}) AS `{i}`" for i, r in enumerate(rows_of))
+    out = rows.sparkSession.sql(f"SELECT * FROM {{ready}} UNPIVOT INCLUDE NULLS (({to}) FOR _name IN ({melt}))", ready=ready)
+    return out.where(F.col(SET).isNotNull()).drop("_name")
 
 
 def slots_of(rows: DataFrame, sets: list[KeySet]) -> dict[str, T.DataType]:
