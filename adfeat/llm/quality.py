@@ -38,18 +38,29 @@ def _ngrams(h: Column, buckets: int, weight=lambda bucket: bucket) -> Column:
     return F.concat(one, two)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
-    """Log-likelihood ratio of every bucket; a bounded sample of ``trusted`` (id) is used, and broadcast."""
-    ids = F.broadcast(labelled(trusted, id_col).select(F.col(id_col).cast("long").alias("d"), F.lit(1).alias("trusted")))
+def half_of(doc_id: Column) -> Column:
+    """0 or 1, by a hash of the id."""
+    return F.pmod(F.xxhash64(doc_id.cast("long"), F.lit("half")), F.lit(2)).cast("int")
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[float], list[float]]:
+    """Log-likelihood ratios of every bucket, with all trusted rows and with those of half 0; one pass.
+
+    A bounded sample of ``trusted`` (id) is used, and broadcast.
+    """
+    ids = labelled(trusted, id_col).select(F.col(id_col).cast("long").alias("d"))
+    ids = F.broadcast(ids.withColumn("trusted", half_of(F.col("d"))))
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).join(ids, "d", "left")
     grams = rows.select("trusted", F.explode(let(word_hashes(F.col("t")), lambda h: _ngrams(h, buckets))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target")).collect()
-    raw, target = [SMOOTHING] * buckets, [SMOOTHING] * buckets
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"), F.count_if(F.col("trusted") == 0).alias("half")).collect()
+    raw, target, half = ([SMOOTHING] * buckets for _ in range(3))
     for r in counts:
         raw[r.bucket] += r.raw
         target[r.bucket] += r.target
-    all_raw, all_target = sum(raw), sum(target)
-    return [math.log(t / all_target) - math.log(r / all_raw) for t, r in zip(target, raw, strict=True)]
+        half[r.bucket] += r.half
+    whole = sum(raw)
+    ratios = lambda x, n: [math.log(t / n) - math.log(r / whole) for t, r in zip(x, raw, strict=True)]
+    return ratios(target, sum(target)), ratios(half, sum(half))
 
 
 def _repeated(h: Column) -> Column:
@@ -130,15 +141,17 @@ def separating_threshold(docs: DataFrame, labels: DataFrame, weights: Column, bu
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept) of every row.
 
-    With ``labels`` (id, quality 0 or 1) the threshold is ``separating_threshold`` of them.  A
+    With ``labels`` (id, quality 0 or 1) the threshold is ``separating_threshold`` of those in
+    half 1, scored with the trusted rows of half 0 alone, so no row sets it that its score was
+    learned from.  A
     null or empty text has no words and fails the base rules; its score is null.  Without
     trusted rows all ratios are equal, so every score is about 0 and the base rules decide.  A
     null id is kept and never trusted; repeated rows each give a row and count each.
     """
     use_session(docs.sparkSession)
-    weights = numbers(log_ratios(docs, trusted, buckets, id_col, text_col))
+    weights, of_half = map(numbers, log_ratios(docs, trusted, buckets, id_col, text_col))
     if labels is not None:
-        threshold = separating_threshold(docs, labels, weights, buckets, id_col, text_col)
+        threshold = separating_threshold(docs, labels.where(half_of(F.col(id_col)) == 1), of_half, buckets, id_col, text_col)
     out = _scored(docs, weights, buckets, id_col, text_col)
     return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(-1e9)) >= threshold))
 
