@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,9 @@ SET = "_set"
 #: A key is hot if more than one target row in so many asks for it.
 HOT = 1000
 
+#: Melted rows that one task aggregates, so its memory does not grow with the input.
+MELT_ROWS = 1_000_000
+
 #: slot → column: the keys of a set in the slots they share with other sets.
 KeySet = dict[str, str]
 
@@ -81,6 +84,27 @@ def rolled_up(source: DataFrame, asked: DataFrame, slots: dict[str, T.DataType])
     return both.groupBy(*by).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in (*MEASURES, ASKED)]).where(F.col(ASKED) > 0)
 
 
+def rolled_up_own(source: DataFrame, slots: dict[str, T.DataType]) -> DataFrame:
+    """``rolled_up`` of melted rows that are source and probe in one: they are melted and summed once."""
+    by = [SET, *[slot(s) for s in slots]]
+    sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES]
+    return source.groupBy(*by).agg(*sums, F.count(F.lit(1)).alias(ASKED))
+
+
+def parts_of(spark: SparkSession, n_rows: int) -> int:
+    """Partitions of at most ``MELT_ROWS`` melted rows, and no fewer than tasks run at once."""
+    return max(spark.sparkContext.defaultParallelism, n_rows // MELT_ROWS + 1)
+
+
+def one_row_each(answers: DataFrame, row: str, outputs: list[Column], parts: int) -> DataFrame:
+    """``outputs`` (aggregates) of the melted answers of every row id, in ``parts`` partitions by the id.
+
+    The narrow answers are shuffled first: ids do not repeat inside a task before that, so
+    sums on the map side would hold a wide row per id of the task and save nothing.
+    """
+    return answers.repartition(parts, row).groupBy(row).agg(*outputs)
+
+
 def answered(asked: DataFrame, table: DataFrame, slots: dict[str, T.DataType], n_rows: int, row: str) -> DataFrame:
     """``(row, set, measures)`` of the melted ``asked`` rows from the staged ``table``."""
     by = [SET, *[slot(s) for s in slots]]

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,9 @@ from adfeat.sources.staging import stage
 PART_ROWS = 500_000
 
 FIRST, LAST = "_first", "_last"
-_FOUND = {"_part": T.IntegerType(), "_run": T.IntegerType(), "_before": T.LongType(), "_peers": T.LongType(), "_n": T.LongType(), "_lo": T.BooleanType(), "_hi": T.BooleanType()}
+_FOUND = {"_part": T.IntegerType(), "_run": T.IntegerType(), "_before": T.LongType(), "_peers": T.LongType(), "_n": T.LongType(), "_lo": T.BooleanType(), "_hi": T.BooleanType(), "_end": T.BooleanType()}
+
+_BORDER = pa.schema([("_part", pa.int32()), ("_run", pa.int32()), *((c, pa.int64()) for c in ("_add", "_all", "_same", "_lo_all", "_hi_all"))])
 
 
 def _codes(column: pa.ChunkedArray) -> np.ndarray:
@@ -99,10 +102,22 @@ def borders(runs: list[dict]) -> list[tuple]:
     return out
 
 
-def scan_ranks(rows: DataFrame, keys: list[str], ts: str, name: str = "ranks", part_rows: int = PART_ROWS, n_rows: int | None = None) -> DataFrame:
+def _ends(run: np.ndarray) -> np.ndarray:
+    """Which rows are the first or the last of the partition's first or last key."""
+    out = np.zeros(len(run), bool)
+    for r in (0, 1):
+        at = np.flatnonzero(run == r)
+        out[at[:1]] = out[at[-1:]] = True
+    return out
+
+
+def scan_ranks(
+    rows: DataFrame, keys: list[str], ts: str, name: str = "ranks", part_rows: int = PART_ROWS, n_rows: int | None = None, wanted: list[str] | None = None
+) -> DataFrame:
     """The rows that have all keys and a time, with ``_first`` and ``_last`` (average ranks); one exchange.
 
-    ``n_rows``, if the caller knows it, spares counting ``rows``.
+    ``n_rows``, if the caller knows it, spares counting ``rows``; ``wanted`` are the columns to
+    return (all if None), others are staged only in the rows at a partition's ends.
     """
     spark = workers_import(rows.sparkSession)
     rows = rows.where(keys_present([*keys, ts]))
@@ -111,7 +126,9 @@ def scan_ranks(rows: DataFrame, keys: list[str], ts: str, name: str = "ranks", p
     put = rows.withColumn("_spread", F.monotonically_increasing_id()).repartitionByRange(parts, *keys, ts, "_spread")
     put = put.sortWithinPartitions(*keys, ts).drop("_spread").withColumn("_part", F.spark_partition_id())
     names = rows.columns
-    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, t) for c, t in _FOUND.items())])
+    wanted = names if wanted is None else wanted
+    spared = [i for i, c in enumerate(names) if c not in wanted]
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema.fields), *(T.StructField(c, t) for c, t in _FOUND.items())])
     key_at, ts_at = [names.index(k) for k in keys], names.index(ts)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,23 +137,28 @@ def scan_ranks(rows: DataFrame, keys: list[str], ts: str, name: str = "ranks", p
             return
         t = pa.Table.from_batches(found)
         new = scanned([_codes(t.column(i)) for i in key_at], _codes(t.column(ts_at)))
+        new["_end"] = _ends(new["_run"])
+        inner = pa.array(~new["_end"])
+        for i in spared:
+            t = t.set_column(i, t.schema.field(i).with_nullable(True), pc.if_else(inner, pa.scalar(None, t.schema.types[i]), t.column(i)))
         for c, v in new.items():
             t = t.append_column(c, pa.array(v.astype(np.int32) if c == "_run" else v))
         yield from t.combine_chunks().to_batches(max_chunksize=20_000)
 
     done = stage(put.mapInArrow(scan, schema), name)
     at = lambda c: F.max(F.when(F.col(c), F.col("_peers")))
-    ends = done.where("_run >= 0").groupBy("_part", "_run").agg(
+    ends = done.where("_end").groupBy("_part", "_run").agg(
         *[F.first(k).alias(f"k{i}") for i, k in enumerate(keys)], F.max("_n").alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"), at("_lo").alias("at_lo"), at("_hi").alias("at_hi")
     )
     runs = [{"part": r["_part"], "run": r["_run"], "key": tuple(r[f"k{i}"] for i in range(len(keys))), **{c: r[c] for c in ("n", "lo", "hi", "at_lo", "at_hi")}} for r in ends.collect()]
-    border = spark.createDataFrame(borders(runs), "_part int, _run int, _add long, _all long, _same long, _lo_all long, _hi_all long")
+    # as an Arrow table it is a local relation, which no Python worker has to read
+    border = spark.createDataFrame(pa.Table.from_pylist([dict(zip(_BORDER.names, b, strict=True)) for b in borders(runs)], _BORDER))
     out = done.join(F.broadcast(border), ["_part", "_run"], "left")  # at most two rows per partition
     goes_on = F.col("_add").isNotNull()
     before = F.when(goes_on, F.col("_before") + F.col("_add") - F.when(F.col("_lo"), F.col("_same")).otherwise(F.lit(0))).otherwise(F.col("_before"))
     peers = F.when(goes_on & F.col("_lo"), F.col("_lo_all")).when(goes_on & F.col("_hi"), F.col("_hi_all")).otherwise(F.col("_peers"))
     first = before + (peers + 1) / F.lit(2.0)
-    return out.select(*names, first.alias(FIRST), (F.coalesce("_all", "_n") + 1 - first).alias(LAST))
+    return out.select(*wanted, first.alias(FIRST), (F.coalesce("_all", "_n") + 1 - first).alias(LAST))
 
 
 def add_scanned_ranks(df: DataFrame, keys: list[str], ts: str, prefix: str, order: tuple[str, ...] = ("last", "first"), part_rows: int = PART_ROWS) -> DataFrame:

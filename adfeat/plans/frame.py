@@ -31,7 +31,7 @@ from adfeat.functions import (
     predicted_categories,
     property_at,
 )
-from adfeat.operators.keysets import CONVERSIONS, MEASURES, N, SET, SUM, KeySet, answered, melted, of_set, rolled_up, slots_of, union_melted
+from adfeat.operators.keysets import CONVERSIONS, MEASURES, N, SET, SUM, KeySet, answered, melted, of_set, one_row_each, parts_of, rolled_up_own, slots_of, union_melted
 from adfeat.operators.rank_scan import FIRST, LAST, PART_ROWS, scan_ranks
 from adfeat.operators.ranks import flag_one
 from adfeat.sources.staging import stage
@@ -210,16 +210,20 @@ def _measures() -> list[Column]:
 def count_answers(sources: list[tuple[DataFrame, list[Counted]]], n_rows: int) -> tuple[DataFrame, list[Column]]:
     """(melted answers, output aggregates) of key sets, each list over its own copy of the frame.
 
-    The frame asks for the keys of its own rows, so one melting is source and probe.
+    The frame asks for the keys of its own rows, so one melting is source and probe.  Before
+    it is summed the frame is dealt out, so a task holds the keys of so many rows only.
     """
     every = [c for _, counted in sources for c in counted]
     slots = {s: t for frame, counted in sources for s, t in slots_of(frame, [c.keys for c in counted]).items()}
-    asked, first = [], 0
+    asked, dealt, first = [], [], 0
     for frame, counted in sources:
-        asked.append(melted(frame, [c.keys for c in counted], slots, [ROW, *_measures()], first))
+        keys = [c.keys for c in counted]
+        asked.append(melted(frame, keys, slots, [ROW], first))
+        needed = sorted({c for k in keys for c in k.values()})
+        own = frame.select(*needed, *_measures()).repartition(parts_of(frame.sparkSession, n_rows * len(counted)))
+        dealt.append(melted(own, keys, slots, list(MEASURES), first))
         first += len(counted)
-    rows = union_melted(asked)
-    table = stage(rolled_up(rows, rows.drop(*MEASURES), slots), "frame-sums")
+    table = stage(rolled_up_own(union_melted(dealt), slots), "frame-sums")
     outputs = []
     for i, c in enumerate(every):
         for name, kind in c.outputs.items():
@@ -230,7 +234,7 @@ def count_answers(sources: list[tuple[DataFrame, list[Counted]]], n_rows: int) -
                 own = table.where(F.col(SET) == i)
                 value = min_max_scaled(N, own.agg(F.min(N)).scalar(), own.agg(F.max(N)).scalar())
             outputs.append(of_set(i, value).alias(name))
-    return answered(rows.drop(*MEASURES), table, slots, n_rows, ROW), outputs
+    return answered(union_melted(asked), table, slots, n_rows, ROW), outputs
 
 
 #: Rank sets are numbered from here, after all key sets.
@@ -242,7 +246,7 @@ def rank_answers(base: DataFrame, ranked: list[Ranked], n_rows: int, part_rows:
     slots = slots_of(base, [r.keys for r in ranked])
     rows = melted(base.where(F.col(TS).isNotNull()), [r.keys for r in ranked], slots, [ROW, TS], RANKS_FROM)
     by = [c for c in rows.columns if c not in (ROW, TS)]
-    found = scan_ranks(rows, by, TS, "frame-ranks", part_rows, n_rows * len(ranked)).select(ROW, SET, FIRST, LAST)
+    found = scan_ranks(rows, by, TS, "frame-ranks", part_rows, n_rows * len(ranked), [ROW, SET])
     return found, [of_set(i, c).alias(f"{c}_{r.prefix}") for i, r in enumerate(ranked, start=RANKS_FROM) for c in (FIRST, LAST)]
 
 
@@ -260,8 +264,9 @@ def with_features(
     if ranked:
         parts.append(rank_answers(rows, ranked, n_rows, part_rows))
     answers = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [found for found, _ in parts])
-    wide = answers.groupBy(ROW).agg(*[c for _, own in parts for c in own])
-    out = rows.join(wide, ROW, "left")
+    n_parts = parts_of(rows.sparkSession, n_rows * (sum(len(counted) for _, counted in sources) + len(ranked)))
+    wide = one_row_each(answers, ROW, [c for _, own in parts for c in own], n_parts)
+    out = rows.repartition(n_parts, ROW).join(wide, ROW, "left")
     names = [name for _, counted in sources for c in counted for name in c.outputs]
     filled = [F.col(c) if c in KEEP_NULL else F.coalesce(F.col(c), F.lit(0)).alias(c) for c in names]
     return out.select(*rows.columns, *filled, *[c for r in ranked for c in r.columns()])

@@ -138,3 +138,23 @@ def test_frame_shuffles_eight_times_at_most_and_the_wide_rows_once(spark, monkey
     plans = _exchanges_of(spark, monkeypatch, lambda: FR.frame_features(imp_events(spark, SF_SMALL)))
     assert sum(len(re.findall(r"Exchange (?:hash|range)partitioning", p)) for p in plans) <= 8
     assert len(re.findall(r"SortMergeJoin \[_row#\d+L\], \[_row#\d+L\], LeftOuter", plans[-1])) == 1
+
+
+def test_tasks_of_the_frame_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    """The keys are summed, and the answers of a row id met, in partitions that follow the row count."""
+    label = imp_events(spark, SF_SMALL)
+    n, want = label.count(), sorted(map(repr, FR.frame_features(label).collect()))
+    monkeypatch.setattr(keysets, "MELT_ROWS", 1000)
+    assert sorted(map(repr, FR.frame_features(label).collect())) == want
+    plans = _exchanges_of(spark, monkeypatch, lambda: FR.frame_features(label))
+    sums = next(p for p in plans if "RoundRobinPartitioning" in p)
+    assert [int(x) for x in re.findall(r"RoundRobinPartitioning\((\d+)\)", sums)] == [n * k // 1000 + 1 for k in (5, 15)]
+    parts = n * 32 // 1000 + 1  # 20 key sets and 12 rank sets; both sides of the join on the id
+    assert len(re.findall(rf"hashpartitioning\(_row#\d+L, {parts}\), REPARTITION_BY_NUM", plans[-1])) == 2
+    # the answers are shuffled as they are: no aggregate by the id under that exchange
+    assert len(re.findall(r"HashAggregate\(keys=\[_row#", plans[-1].split("REPARTITION_BY_NUM")[-1])) == 0
+
+
+def test_the_ends_of_a_partition_are_marked():
+    assert rank_scan._ends(np.array([0, 0, 0, -1, 1, 1])).tolist() == [True, False, True, False, True, True]
+    assert rank_scan._ends(np.array([0])).tolist() == [True] and rank_scan._ends(np.array([0, 0])).tolist() == [True, True]
