@@ -105,13 +105,20 @@ def one_row_each(answers: DataFrame, row: str, outputs: list[Column], parts: int
     return answers.repartition(parts, row).groupBy(row).agg(*outputs)
 
 
-def answered(asked: DataFrame, table: DataFrame, slots: dict[str, T.DataType], n_rows: int, row: str) -> DataFrame:
-    """``(row, set, measures)`` of the melted ``asked`` rows from the staged ``table``."""
+def answered(asked: DataFrame, table: DataFrame, slots: dict[str, T.DataType], n_rows: int, row: str, n_asked: int) -> DataFrame:
+    """``(row, set, measures)`` of the melted ``asked`` rows from the staged ``table``.
+
+    ``n_asked`` bounds the number of ``asked`` rows.  Cold keys meet in partitions sized by it,
+    so that a task can hold its part of the table, at most a key for an asked row, as a hash
+    table instead of sorting both sides.
+    """
     by = [SET, *[slot(s) for s in slots]]
+    parts = parts_of(asked.sparkSession, n_asked)
     is_hot = F.col(ASKED) * HOT > n_rows
     hot, cold = table.where(is_hot).drop(ASKED), table.where(~is_hot).drop(ASKED)
     direct = asked.join(F.broadcast(hot), by)  # at most HOT keys of a set
-    rest = asked.join(F.broadcast(hot.select(*by)), by, "left_anti").join(cold, by)
+    rest = asked.join(F.broadcast(hot.select(*by)), by, "left_anti").repartition(parts, *by)
+    rest = rest.join(cold.repartition(parts, *by).hint("shuffle_hash"), by)
     return direct.select(row, SET, *MEASURES).unionByName(rest.select(row, SET, *MEASURES))
 
 

@@ -234,7 +234,7 @@ def count_answers(sources: list[tuple[DataFrame, list[Counted]]], n_rows: int) -
                 own = table.where(F.col(SET) == i)
                 value = min_max_scaled(N, own.agg(F.min(N)).scalar(), own.agg(F.max(N)).scalar())
             outputs.append(of_set(i, value).alias(name))
-    return answered(union_melted(asked), table, slots, n_rows, ROW), outputs
+    return answered(union_melted(asked), table, slots, n_rows, ROW, n_rows * len(every)), outputs
 
 
 #: Rank sets are numbered from here, after all key sets.

@@ -152,7 +152,8 @@ def attach_groups(target: DataFrame, source: DataFrame, groups: list[Group]) ->
     table = stage(rolled_up(melted(source, sets, slots, list(MEASURES)), asked, slots), "history-sums")
     values = {N: N, CONVERSIONS: CONVERSIONS, SUM: F.try_divide(F.col(SUM), F.col(N))}
     outputs = [(i, name, values[m]) for i, g in enumerate(groups) for name, m in ((g.n, N), (g.mean, SUM), (g.conv, CONVERSIONS)) if name]
-    wide = answered(asked, table, slots, rows.count(), ROW).groupBy(ROW).agg(*[of_set(i, v).alias(name) for i, name, v in outputs])
+    n_rows = rows.count()
+    wide = answered(asked, table, slots, n_rows, ROW, n_rows * len(groups)).groupBy(ROW).agg(*[of_set(i, v).alias(name) for i, name, v in outputs])
     filled = [F.coalesce(F.col(name), F.lit(0)).alias(name) for _, name, _ in outputs]
     return rows.join(wide, ROW, "left").select(*target.columns, *filled)
 

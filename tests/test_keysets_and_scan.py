@@ -158,3 +158,30 @@ def test_tasks_of_the_frame_hold_a_bounded_number_of_rows(spark, monkeypatch):
 def test_the_ends_of_a_partition_are_marked():
     assert rank_scan._ends(np.array([0, 0, 0, -1, 1, 1])).tolist() == [True, False, True, False, True, True]
     assert rank_scan._ends(np.array([0])).tolist() == [True] and rank_scan._ends(np.array([0, 0])).tolist() == [True, True]
+
+
+@pytest.mark.parametrize("section", ["frame", "history"])
+def test_cold_keys_meet_in_partitions_sized_by_rows_and_are_not_sorted(spark, monkeypatch, section):
+    """Neither side of the cold keys' join is sorted, and a task holds a bounded part of the table."""
+    hist, tgt = history_and_target(spark, SF_SMALL, "imp_events")
+    label = imp_events(spark, SF_SMALL)
+    rows, sets = (label.count(), 20) if section == "frame" else (tgt.count(), 11)
+    monkeypatch.setattr(keysets, "MELT_ROWS", 100)
+    build = (lambda: FR.frame_features(label, fill_inputs=True)) if section == "frame" else lambda: H.history_features(hist, tgt)
+    plan = _exchanges_of(spark, monkeypatch, build)[-1]
+    assert not re.search(r"SortMergeJoin \[_set#", plan) and len(re.findall(r"ShuffledHashJoin \[_set#", plan)) == 1
+    parts = max(spark.sparkContext.defaultParallelism, rows * sets // 100 + 1)
+    assert len(re.findall(rf"hashpartitioning\(_set#[^)]*, {parts}\), REPARTITION_BY_NUM", plan)) == 2
+
+
+@pytest.mark.parametrize("hot", [1, 20, 10**9])
+def test_filled_frame_is_the_same_however_many_keys_are_hot(spark, monkeypatch, hot):
+    label = spark.createDataFrame(
+        [(i, None if i % 7 == 0 else i % 5, i % 11 or None, i % 3, i % 2, f"2024-01-0{i % 4 + 1} 00:00:0{i % 9}", f"c0;c{i % 2}", f"p{i % 3};p{i % 4}", f"c{i % 2}:p1") for i in range(90)],
+        "instance_id long, user_id long, item_id long, shop_id long, is_trade int, context_timestamp string, item_category_list string, item_property_list string, predict_category_property string",
+    )
+    got = {}
+    for h in (1000, hot):
+        monkeypatch.setattr(keysets, "HOT", h)
+        got[h] = sorted(map(repr, FR.frame_features(label, fill_inputs=True).collect()))
+    assert got[1000] == got[hot] and len(got[hot]) == 90
